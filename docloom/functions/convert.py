@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.mappers import mapper
+from docloom.functions.scalars import base64_text
 from docloom.model import is_epoch_field, mapping_type
 
 TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -35,7 +36,7 @@ def row_json(columns: list[Column]) -> Column:
 
 def binary_document(content: Column) -> Column:
     """``{"data": <base64>}`` of a binary value."""
-    return F.to_json(F.struct(F.base64(content).alias("data")))
+    return F.to_json(F.struct(base64_text(content).alias("data")))
 
 
 def apply_mappers(df: DataFrame, mappers: Mapping[str, str]) -> DataFrame:
@@ -87,7 +88,7 @@ def typed_fields(df: DataFrame, schema: T.StructType) -> list[Column]:
         elif present[field.name].dataType == field.dataType:
             value = F.col(present[field.name].name)
         elif isinstance(present[field.name].dataType, T.BinaryType):
-            value = F.base64(F.col(present[field.name].name))
+            value = base64_text(F.col(present[field.name].name))
         elif isinstance(present[field.name].dataType, TIME_TYPES) and isinstance(
             field.dataType, T.LongType
         ):

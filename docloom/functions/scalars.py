@@ -30,13 +30,18 @@ def try_long(value: Column) -> Column:
     return F.trim(value).try_cast("bigint")
 
 
+def base64_text(value: Column) -> Column:
+    """Base64 in one line, whatever the session's line-length setting."""
+    return F.translate(F.base64(value), "\r\n", "")
+
+
 def fingerprint(value: Column, digest: str = "SHA256") -> Column:
     """Base64 of a message digest of the text."""
     name = digest.upper().replace("-", "")
     if name not in DIGESTS:
         raise ValueError(f"unsupported digest {digest!r}")
     hexed = F.sha1(value) if name == "SHA1" else F.sha2(value, int(name[3:]))
-    return F.base64(F.unhex(hexed))
+    return base64_text(F.unhex(hexed))
 
 
 def blank_to_default(value: Column, default: Column) -> Column:

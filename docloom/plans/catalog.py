@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions.convert import document_schema
-from docloom.model import IndexSet
+from docloom.model import IndexDef, IndexSet
+from docloom.operators.snapshots import SnapshotTable
 from docloom.operators.store import COMMON_COLUMNS, TARGET_BUCKET_ROWS, DocumentTable
 from docloom.sources.tables import union_tenants
+from docloom.workspace import local_frame
+
+MAPPING_SCHEMA = T.StructType([T.StructField("fields", T.StringType())])
 
 
 class DocumentIndex:
@@ -29,14 +35,24 @@ class DocumentIndex:
         index = self.index_set.find(document_type)
         if index.document_type not in self._tables:
             self._tables[index.document_type] = DocumentTable(
-                self.spark,
-                self.path,
-                index.document_type,
-                document_schema(index.mapping, index.mappers),
-                self.target_rows,
+                self.spark, self.path, index.document_type, self.put_mapping(index), self.target_rows
             )
         return self._tables[index.document_type]
 
+    def put_mapping(self, index: IndexDef) -> T.StructType:
+        """Store the declared fields of a type unless it has some; returns those in force.
+
+        The first mapping stays: data already written has its types.  A type marked to be
+        skipped stores none and follows its definition.
+        """
+        declared = document_schema(index.mapping, index.mappers)
+        stored = SnapshotTable(self.spark, f"{self.path}/{index.document_type}/mapping", MAPPING_SCHEMA)
+        if stored.current_path() is not None:
+            return T.StructType.fromJson(json.loads(stored.read().first().fields))
+        if not index.skip_creation:
+            stored.write(local_frame(self.spark, [(declared.json(),)], MAPPING_SCHEMA))
+        return declared
+
     def create(self) -> list[str]:
         """Create the tables that are missing, except those marked to be skipped."""
         return [
@@ -45,9 +61,13 @@ class DocumentIndex:
             if not index.skip_creation and self.table(index.document_type).create()
         ]
 
-    def drop(self) -> bool:
-        """Remove every table; True when all are gone."""
-        return all([self.table(kind).drop() for kind in self.index_set.types()])
+    def drop(self, types: str | None = None) -> bool:
+        """Remove the tables of all or some types; True when they are gone."""
+        gone = True
+        for index in self.index_set.select(types):
+            gone = self.table(index.document_type).drop() and gone
+            del self._tables[index.document_type]
+        return gone
 
     def documents(self, types: Sequence[str] | None = None) -> DataFrame:
         """Live documents of all (or some) types, common columns only."""
@@ -68,8 +88,11 @@ class DocumentIndex:
             documents = documents.where(F.col("tenant") == tenant)
         documents.createOrReplaceTempView(f"`{name}`")
 
-    def create_tenant_alias(self, tenant: str) -> None:
-        self.create_alias(tenant, tenant)
+    def create_tenant_aliases(self, tenants: Sequence[str]) -> None:
+        """A view per tenant, under the tenant's name."""
+        documents = self.documents()
+        for tenant in tenants:
+            documents.where(F.col("tenant") == tenant).createOrReplaceTempView(f"`{tenant}`")
 
     def alias_exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(f"`{name}`")

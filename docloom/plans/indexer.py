@@ -100,7 +100,7 @@ class Indexer:
         else:
             rows = tables.with_ids(self.source.rows(index, chosen), index.id_column, ids)
             report = table.upsert(to_documents(rows, index))
-        self.index.create_tenant_alias(tenant)
+        self.index.create_tenant_aliases([tenant])
         return report
 
     def near_realtime(self, changes: DataFrame, refresh_views: bool = True) -> DataFrame:
@@ -124,11 +124,10 @@ class Indexer:
         enabled = self._enabled(None)
         for index in self.index_set.indexes:
             if index.document_type.lower() in pending and enabled:
-                self._apply_items(index, items, enabled)
+                self.apply_items(index, items)
         self._delete_marked(bulk_deleted, removed)
         if refresh_views:
-            for tenant in enabled:
-                self.index.create_tenant_alias(tenant.id)
+            self.index.create_tenant_aliases([tenant.id for tenant in enabled])
         eligible = st.tenant_eligibility(state).where("eligible").select("tenant")
         taken = usable.join(broadcast_if_small(eligible), "tenant", "left_semi")
         names = ch.CHANGE_SCHEMA.names
@@ -153,8 +152,7 @@ class Indexer:
         reports = [
             self._run_type(mode, index, enabled, started) for index in self.index_set.select(types)
         ]
-        for one in enabled:
-            self.index.create_tenant_alias(one.id)
+        self.index.create_tenant_aliases([one.id for one in enabled])
         return reports
 
     def _run_type(self, mode: str, index: IndexDef, enabled: list[Tenant], started: int) -> RunReport:
@@ -203,7 +201,9 @@ class Indexer:
 
     # ---------------------------------------------------------------- near-real-time
 
-    def _apply_items(self, index: IndexDef, items: DataFrame, enabled: list[Tenant]) -> None:
+    def apply_items(self, index: IndexDef, items: DataFrame) -> CommitReport:
+        """Apply the latest change per item to one document type."""
+        enabled = self._enabled(None)
         mine = items.where(F.col("document_type") == index.document_type.lower())
         mine = tables.filter_tenants(mine, enabled)
         updates, deletes = ch.split_update_delete(mine)
@@ -217,7 +217,7 @@ class Indexer:
                 F.col("seq").alias("changed_seq"),
             )
         )
-        table.upsert(to_documents(rows, index).unionByName(gone))
+        return table.upsert(to_documents(rows, index).unionByName(gone))
 
     def _rows_of(self, index: IndexDef, updates: DataFrame, enabled: list[Tenant]) -> DataFrame:
         """Source rows of the changed ids with the event that asked for them.
