@@ -13,6 +13,11 @@ pruning reads exactly the live folders.  Removing a tenant only edits the manife
 
 A tenant gets as many buckets as its row count calls for, so one that holds a third of
 all rows is spread over as many tasks as that takes, and a small one stays in one file.
+
+A few change events spread over a large table would rewrite most of its buckets.  They
+are appended as delta parts instead (one per tenant and commit) and laid over the base
+when it is read, without shuffling the base.  The next merge, or deltas that have grown
+to a share of the table, folds them in.
 """
 
 from __future__ import annotations
@@ -32,6 +37,10 @@ from docloom.operators.snapshots import SnapshotTable
 TARGET_BUCKET_ROWS = 500_000
 #: Buckets are unions of these hash slices; a power of two, also the most buckets a tenant can have.
 SLICES = 65_536
+#: Deltas are folded into the base once they hold more than one row per this many base rows.
+DELTA_SHARE = 20
+#: Bucket number of delta parts in the manifest.
+DELTA = -1
 #: A tenant is spread anew once its buckets hold this many times the target.
 GROWTH_FACTOR = 4
 
@@ -82,19 +91,19 @@ def part_of(version: str, tenant: Column, doc_id: Column, buckets: Column) -> Co
     return F.concat_ws("_", F.lit(version), bucket.cast("string"), F.hex(F.xxhash64(tenant)))
 
 
-def newest_wins(incoming: Column) -> list[Column]:
+def newest_wins(age: Column) -> list[Column]:
     """Which of several rows with one id stays.
 
     A row read from the source by a run beats everything.  Otherwise the later event
-    wins, then the later sequence number, then a delete, then the incoming row.  The
-    document text only makes the choice repeatable.
+    wins, then the later sequence number, then a delete, then the row that came last
+    (base 0, delta 1, incoming 2).  The text only makes the choice repeatable.
     """
     return [
         F.col("from_run").desc(),
         F.col("changed_at").desc_nulls_last(),
         F.col("changed_seq").desc_nulls_last(),
         F.col("deleted").desc(),
-        incoming.desc(),
+        age.desc(),
         F.col("source").desc_nulls_last(),
     ]
 
@@ -177,8 +186,46 @@ class DocumentTable:
         return stored.join(keys, ["tenant", "part"])
 
     def rows(self) -> DataFrame:
-        """Every stored row, tombstones included."""
-        return self._scan(self.manifest())
+        """Every current row, tombstones included."""
+        manifest = self.manifest()
+        base = self._scan(base_entries(manifest))
+        pending = rows_in(delta_entries(manifest))
+        return base if pending == 0 else self._overlay(base, self._deltas(manifest), pending)
+
+    def _deltas(self, manifest: DataFrame) -> DataFrame:
+        """The latest delta row per id."""
+        newest = Window.partitionBy("tenant", "doc_id").orderBy(*newest_wins(F.lit(1)))
+        return (
+            self._scan(delta_entries(manifest))
+            .withColumn("from_run", F.lit(False))
+            .withColumn("_rank", F.row_number().over(newest))
+            .where("_rank = 1")
+            .drop("_rank", "from_run")
+        )
+
+    def _overlay(self, base: DataFrame, deltas: DataFrame, pending: int) -> DataFrame:
+        """Base rows that no delta replaces, and the deltas that no base row outdates.
+
+        The base meets only the keys of the deltas, so it is not shuffled while those can
+        be broadcast.  Only base rows that an event has changed can outdate a delta.
+        """
+        columns = ["tenant", *self.row_schema.names]
+        keys = deltas.select(
+            "tenant",
+            "doc_id",
+            F.struct("changed_at", "changed_seq", "deleted").alias("_delta"),
+        )
+        keys = workspace.broadcast_if_small(keys, pending)
+        mine = F.struct("changed_at", "changed_seq", "deleted")
+        newer = F.col("changed_at").isNotNull() & (mine > F.col("_delta"))
+        same_id = ["tenant", "doc_id"]
+        kept = base.join(keys, same_id, "left").where(F.col("_delta").isNull() | newer)
+        outdated = (
+            base.where("changed_at IS NOT NULL").join(keys, same_id).where(newer).select(*same_id)
+        )
+        return kept.select(*columns).unionByName(
+            deltas.join(outdated, same_id, "left_anti").select(*columns)
+        )
 
     def documents(self) -> DataFrame:
         """Live documents: common columns and the typed ``doc`` struct."""
@@ -201,11 +248,16 @@ class DocumentTable:
         return self.documents().select(*keys, "doc.*")
 
     def counts(self) -> DataFrame:
-        """Live and deleted documents per tenant, from the manifest alone."""
-        return self.manifest().groupBy("tenant").agg(
-            F.sum(F.col("rows") - F.col("tombstones")).alias("documents"),
-            F.sum("tombstones").alias("tombstones"),
-            F.count(F.lit(1)).alias("buckets"),
+        """Live and deleted documents per tenant, from the manifest alone if it can tell."""
+        manifest = self.manifest()
+        if rows_in(delta_entries(manifest)) == 0:
+            return manifest.groupBy("tenant").agg(
+                F.sum(F.col("rows") - F.col("tombstones")).alias("documents"),
+                F.sum("tombstones").alias("tombstones"),
+            )
+        return self.rows().groupBy("tenant").agg(
+            F.count_if(~F.col("deleted")).alias("documents"),
+            F.count_if("deleted").alias("tombstones"),
         )
 
     # ---------------------------------------------------------------- commits
@@ -219,7 +271,7 @@ class DocumentTable:
         version = self._new_version()
         plan = self._plan(incoming, self.manifest().where(F.lit(False)))
         rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-        self._write(self._pick(rows.withColumn("_incoming", F.lit(True)), plan, version), version)
+        self._write(self._pick(rows.withColumn("_age", F.lit(2)), plan, version), version)
         replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
         kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
         return self._publish(kept, plan, version, incoming)
@@ -228,24 +280,47 @@ class DocumentTable:
         """Merge rows by ``doc_id``; untouched buckets are neither read nor written.
 
         ``incoming`` has the row schema plus ``tenant`` and ``from_run``.  It is staged
-        first: the touched buckets and the merge must come from the same rows.
+        first: the touched buckets and the merge must come from the same rows.  Deltas
+        of the table are folded in.
         """
-        version = self._new_version()
-        incoming = workspace.stage(incoming, f"incoming-{self.document_type}")
         manifest = self.manifest()
-        plan = self._plan(incoming, manifest)
-        touched = workspace.stage(self._touched(manifest, plan), "touched")
+        arriving = incoming.withColumn("_age", F.lit(2))
+        if rows_in(delta_entries(manifest)) > 0:
+            folded = self._deltas(manifest).select("tenant", *self.row_schema.names)
+            arriving = arriving.unionByName(
+                folded.withColumn("from_run", F.lit(False)).withColumn("_age", F.lit(1))
+            )
+        return self._merge(workspace.stage(arriving, f"incoming-{self.document_type}"), manifest)
+
+    def apply(self, events: DataFrame) -> CommitReport:
+        """Merge rows that stand for change events, as a delta while those stay few."""
+        manifest = self.manifest()
+        events = workspace.stage(events, f"events-{self.document_type}")
+        pending = rows_in(delta_entries(manifest)) + events.count()
+        if pending * DELTA_SHARE > rows_in(base_entries(manifest)):
+            return self.upsert(events)
+        version = self._new_version()
+        arriving = events.withColumn("_age", F.lit(2))
+        plan = self._plan(arriving, manifest.where(F.lit(False)))
+        rows = self._unhot(arriving.where("doc_id IS NOT NULL"), plan)
+        self._write(self._pick(rows, plan, version), version)
+        return self._publish(manifest, plan, version, arriving, DELTA)
+
+    def _merge(self, arriving: DataFrame, manifest: DataFrame) -> CommitReport:
+        version = self._new_version()
+        base = base_entries(manifest)
+        plan = self._plan(arriving, base)
+        touched = workspace.stage(self._touched(base, plan), "touched")
         stored = (
             self._scan(touched)
             .select("tenant", *self.row_schema.names)
             .withColumn("from_run", F.lit(False))
-            .withColumn("_incoming", F.lit(False))
+            .withColumn("_age", F.lit(0))
         )
-        rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-        both = stored.unionByName(rows.withColumn("_incoming", F.lit(True)))
-        self._write(self._pick(both, plan, version), version)
-        kept = manifest.join(touched.select("tenant", "part"), ["tenant", "part"], "left_anti")
-        return self._publish(kept, plan, version, incoming)
+        rows = self._unhot(arriving.where("doc_id IS NOT NULL"), plan)
+        self._write(self._pick(stored.unionByName(rows), plan, version), version)
+        kept = base.join(touched.select("tenant", "part"), ["tenant", "part"], "left_anti")
+        return self._publish(kept, plan, version, arriving)
 
     def delete_ids(self, ids: DataFrame) -> CommitReport:
         """Remove documents by ``(tenant, doc_id)``; no tombstone is kept."""
@@ -371,7 +446,7 @@ class DocumentTable:
         hot = plan.slices.where(self._is_hot()).select("tenant", F.col("slice").alias("_slice"))
         hot = workspace.broadcast_if_small(hot, plan.hot_slices)
         sliced = incoming.withColumn("_slice", slice_of(F.col("doc_id")))
-        newest = Window.partitionBy("tenant", "doc_id").orderBy(*newest_wins(F.lit(True)))
+        newest = Window.partitionBy("tenant", "doc_id").orderBy(*newest_wins(F.col("_age")))
         reduced = (
             sliced.join(hot, ["tenant", "_slice"], "left_semi")
             .withColumn("_rank", F.row_number().over(newest))
@@ -394,7 +469,7 @@ class DocumentTable:
             .repartition(2 * plan.buckets, "tenant", "part")
         )
         same_id = Window.partitionBy("tenant", "part", "doc_id")
-        newest = same_id.orderBy(*newest_wins(F.col("_incoming")))
+        newest = same_id.orderBy(*newest_wins(F.col("_age")))
         whole = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         last_change = F.max(F.struct("changed_at", "changed_seq")).over(whole)
         chosen = (
@@ -422,7 +497,12 @@ class DocumentTable:
         writer.parquet(f"{self.path}/data/version={version}")
 
     def _publish(
-        self, kept: DataFrame, plan: CommitPlan, version: str, incoming: DataFrame
+        self,
+        kept: DataFrame,
+        plan: CommitPlan,
+        version: str,
+        incoming: DataFrame,
+        bucket: int | None = None,
     ) -> CommitReport:
         written = (
             self.spark.read.schema(self._stored_schema)
@@ -434,7 +514,7 @@ class DocumentTable:
                 F.sum(F.col("deleted").cast("bigint")).alias("tombstones"),
             )
             .join(workspace.broadcast_if_small(plan.layout, plan.tenants), "tenant")
-            .withColumn("bucket", F.split("part", "_")[1].cast("int"))
+            .withColumn("bucket", F.split("part", "_")[1].cast("int") if bucket is None else F.lit(bucket))
         )
         number = self.snapshots.write(kept.unionByName(written))
         if plan.rows_bad:
@@ -463,6 +543,19 @@ class DocumentTable:
         return self.spark.read.schema(schema).parquet(f"{self.path}/quarantine")
 
 
+def base_entries(manifest: DataFrame) -> DataFrame:
+    return manifest.where(F.col("bucket") != DELTA)
+
+
+def delta_entries(manifest: DataFrame) -> DataFrame:
+    return manifest.where(F.col("bucket") == DELTA)
+
+
+def rows_in(entries: DataFrame) -> int:
+    """Rows behind some manifest entries."""
+    return entries.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def split_unusable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents with an id, documents without one)."""
     return documents.where("doc_id IS NOT NULL"), documents.where("doc_id IS NULL")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +20,14 @@ from docloom.operators.store import TARGET_BUCKET_ROWS, CommitReport
 from docloom.plans.catalog import DocumentIndex
 from docloom.plans.documents import to_documents
 from docloom.sources import tables
+from docloom.sources.tables import union_tenants
 from docloom.workspace import broadcast_if_small, local_frame, stage
 
 CREATE_METHOD, DELETE_METHOD = "Create", "Delete"
+SKIPPED = "Skipped"
+
+#: Document types whose Spark jobs may run at the same time.
+PARALLEL_TYPES = 4
 
 
 @dataclass(frozen=True)
@@ -37,6 +44,17 @@ class RunReport:
     error: str | None = None
 
 
+@dataclass(frozen=True)
+class TypeJob:
+    """One document type of a run, ready to be written."""
+
+    index: IndexDef
+    tenants: tuple[Tenant, ...]
+    skipped: tuple[str, ...]
+    documents: DataFrame | None = None
+    error: str | None = None
+
+
 class Indexer:
     """Runs index definitions for tenants and keeps documents and run state.
 
@@ -60,6 +78,7 @@ class Indexer:
         self.root = root.rstrip("/")
         self.index = DocumentIndex(spark, index_set, root, target_rows)
         self.state = st.RunState(spark, f"{self.root}/{index_set.parent_index}_state")
+        self._state_lock = threading.Lock()
         seen: dict[str, Tenant] = {}
         self.duplicate_tenants: list[Tenant] = []
         for tenant in tenants:
@@ -149,37 +168,67 @@ class Indexer:
         # Taken before anything is read, so rows changed meanwhile are seen again.
         started = int(time.time()) if run_ts is None else run_ts
         enabled = self._enabled(tenant)
-        reports = [
-            self._run_type(mode, index, enabled, started) for index in self.index_set.select(types)
-        ]
+        self.index.create()
+        jobs = [self._job(mode, index, enabled) for index in self.index_set.select(types)]
+        due = [job for job in jobs if job.tenants]
+        if due:
+            self.state.start(union_tenants([self._pairs(job.index, job.tenants) for job in due]), mode, started)
+        # Types write to tables of their own, so their Spark jobs may overlap.
+        with ThreadPoolExecutor(max_workers=PARALLEL_TYPES) as pool:
+            futures = {id(job): pool.submit(self._run_type, mode, job, started) for job in due}
         self.index.create_tenant_aliases([one.id for one in enabled])
-        return reports
+        return [
+            futures[id(job)].result() if id(job) in futures
+            else RunReport(job.index.document_type, mode, SKIPPED, 0, skipped=job.skipped)
+            for job in jobs
+        ]
 
-    def _run_type(self, mode: str, index: IndexDef, enabled: list[Tenant], started: int) -> RunReport:
-        kind = index.document_type
-        busy = {row.tenant for row in st.running(self.state.read(), None, kind).collect()}
+    def _job(self, mode: str, index: IndexDef, enabled: list[Tenant]) -> TypeJob:
+        """Tenants of a type that no other run is working on, and their rows to index."""
+        state = self.state.read()
+        busy = {row.tenant for row in st.running(state, None, index.document_type).collect()}
         free = [tenant for tenant in enabled if tenant.id not in busy]
         skipped = tuple(tenant.id for tenant in enabled if tenant.id in busy)
         if not free:
-            return RunReport(kind, mode, "Skipped", 0, skipped=skipped)
-        pairs = self._pairs(index, free)
-        marks = st.last_run(pairs, self.state.read())
-        self.state.start(pairs, mode, started)
+            return TypeJob(index, (), skipped)
+        self.index.table(index.document_type)
         try:
             rows = self.source.rows(index, free)
-            table = self.index.table(kind)
-            if mode == model.FULL:
-                commit = table.replace(to_documents(rows, index), self._tenant_frame(free))
-            else:
-                changed = self._modified_rows(rows, index, marks)
-                commit = table.upsert(to_documents(changed, index))
+            if mode == model.INCREMENTAL:
+                marks = st.last_run(self._pairs(index, free), state)
+                rows = self._modified_rows(rows, index, marks)
+            return TypeJob(index, tuple(free), skipped, to_documents(rows, index))
         except Exception as error:
-            self.state.fail(pairs, mode)
-            return RunReport(kind, mode, model.FAILED, len(free), skipped=skipped, error=str(error))
-        self.state.finish(pairs, mode, started)
-        return RunReport(
-            kind, mode, model.COMPLETED, len(free), commit.rows_in, commit.rows_quarantined, skipped
-        )
+            return TypeJob(index, tuple(free), skipped, error=str(error))
+
+    def _run_type(self, mode: str, job: TypeJob, started: int) -> RunReport:
+        kind = job.index.document_type
+        pairs = self._pairs(job.index, job.tenants)
+        report = RunReport(kind, mode, model.FAILED, len(job.tenants), skipped=job.skipped, error=job.error)
+        if job.error is None:
+            try:
+                table = self.index.table(kind)
+                if mode == model.FULL:
+                    documents = job.documents
+                    if job.index.stage_rows:
+                        documents = stage(documents, f"rows-{kind}")
+                    commit = table.replace(documents, self._tenant_frame(job.tenants))
+                else:
+                    commit = table.upsert(job.documents)
+                report = replace(
+                    report,
+                    status=model.COMPLETED,
+                    rows_in=commit.rows_in,
+                    rows_quarantined=commit.rows_quarantined,
+                )
+            except Exception as error:
+                report = replace(report, error=str(error))
+        with self._state_lock:
+            if report.status == model.COMPLETED:
+                self.state.finish(pairs, mode, started)
+            else:
+                self.state.fail(pairs, mode)
+        return report
 
     def _modified_rows(self, rows: DataFrame, index: IndexDef, marks: DataFrame) -> DataFrame:
         """Rows at or after their tenant's mark.
@@ -217,7 +266,7 @@ class Indexer:
                 F.col("seq").alias("changed_seq"),
             )
         )
-        return table.upsert(to_documents(rows, index).unionByName(gone))
+        return table.apply(to_documents(rows, index).unionByName(gone))
 
     def _rows_of(self, index: IndexDef, updates: DataFrame, enabled: list[Tenant]) -> DataFrame:
         """Source rows of the changed ids with the event that asked for them.
