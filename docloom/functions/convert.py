@@ -68,7 +68,11 @@ def apply_epoch_fields(df: DataFrame, mapping: Mapping[str, Mapping[str, str]])
 def document_schema(
     mapping: Mapping[str, Mapping[str, str]], mappers: Mapping[str, str] | None = None
 ) -> T.StructType:
-    """Typed columns a mapping declares; a mapped text takes its mapper's type."""
+    """Typed columns a mapping declares; a mapped text takes its mapper's type.
+
+    A type without declared fields still has its tenant: a struct cannot be empty.
+    """
+    mapping = mapping or {"tenant": {"type": "keyword"}}
     by_column = {column.lower(): name for column, name in (mappers or {}).items()}
     fields = []
     for name, spec in mapping.items():

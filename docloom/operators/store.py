@@ -269,9 +269,10 @@ class DocumentTable:
         to write it.  Nothing already stored is read.
         """
         version = self._new_version()
+        incoming = self._arriving(incoming)
         plan = self._plan(incoming, self.manifest().where(F.lit(False)))
         rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-        self._write(self._pick(rows.withColumn("_age", F.lit(2)), plan, version), version)
+        self._write(self._pick(rows, plan, version), version)
         replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
         kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
         return self._publish(kept, plan, version, incoming)
@@ -284,7 +285,7 @@ class DocumentTable:
         of the table are folded in.
         """
         manifest = self.manifest()
-        arriving = incoming.withColumn("_age", F.lit(2))
+        arriving = self._arriving(incoming)
         if rows_in(delta_entries(manifest)) > 0:
             folded = self._deltas(manifest).select("tenant", *self.row_schema.names)
             arriving = arriving.unionByName(
@@ -295,16 +296,18 @@ class DocumentTable:
     def apply(self, events: DataFrame) -> CommitReport:
         """Merge rows that stand for change events, as a delta while those stay few."""
         manifest = self.manifest()
-        events = workspace.stage(events, f"events-{self.document_type}")
+        events = workspace.stage(self._arriving(events), f"events-{self.document_type}")
         pending = rows_in(delta_entries(manifest)) + events.count()
         if pending * DELTA_SHARE > rows_in(base_entries(manifest)):
             return self.upsert(events)
         version = self._new_version()
-        arriving = events.withColumn("_age", F.lit(2))
-        plan = self._plan(arriving, manifest.where(F.lit(False)))
-        rows = self._unhot(arriving.where("doc_id IS NOT NULL"), plan)
+        plan = self._plan(events, manifest.where(F.lit(False)))
+        rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
         self._write(self._pick(rows, plan, version), version)
-        return self._publish(manifest, plan, version, arriving, DELTA)
+        return self._publish(manifest, plan, version, events, DELTA)
+
+    def _arriving(self, rows: DataFrame) -> DataFrame:
+        return rows.select("tenant", *self.row_schema.names, "from_run").withColumn("_age", F.lit(2))
 
     def _merge(self, arriving: DataFrame, manifest: DataFrame) -> CommitReport:
         version = self._new_version()

@@ -94,6 +94,7 @@ def test_documents_of_a_mapped_query(spark):
 def test_nested_columns_stay_nested(spark):
     rows = spark.sql("SELECT 't' AS tenant, 1 AS row_id, array(1, 2) AS a, named_struct('x', 'y') AS s")
     document = to_documents(rows, IndexDef("d", {"spark": ""})).first()
+    assert document.doc.asDict() == {"tenant": "t"}
     assert document.source == '{"tenant":"t","row_id":1,"a":[1,2],"s":{"x":"y"}}'
 
 

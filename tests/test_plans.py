@@ -40,7 +40,7 @@ def test_conversion_is_one_projection(spark, data):
     for index, name in ((ORDER, "orders"), (CUSTOMER, "customer")):
         documents = to_documents(b.rows_of(spark, data, index, name), index)
         text = plan(documents)
-        assert "Exchange" not in text and "Python" not in text and "*(1) Project" in text
+        assert "Exchange" not in text and "Python" not in text and "* Project" in text
         ids = plan(documents.select("doc_id"))
         assert "to_json" not in ids
 
@@ -76,7 +76,7 @@ def test_store_reads_only_live_parts(spark, data):
     executed = one._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in executed
     live = {row.part for row in table.manifest().collect()}
-    files = {f.split("/part=")[1].split("/")[0] for f in table.documents().inputFiles()}
+    files = {f.split("/part=")[1].split("/")[0] for f in table.documents().inputFiles() if "/part=" in f}
     assert live < files
 
 

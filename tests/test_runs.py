@@ -155,7 +155,6 @@ def test_near_realtime_precedence_and_taken_rows(spark, root):
     put_notes(spark, [("a", 1), ("b", 1)])
     jobs = new_indexer(spark, root, ITEM, NOTE)
     jobs.full(tenant="a", run_ts=1)
-    jobs.index.table("item").upsert(jobs.index.table("item").rows().where("false").withColumn("from_run", F.lit(True)))
     put_items(spark, [("a", n, "new", 1) for n in range(4)])
     taken = jobs.near_realtime(log_rows(spark, [
         ("a", "Item", "UPDATE", 1, 5, 1), ("a", "item", "DELETE", 2, 5, 2), ("a", "item", "UPDATE", 99, 5, 3),
