@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from docloom import workspace
 
 
+#: A snapshot that follows one below this size is written as one file by one task.
+ONE_FILE_BYTES = 4 * 1024 * 1024
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark = spark
@@ -41,12 +45,10 @@ class SnapshotTable:
         """Publish the next snapshot.  Two writers that race meet an existing folder."""
         version = self._next_version()
         columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
-        (
-            df.select(*columns)
-            .hint("rebalance")
-            .write.mode("errorifexists")
-            .parquet(self.version_path(version))
-        )
+        current = self.current_path()
+        small = current is None or workspace.bytes_under(self.spark, current) < ONE_FILE_BYTES
+        shaped = df.select(*columns).coalesce(1) if small else df.select(*columns).hint("rebalance")
+        shaped.write.mode("errorifexists").parquet(self.version_path(version))
         return version
 
     def _next_version(self) -> int:

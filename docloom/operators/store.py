@@ -37,6 +37,8 @@ from docloom.operators.snapshots import SnapshotTable
 TARGET_BUCKET_ROWS = 500_000
 #: Buckets are unions of these hash slices; a power of two, also the most buckets a tenant can have.
 SLICES = 65_536
+#: Up to this many tenants the layout of a commit is kept in the plan instead of a file.
+FEW_TENANTS = 1_000
 #: Deltas are folded into the base once they hold more than one row per this many base rows.
 DELTA_SHARE = 20
 #: Bucket number of delta parts in the manifest.
@@ -395,12 +397,16 @@ class DocumentTable:
             F.coalesce(F.sum(F.when(F.col("slice").isNull(), F.col("rows"))), F.lit(0)).alias("bad"),
             F.count_if(self._is_hot()).alias("hot"),
         ).first()
-        layout = workspace.stage(self._layout(slices, manifest), "layout")
-        sizes = layout.agg(
-            F.count(F.lit(1)).alias("tenants"), F.coalesce(F.sum("buckets"), F.lit(1)).alias("buckets")
-        ).first()
+        layout = self._layout(slices, manifest)
+        few = layout.take(FEW_TENANTS + 1)
+        if len(few) <= FEW_TENANTS:
+            layout = workspace.local_frame(self.spark, few, layout.schema)
+            tenants, buckets = len(few), sum(row.buckets for row in few)
+        else:
+            layout = workspace.stage(layout, "layout")
+            tenants, buckets = layout.agg(F.count(F.lit(1)), F.sum("buckets")).first()
         return CommitPlan(
-            slices, layout, sizes.tenants, sizes.buckets, totals.rows, totals.bad, totals.hot
+            slices, layout, tenants, max(buckets, 1), totals.rows, totals.bad, totals.hot
         )
 
     def _is_hot(self) -> Column:
