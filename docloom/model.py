@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,10 +171,12 @@ def tenants_frame(spark: SparkSession, tenants: Iterable[Tenant]) -> DataFrame:
 
 
 def dedupe_tenants(tenants: DataFrame, key: str = "tenant", order: str = "ordinal") -> tuple[DataFrame, DataFrame]:
-    """(first definition of each tenant, the definitions that lost)."""
-    ranked = tenants.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(key).orderBy(order))
-    )
-    first = ranked.where(F.col("_rank") == 1).drop("_rank")
-    duplicates = ranked.where(F.col("_rank") > 1).drop("_rank")
-    return first, duplicates
+    """(first definition of each tenant, the definitions that lost); ``order`` is unique.
+
+    The minimum is combined before the shuffle, so a tenant defined very often is no
+    burden on one task.
+    """
+    firsts = tenants.groupBy(key).agg(F.min(order).alias("_first"))
+    marked = tenants.join(firsts, key)
+    kept = F.col(order) == F.col("_first")
+    return marked.where(kept).drop("_first"), marked.where(~kept).drop("_first")

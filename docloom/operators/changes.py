@@ -136,13 +136,15 @@ def bulk_flags(changes: DataFrame) -> DataFrame:
     )
 
 
-def override_bulk(changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def override_bulk(
+    changes: DataFrame, flags: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Apply precedence: deprovision over bulk operations over item changes.
 
     Returns (item changes that still count, (tenant, type) to delete, tenants to remove).
     A bulk update asks for nothing: the next incremental run picks its rows up.
     """
-    flags = stage(bulk_flags(changes), "flags")
+    flags = stage(bulk_flags(changes), "flags") if flags is None else flags
     removed = flags.where("deprovision").select("tenant").distinct()
     bulk = flags.where("bulk_update OR bulk_delete")
     deleted = flags.where("bulk_delete").select("tenant", "document_type").join(

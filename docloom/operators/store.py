@@ -272,12 +272,13 @@ class DocumentTable:
         """
         version = self._new_version()
         incoming = self._arriving(incoming)
-        plan = self._plan(incoming, self.manifest().where(F.lit(False)))
-        rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-        self._write(self._pick(rows, plan, version), version)
-        replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
-        kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
-        return self._publish(kept, plan, version, incoming)
+        with workspace.Stage(self.spark) as stage:
+            plan = self._plan(incoming, self.manifest().where(F.lit(False)), stage)
+            rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
+            self._write(self._pick(rows, plan, version), version)
+            replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
+            kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
+            return self._publish(kept, plan, version, incoming)
 
     def upsert(self, incoming: DataFrame) -> CommitReport:
         """Merge rows by ``doc_id``; untouched buckets are neither read nor written.
@@ -293,29 +294,33 @@ class DocumentTable:
             arriving = arriving.unionByName(
                 folded.withColumn("from_run", F.lit(False)).withColumn("_age", F.lit(1))
             )
-        return self._merge(workspace.stage(arriving, f"incoming-{self.document_type}"), manifest)
+        with workspace.Stage(self.spark) as stage:
+            return self._merge(stage(arriving, f"incoming-{self.document_type}"), manifest, stage)
 
     def apply(self, events: DataFrame) -> CommitReport:
         """Merge rows that stand for change events, as a delta while those stay few."""
         manifest = self.manifest()
-        events = workspace.stage(self._arriving(events), f"events-{self.document_type}")
-        pending = rows_in(delta_entries(manifest)) + events.count()
-        if pending * DELTA_SHARE > rows_in(base_entries(manifest)):
-            return self.upsert(events)
-        version = self._new_version()
-        plan = self._plan(events, manifest.where(F.lit(False)))
-        rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
-        self._write(self._pick(rows, plan, version), version)
-        return self._publish(manifest, plan, version, events, DELTA)
+        with workspace.Stage(self.spark) as stage:
+            events = stage(self._arriving(events), f"events-{self.document_type}")
+            pending = rows_in(delta_entries(manifest)) + events.count()
+            if pending * DELTA_SHARE > rows_in(base_entries(manifest)):
+                return self.upsert(events)
+            version = self._new_version()
+            plan = self._plan(events, manifest.where(F.lit(False)), stage)
+            rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
+            self._write(self._pick(rows, plan, version), version)
+            return self._publish(manifest, plan, version, events, DELTA)
 
     def _arriving(self, rows: DataFrame) -> DataFrame:
         return rows.select("tenant", *self.row_schema.names, "from_run").withColumn("_age", F.lit(2))
 
-    def _merge(self, arriving: DataFrame, manifest: DataFrame) -> CommitReport:
+    def _merge(
+        self, arriving: DataFrame, manifest: DataFrame, stage: workspace.Stage
+    ) -> CommitReport:
         version = self._new_version()
         base = base_entries(manifest)
-        plan = self._plan(arriving, base)
-        touched = workspace.stage(self._touched(base, plan), "touched")
+        plan = self._plan(arriving, base, stage)
+        touched = stage(self._touched(base, plan), "touched")
         stored = (
             self._scan(touched)
             .select("tenant", *self.row_schema.names)
@@ -380,7 +385,9 @@ class DocumentTable:
     def _new_version() -> str:
         return f"c{uuid.uuid4().hex}"
 
-    def _plan(self, incoming: DataFrame, manifest: DataFrame) -> CommitPlan:
+    def _plan(
+        self, incoming: DataFrame, manifest: DataFrame, stage: workspace.Stage
+    ) -> CommitPlan:
         """Count the incoming rows per tenant and hash slice, and size the buckets by that.
 
         A null slice counts the rows without a usable id.
@@ -391,7 +398,7 @@ class DocumentTable:
             .groupBy("tenant", "slice")
             .agg(F.count(F.lit(1)).alias("rows"))
         )
-        slices = workspace.stage(counted, "slices")
+        slices = stage(counted, "slices")
         totals = slices.agg(
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum(F.when(F.col("slice").isNull(), F.col("rows"))), F.lit(0)).alias("bad"),
@@ -403,7 +410,7 @@ class DocumentTable:
             layout = workspace.local_frame(self.spark, few, layout.schema)
             tenants, buckets = len(few), sum(row.buckets for row in few)
         else:
-            layout = workspace.stage(layout, "layout")
+            layout = stage(layout, "layout")
             tenants, buckets = layout.agg(F.count(F.lit(1)), F.sum("buckets")).first()
         return CommitPlan(
             slices, layout, tenants, max(buckets, 1), totals.rows, totals.bad, totals.hot

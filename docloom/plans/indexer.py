@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -16,12 +17,13 @@ from docloom.functions import keys
 from docloom.model import IndexDef, IndexSet, Tenant
 from docloom.operators import changes as ch
 from docloom.operators import state as st
+from docloom.operators.snapshots import SnapshotTable
 from docloom.operators.store import TARGET_BUCKET_ROWS, CommitReport
 from docloom.plans.catalog import DocumentIndex
 from docloom.plans.documents import to_documents
 from docloom.sources import tables
 from docloom.sources.tables import union_tenants
-from docloom.workspace import broadcast_if_small, local_frame, stage
+from docloom.workspace import Stage, broadcast_if_small, local_frame, stage
 
 CREATE_METHOD, DELETE_METHOD = "Create", "Delete"
 SKIPPED = "Skipped"
@@ -77,7 +79,7 @@ class Indexer:
         self.source = source
         self.root = root.rstrip("/")
         self.index = DocumentIndex(spark, index_set, root, target_rows)
-        self.state = st.RunState(spark, f"{self.root}/{index_set.parent_index}_state")
+        self.state = st.RunState(spark, self._side_path("state"))
         self._state_lock = threading.Lock()
         seen: dict[str, Tenant] = {}
         self.duplicate_tenants: list[Tenant] = []
@@ -126,32 +128,53 @@ class Indexer:
         """Apply pending changes; returns the rows taken off the log.
 
         Rows of tenants without any completed type are left for later.  Rows that cannot
-        be understood go to the quarantine table and do not stop the others.
+        be understood go to the quarantine table and do not stop the others.  The batch
+        as it was read stays below the index as a record of what was applied.
         """
         named = changes.select(
             *[F.col(field.name).cast(field.dataType) for field in ch.CHANGE_SCHEMA.fields],
             *(["message"] if "message" in changes.columns else []),
         )
-        batch = stage(ch.classify(named), "changes")
+        batch = stage(ch.classify(named), "changes", f"{self._side_path('changes')}/{uuid.uuid4().hex}")
         usable, problems = ch.split_problems(batch)
-        self._quarantine_changes(problems)
+        if not problems.isEmpty():
+            problems.write.mode("append").parquet(self._side_path("bad_changes"))
         state = self.state.read()
-        ready = ch.eligible_changes(usable, st.completed(state))
-        items, bulk_deleted, removed = ch.override_bulk(ready)
-        items = stage(ch.latest_change(items), "items")
-        pending = {row.document_type for row in items.select("document_type").distinct().collect()}
-        enabled = self._enabled(None)
-        for index in self.index_set.indexes:
-            if index.document_type.lower() in pending and enabled:
-                self.apply_items(index, items)
-        self._delete_marked(bulk_deleted, removed)
+        with Stage(self.spark) as scratch:
+            ready = ch.eligible_changes(usable, st.completed(state))
+            flags = scratch(ch.bulk_flags(ready), "flags")
+            items, bulk_deleted, removed = ch.override_bulk(ready, flags)
+            items = scratch(ch.latest_change(items), "items")
+            pending = {row.document_type for row in items.select("document_type").distinct().collect()}
+            for index in self.index_set.indexes:
+                if index.document_type.lower() in pending:
+                    self.apply_items(index, items)
+            self._delete_marked(bulk_deleted, removed)
         if refresh_views:
-            self.index.create_tenant_aliases([tenant.id for tenant in enabled])
+            self.index.create_tenant_aliases([tenant.id for tenant in self._enabled(None)])
         eligible = st.tenant_eligibility(state).where("eligible").select("tenant")
         taken = usable.join(broadcast_if_small(eligible), "tenant", "left_semi")
         names = ch.CHANGE_SCHEMA.names
         return taken.select(*names).unionByName(problems.select(*names))
 
+    def poll(self, log: SnapshotTable) -> int:
+        """Apply a stored change log once; returns the number of rows taken off it.
+
+        The rows leave the log only after they were applied, and only if the index set
+        says so; otherwise they are applied again by the next poll, to the same effect.
+        """
+        pending = log.read()
+        taken = self.near_realtime(pending)
+        count = taken.count()
+        if count and self.index_set.delete_records_after_indexing:
+            log.write(ch.purge(pending, taken))
+        return count
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Remove what only older versions use; readers of the newest ``keep`` are safe."""
+        self.state.table.prune(keep)
+        return sum(self.index.table(kind).vacuum(keep) for kind in self.index_set.types())
+
     def delete(self, types: str | None = None, tenant: str | None = None) -> None:
         """Delete all documents of the tenants and types, and mark them as deleted."""
         chosen = [t for t in self.tenants if tenant is None or t.id == tenant]
@@ -193,10 +216,11 @@ class Indexer:
             return TypeJob(index, (), skipped)
         self.index.table(index.document_type)
         try:
-            rows = self.source.rows(index, free)
+            marks = None
             if mode == model.INCREMENTAL:
-                marks = st.last_run(self._pairs(index, free), state)
-                rows = self._modified_rows(rows, index, marks)
+                known = st.last_run(self._pairs(index, free), state)
+                marks = {row.tenant: row.last_run for row in known.collect()}
+            rows = self.source.rows(index, free, marks)
             return TypeJob(index, tuple(free), skipped, to_documents(rows, index))
         except Exception as error:
             return TypeJob(index, tuple(free), skipped, error=str(error))
@@ -230,24 +254,6 @@ class Indexer:
                 self.state.fail(pairs, mode)
         return report
 
-    def _modified_rows(self, rows: DataFrame, index: IndexDef, marks: DataFrame) -> DataFrame:
-        """Rows at or after their tenant's mark.
-
-        The oldest mark is a literal bound that reaches the scan; the join then applies
-        each tenant's own mark.  A query without the modified column is read whole.
-        """
-        name = keys.find_column(rows, index.modified_column)
-        if name is None:
-            return rows
-        known, oldest = marks.agg(F.count(F.lit(1)), F.coalesce(F.min("last_run"), F.lit(0))).first()
-        if oldest > 0:
-            rows = tables.modified_since(rows, name, oldest)
-        own = broadcast_if_small(marks.select("tenant", "last_run"), known)
-        epoch = tables.modified_epoch(rows, name)
-        # Mark 0 means "from the beginning", which includes rows without a modified value.
-        due = (F.col("last_run") == 0) | (epoch >= F.col("last_run"))
-        return rows.join(own, "tenant").where(due).drop("last_run")
-
     # ---------------------------------------------------------------- near-real-time
 
     def apply_items(self, index: IndexDef, items: DataFrame) -> CommitReport:
@@ -257,7 +263,6 @@ class Indexer:
         mine = tables.filter_tenants(mine, enabled)
         updates, deletes = ch.split_update_delete(mine)
         table = self.index.table(index.document_type)
-        rows = self._rows_of(index, updates, enabled)
         gone = table.tombstones(
             deletes.select(
                 "tenant",
@@ -266,14 +271,18 @@ class Indexer:
                 F.col("seq").alias("changed_seq"),
             )
         )
+        changed = {row.tenant for row in updates.select("tenant").distinct().collect()}
+        if not changed:
+            return table.apply(gone)
+        rows = self._rows_of(index, updates, [tenant for tenant in enabled if tenant.id in changed])
         return table.apply(to_documents(rows, index).unionByName(gone))
 
-    def _rows_of(self, index: IndexDef, updates: DataFrame, enabled: list[Tenant]) -> DataFrame:
+    def _rows_of(self, index: IndexDef, updates: DataFrame, tenants: list[Tenant]) -> DataFrame:
         """Source rows of the changed ids with the event that asked for them.
 
         Ids the source no longer returns drop out, and their documents stay.
         """
-        rows = self.source.rows(index, enabled)
+        rows = self.source.rows(index, tenants)
         id_column = keys.find_column(rows, index.id_column)
         if id_column is None:
             raise ValueError(f"id column {index.id_column!r} is not in the query result")
@@ -297,7 +306,6 @@ class Indexer:
                 F.lit(kind.lower()) for kind in self.index_set.types()
             ])).alias("document_type"))
         )
-        marked = stage(marked, "marked")
         touched = {row.document_type for row in marked.select("document_type").distinct().collect()}
         for index in self.index_set.indexes:
             if index.document_type.lower() in touched:
@@ -307,16 +315,12 @@ class Indexer:
                     tenants.select("tenant").withColumn("document_type", F.lit(index.document_type))
                 )
 
-    def _quarantine_changes(self, problems: DataFrame) -> None:
-        if not problems.isEmpty():
-            problems.write.mode("append").parquet(self._quarantine_path())
-
-    def _quarantine_path(self) -> str:
-        return f"{self.root}/{self.index_set.parent_index}_bad_changes"
+    def _side_path(self, name: str) -> str:
+        return f"{self.root}/{self.index_set.parent_index}_{name}"
 
     def bad_changes(self) -> DataFrame:
         """Changes set aside so far."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self._quarantine_path())
+        return self.spark.read.option("mergeSchema", "true").parquet(self._side_path("bad_changes"))
 
     # ---------------------------------------------------------------- small frames
 

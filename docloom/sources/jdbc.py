@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.model import IndexDef, Tenant
-from docloom.sources.tables import tag_tenant, union_tenants
+from docloom.sources.tables import PerTenant, tag_tenant
 
 # Connection URL per vendor.
 URLS = {
@@ -45,7 +43,7 @@ def jdbc_options(tenant: Tenant, query: str) -> dict[str, str]:
     return source
 
 
-class TenantJdbc:
+class TenantJdbc(PerTenant):
     """One database per tenant; each tenant gets the text written for its vendor."""
 
     def __init__(self, spark: SparkSession):
@@ -54,6 +52,3 @@ class TenantJdbc:
     def tenant_rows(self, index: IndexDef, tenant: Tenant) -> DataFrame:
         options = jdbc_options(tenant, index.query_for(tenant.vendor))
         return tag_tenant(self.spark.read.format("jdbc").options(**options).load(), tenant.id)
-
-    def rows(self, index: IndexDef, tenants: Sequence[Tenant]) -> DataFrame:
-        return union_tenants([self.tenant_rows(index, tenant) for tenant in tenants])

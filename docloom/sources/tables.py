@@ -47,6 +47,28 @@ def modified_epoch(df: DataFrame, name: str) -> Column:
     return epoch_seconds(F.col(name))
 
 
+def since_marks(df: DataFrame, column: str, marks: Mapping[str, int]) -> DataFrame:
+    """Rows of several tenants at or after each tenant's own mark.
+
+    Mark 0 means "from the beginning", rows without a modified value included.  The
+    oldest other mark is a literal bound that reaches the scan; the join then applies
+    each tenant's own.  A query without the modified column is read whole.
+    """
+    name = find_column(df, column)
+    if name is None:
+        return df
+    fresh = sorted(tenant for tenant, mark in marks.items() if mark == 0)
+    others = [mark for mark in marks.values() if mark != 0]
+    if not others:
+        return df
+    if len(fresh) <= IN_LIST_LIMIT:
+        bound = F.col(name) >= since_literal(df.schema[name].dataType, min(others))
+        df = df.where((F.col("tenant").isin(fresh) | bound) if fresh else bound)
+    own = local_frame(df.sparkSession, list(marks.items()), "tenant string, _mark bigint")
+    due = (F.col("_mark") == 0) | (modified_epoch(df, name) >= F.col("_mark"))
+    return df.join(broadcast_if_small(own, len(marks)), "tenant").where(due).drop("_mark")
+
+
 def with_ids(df: DataFrame, column: str, ids: Sequence[int] | DataFrame) -> DataFrame:
     """Rows whose id is in a list or in the single column of a DataFrame.
 
@@ -85,17 +107,39 @@ class SharedTables:
         self.tenant_column = tenant_column
         self.args = dict(args or {})
 
-    def rows(self, index: IndexDef, tenants: Sequence[Tenant]) -> DataFrame:
+    def rows(
+        self, index: IndexDef, tenants: Sequence[Tenant], marks: Mapping[str, int] | None = None
+    ) -> DataFrame:
         df = query_rows(self.spark, index.query_for(None), self.args)
         name = find_column(df, self.tenant_column)
         if name is None:
             raise ValueError(f"tenant column {self.tenant_column!r} is not in the query result")
         if name != "tenant":
             df = df.withColumnRenamed(name, "tenant")
-        return filter_tenants(df, tenants)
+        df = filter_tenants(df, tenants)
+        return df if marks is None else since_marks(df, index.modified_column, marks)
+
 
+class PerTenant:
+    """A source that reads each tenant on its own; all are united into one job."""
 
-class TenantTables:
+    def tenant_rows(self, index: IndexDef, tenant: Tenant) -> DataFrame:
+        raise NotImplementedError
+
+    def rows(
+        self, index: IndexDef, tenants: Sequence[Tenant], marks: Mapping[str, int] | None = None
+    ) -> DataFrame:
+        parts = []
+        for tenant in tenants:
+            df = self.tenant_rows(index, tenant)
+            mark = 0 if marks is None else marks[tenant.id]
+            if mark and find_column(df, index.modified_column) is not None:
+                df = modified_since(df, index.modified_column, mark)
+            parts.append(df)
+        return union_tenants(parts)
+
+
+class TenantTables(PerTenant):
     """Separate tables per tenant under the same names.
 
     ``tables(tenant)`` returns the tenant's DataFrames by table name.  Each tenant's
@@ -118,9 +162,6 @@ class TenantTables:
                 self.spark.catalog.dropTempView(name)
         return tag_tenant(rows, tenant.id)
 
-    def rows(self, index: IndexDef, tenants: Sequence[Tenant]) -> DataFrame:
-        return union_tenants([self.tenant_rows(index, tenant) for tenant in tenants])
-
 
 def tag_tenant(df: DataFrame, tenant: str) -> DataFrame:
     """Add the tenant to every row."""

@@ -94,13 +94,32 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_ROW_LIMIT else df
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or to ``path``, and read it back.
 
     Cuts the lineage, so that later passes see the same rows even if the source moves
     on, and survives the loss of executors.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = path or fresh_path(spark, label)
+    df.write.mode("errorifexists").parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
+
+
+class Stage:
+    """Staged tables that are removed again when the work that needs them is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(fresh_path(self.spark, label))
+        return stage(df, label, self.paths[-1])
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)

@@ -95,6 +95,7 @@ def test_merge_shuffles_rows_once(spark, data):
     jobs = b.indexer(spark, data, b.IndexSet((ORDER,)))
     table = jobs.index.table("order")
     documents = to_documents(jobs.source.rows(ORDER, jobs.tenants), ORDER)
-    sized = table._plan(documents, table.manifest())
-    text = plan(table._pick(documents.withColumn("_age", F.lit(2)), sized, "v"))
+    with workspace.Stage(spark) as stage:
+        sized = table._plan(documents, table.manifest(), stage)
+        text = plan(table._pick(documents.withColumn("_age", F.lit(2)), sized, "v"))
     assert text.count("hashpartitioning") == 1 and text.count(" Sort ") <= 2

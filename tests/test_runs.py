@@ -265,3 +265,40 @@ def test_binary_documents(spark, tmp_path):
     import base64
 
     assert base64.b64decode(json.loads(first[0].source)["data"]) == bytes(range(256))
+
+
+def test_poll_takes_rows_off_the_log(spark, root):
+    from docloom.operators.snapshots import SnapshotTable
+
+    put_items(spark, [("a", n, "old", 1) for n in range(4)])
+    put_notes(spark, [("a", 1)])
+    for keep, left in ((False, 3), (True, 1)):
+        jobs = Indexer(spark, IndexSet((ITEM,), delete_records_after_indexing=keep), TENANTS, SharedTables(spark), f"{root}{keep}")
+        jobs.full(tenant="a", run_ts=1)
+        log = SnapshotTable(spark, fresh_path(spark, "log"), ch.CHANGE_SCHEMA)
+        log.write(log_rows(spark, [("a", "item", "DELETE", 1, 5, 1), ("b", "item", "DELETE", 2, 5, 2), ("a", "ghost", "DELETE", 2, 5, None)]))
+        assert jobs.poll(log) == 2
+        assert log.read().count() == left
+        assert jobs.poll(log) == (0 if keep else 2)
+        assert set(content(jobs)) == {"a_item_0", "a_item_2", "a_item_3"}
+    assert jobs.vacuum() > 0 and set(content(jobs)) == {"a_item_0", "a_item_2", "a_item_3"}
+
+
+def test_own_tables_apply_each_tenants_mark(spark, root):
+    index = IndexDef("item", {"spark": "SELECT id, id AS changed FROM mine"}, "id", "changed")
+    source = TenantTables(spark, lambda t: {"mine": spark.range(10)})
+    tenants = [Tenant("a"), Tenant("b")]
+    got = source.rows(index, tenants, {"a": 0, "b": 7})
+    assert {r.tenant: r["count"] for r in got.groupBy("tenant").count().collect()} == {"a": 10, "b": 3}
+
+
+def test_new_tenant_does_not_lift_the_bound_of_others(spark, data):
+    from docloom.suite import base as b
+
+    b.register_tables(spark, data, "orders")
+    marks = {"tenant0": 0, "tenant1": 883_612_800, "tenant2": 983_612_800}
+    rows = SharedTables(spark).rows(b.ORDER, b.FOUR_TENANTS[:3], marks)
+    want = spark.sql(
+        "SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0 OR (o_orderkey % 4 = 1 AND o_orderdate >= '1998-01-01') "
+        "OR (o_orderkey % 4 = 2 AND unix_seconds(CAST(o_orderdate AS timestamp)) >= 983612800)").first()[0]
+    assert rows.count() == want

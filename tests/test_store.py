@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.operators.store import DELTA, DocumentTable
-from docloom.workspace import local_frame
+from docloom.workspace import Stage, local_frame
 
 FIELDS = T.StructType([T.StructField("v", T.LongType())])
 ROWS = (
@@ -71,8 +71,8 @@ def test_hot_id_is_reduced_exactly(spark, root):
     rows = [row("a", n, n, at=1, run=False) for n in range(300)]
     rows += [row("a", 5, 1000 + n, at=n + 2, run=False) for n in range(300)]
     random.Random(1).shuffle(rows)
-    plan = table._plan(frame(spark, rows), table.manifest())
-    assert plan.hot_slices == 1
+    with Stage(spark) as stage:
+        assert table._plan(frame(spark, rows), table.manifest(), stage).hot_slices == 1
     table.upsert(frame(spark, rows))
     assert content(table) == {**{f"a_t_{n}": n for n in range(300)}, "a_t_5": 1299}
 
