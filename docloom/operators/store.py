@@ -7,9 +7,11 @@ Layout below the table's folder::
     quarantine/                          rows without a usable id
 
 A commit writes only the buckets it touches into a new ``version`` folder and then
-publishes a manifest that points at them.  Reading is a join of the data with the
-manifest on the partition columns; the name of a part is unique, so dynamic partition
-pruning reads exactly the live folders.  Removing a tenant only edits the manifest.
+publishes a manifest that points at them.  A few parts are read by their names, so that
+a small merge does not list a large table.  Otherwise reading is a join of the data with
+the manifest on the partition columns; the name of a part is unique, so dynamic
+partition pruning reads exactly the live folders.  Removing a tenant only edits the
+manifest.
 
 A tenant gets as many buckets as its row count calls for, so one that holds a third of
 all rows is spread over as many tasks as that takes, and a small one stays in one file.
@@ -26,7 +28,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +43,10 @@ SLICES = 65_536
 FEW_TENANTS = 1_000
 #: Deltas are folded into the base once they hold more than one row per this many base rows.
 DELTA_SHARE = 20
+#: Delta parts are first joined into one delta when there are this many.
+DELTA_PARTS = 64
+#: Up to this many parts are read by name; more are found by joining with the manifest.
+NAMED_PARTS = 1_000
 #: Bucket number of delta parts in the manifest.
 DELTA = -1
 #: A tenant is spread anew once its buckets hold this many times the target.
@@ -77,7 +83,7 @@ class CommitPlan:
     slices: DataFrame
     layout: DataFrame
     tenants: int
-    buckets: int
+    parts: int
     rows: int
     rows_bad: int
     hot_slices: int
@@ -177,21 +183,29 @@ class DocumentTable:
     def _scan(self, entries: DataFrame) -> DataFrame:
         """Stored rows of the given manifest entries."""
         data = f"{self.path}/data"
-        if not workspace.path_exists(self.spark, data):
-            return workspace.local_frame(self.spark, [], self._stored_schema)
         # The comparison on ``rows`` also marks the side as selective, which is what
         # lets the planner prune the tenant and part folders.
         keys = entries.where(F.col("rows") > 0).select("tenant", "part")
+        few = keys.take(NAMED_PARTS + 1)
+        if not few:
+            return workspace.local_frame(self.spark, [], self._stored_schema)
+        reader = self.spark.read.schema(self._stored_schema).option("basePath", data)
+        if len(few) <= NAMED_PARTS:
+            return reader.parquet(*[f"{data}/{self._folder(row.tenant, row.part)}" for row in few])
         if self._manifest_is_small():
             keys = F.broadcast(keys)
-        stored = self.spark.read.schema(self._stored_schema).parquet(data)
-        return stored.join(keys, ["tenant", "part"])
+        return reader.parquet(data).join(keys, ["tenant", "part"])
+
+    def _folder(self, tenant: str, part: str) -> str:
+        """Folder of a part below ``data``, as the partitioned writer names it."""
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"version={part.split('_')[0]}/tenant={escape(tenant)}/part={part}"
 
     def rows(self) -> DataFrame:
         """Every current row, tombstones included."""
         manifest = self.manifest()
         base = self._scan(base_entries(manifest))
-        pending = rows_in(delta_entries(manifest))
+        pending = manifest_sizes(manifest).delta_rows
         return base if pending == 0 else self._overlay(base, self._deltas(manifest), pending)
 
     def _deltas(self, manifest: DataFrame) -> DataFrame:
@@ -252,7 +266,7 @@ class DocumentTable:
     def counts(self) -> DataFrame:
         """Live and deleted documents per tenant, from the manifest alone if it can tell."""
         manifest = self.manifest()
-        if rows_in(delta_entries(manifest)) == 0:
+        if manifest_sizes(manifest).delta_rows == 0:
             return manifest.groupBy("tenant").agg(
                 F.sum(F.col("rows") - F.col("tombstones")).alias("documents"),
                 F.sum("tombstones").alias("tombstones"),
@@ -289,11 +303,8 @@ class DocumentTable:
         """
         manifest = self.manifest()
         arriving = self._arriving(incoming)
-        if rows_in(delta_entries(manifest)) > 0:
-            folded = self._deltas(manifest).select("tenant", *self.row_schema.names)
-            arriving = arriving.unionByName(
-                folded.withColumn("from_run", F.lit(False)).withColumn("_age", F.lit(1))
-            )
+        if manifest_sizes(manifest).delta_rows > 0:
+            arriving = arriving.unionByName(self._pending(manifest))
         with workspace.Stage(self.spark) as stage:
             return self._merge(stage(arriving, f"incoming-{self.document_type}"), manifest, stage)
 
@@ -302,15 +313,24 @@ class DocumentTable:
         manifest = self.manifest()
         with workspace.Stage(self.spark) as stage:
             events = stage(self._arriving(events), f"events-{self.document_type}")
-            pending = rows_in(delta_entries(manifest)) + events.count()
-            if pending * DELTA_SHARE > rows_in(base_entries(manifest)):
+            sizes = manifest_sizes(manifest)
+            pending = sizes.delta_rows + events.count()
+            if pending * DELTA_SHARE > sizes.base_rows:
                 return self.upsert(events)
+            if sizes.delta_parts >= DELTA_PARTS:
+                events = stage(events.unionByName(self._pending(manifest)), "deltas")
+                manifest = base_entries(manifest)
             version = self._new_version()
             plan = self._plan(events, manifest.where(F.lit(False)), stage)
             rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
             self._write(self._pick(rows, plan, version), version)
             return self._publish(manifest, plan, version, events, DELTA)
 
+    def _pending(self, manifest: DataFrame) -> DataFrame:
+        """The deltas as rows of a merge, older than what arrives."""
+        deltas = self._deltas(manifest).select("tenant", *self.row_schema.names)
+        return deltas.withColumn("from_run", F.lit(False)).withColumn("_age", F.lit(1))
+
     def _arriving(self, rows: DataFrame) -> DataFrame:
         return rows.select("tenant", *self.row_schema.names, "from_run").withColumn("_age", F.lit(2))
 
@@ -408,12 +428,29 @@ class DocumentTable:
         few = layout.take(FEW_TENANTS + 1)
         if len(few) <= FEW_TENANTS:
             layout = workspace.local_frame(self.spark, few, layout.schema)
-            tenants, buckets = len(few), sum(row.buckets for row in few)
+            tenants = len(few)
         else:
             layout = stage(layout, "layout")
-            tenants, buckets = layout.agg(F.count(F.lit(1)), F.sum("buckets")).first()
+            tenants = layout.count()
+        # Parts the commit writes: all buckets of a tenant spread anew, else those hit.
+        hit = self._hit_buckets(slices, layout, tenants).where("NOT respread").select("tenant", "bucket")
+        spread = layout.where("respread").select(
+            "tenant", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket")
+        )
+        parts = hit.unionByName(spread).count()
         return CommitPlan(
-            slices, layout, tenants, max(buckets, 1), totals.rows, totals.bad, totals.hot
+            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot
+        )
+
+    @staticmethod
+    def _hit_buckets(slices: DataFrame, layout: DataFrame, tenants: int) -> DataFrame:
+        """(tenant, bucket) of the incoming rows."""
+        sized = workspace.broadcast_if_small(layout, tenants)
+        return (
+            slices.where("slice IS NOT NULL")
+            .join(sized, "tenant")
+            .select("tenant", F.pmod("slice", "buckets").cast("int").alias("bucket"), "respread")
+            .distinct()
         )
 
     def _is_hot(self) -> Column:
@@ -433,23 +470,18 @@ class DocumentTable:
         wanted = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(parts))), F.lit(float(SLICES))).cast("int")
         keep = F.col("current").isNotNull() & (wanted <= F.col("current") * GROWTH_FACTOR)
         return arriving.join(stored, "tenant", "left").select(
-            "tenant", F.when(keep, F.col("current")).otherwise(wanted).alias("buckets")
+            "tenant",
+            F.when(keep, F.col("current")).otherwise(wanted).alias("buckets"),
+            (F.col("current").isNotNull() & ~keep).alias("respread"),
         )
 
-    @staticmethod
-    def _touched(manifest: DataFrame, plan: CommitPlan) -> DataFrame:
+    def _touched(self, manifest: DataFrame, plan: CommitPlan) -> DataFrame:
         """Manifest entries a merge must rewrite."""
-        layout = workspace.broadcast_if_small(plan.layout, plan.tenants)
-        hit = (
-            plan.slices.where("slice IS NOT NULL")
-            .join(layout, "tenant")
-            .select("tenant", F.pmod("slice", "buckets").cast("int").alias("bucket"))
-            .distinct()
+        hit = self._hit_buckets(plan.slices, plan.layout, plan.tenants).where("NOT respread")
+        spread = plan.layout.where("respread").select("tenant")
+        return manifest.join(spread, "tenant", "left_semi").unionByName(
+            manifest.join(hit, ["tenant", "bucket"], "left_semi")
         )
-        mine = manifest.join(layout.withColumnRenamed("buckets", "_new"), "tenant")
-        respread = mine.where(F.col("buckets") != F.col("_new"))
-        same = mine.where(F.col("buckets") == F.col("_new"))
-        return respread.unionByName(same.join(hit, ["tenant", "bucket"], "left_semi")).drop("_new")
 
     def _unhot(self, incoming: DataFrame, plan: CommitPlan) -> DataFrame:
         """Reduce ids that repeat so often that their slice alone overfills a bucket.
@@ -481,8 +513,8 @@ class DocumentTable:
         placed = (
             rows.join(workspace.broadcast_if_small(plan.layout, plan.tenants), "tenant")
             .withColumn("part", part)
-            .drop("buckets")
-            .repartition(2 * plan.buckets, "tenant", "part")
+            .drop("buckets", "respread")
+            .repartition(2 * plan.parts, "tenant", "part")
         )
         same_id = Window.partitionBy("tenant", "part", "doc_id")
         newest = same_id.orderBy(*newest_wins(F.col("_age")))
@@ -529,7 +561,7 @@ class DocumentTable:
                 F.count(F.lit(1)).alias("rows"),
                 F.sum(F.col("deleted").cast("bigint")).alias("tombstones"),
             )
-            .join(workspace.broadcast_if_small(plan.layout, plan.tenants), "tenant")
+            .join(workspace.broadcast_if_small(plan.layout.drop("respread"), plan.tenants), "tenant")
             .withColumn("bucket", F.split("part", "_")[1].cast("int") if bucket is None else F.lit(bucket))
         )
         number = self.snapshots.write(kept.unionByName(written))
@@ -567,9 +599,14 @@ def delta_entries(manifest: DataFrame) -> DataFrame:
     return manifest.where(F.col("bucket") == DELTA)
 
 
-def rows_in(entries: DataFrame) -> int:
-    """Rows behind some manifest entries."""
-    return entries.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+def manifest_sizes(manifest: DataFrame) -> Row:
+    """Rows of the base, and rows and parts of the deltas."""
+    is_delta = F.col("bucket") == DELTA
+    return manifest.agg(
+        F.coalesce(F.sum(F.when(~is_delta, F.col("rows"))), F.lit(0)).alias("base_rows"),
+        F.coalesce(F.sum(F.when(is_delta, F.col("rows"))), F.lit(0)).alias("delta_rows"),
+        F.count_if(is_delta).alias("delta_parts"),
+    ).first()
 
 
 def split_unusable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:

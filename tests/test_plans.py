@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import changes as ch
 from docloom.operators import search as se
+from docloom.operators import store
 from docloom.plans.documents import to_documents
 from docloom.sources.tables import SharedTables, modified_since, query_rows, with_ids
 from docloom.suite import base as b
@@ -63,7 +64,8 @@ def test_search_does_not_shuffle(spark, data):
     assert "TakeOrderedAndProject" in plan(se.search_page(hits, 0, 10).select("doc_id"))
 
 
-def test_store_reads_only_live_parts(spark, data):
+def test_store_reads_only_live_parts(spark, data, monkeypatch):
+    monkeypatch.setattr(store, "NAMED_PARTS", 1)
     jobs = b.indexer(spark, data, b.IndexSet((ORDER,)))
     jobs.full(run_ts=1)
     jobs.full(run_ts=2)
@@ -78,6 +80,10 @@ def test_store_reads_only_live_parts(spark, data):
     live = {row.part for row in table.manifest().collect()}
     files = {f.split("/part=")[1].split("/")[0] for f in table.documents().inputFiles() if "/part=" in f}
     assert live < files
+    monkeypatch.undo()
+    assert "Join" not in plan(table.documents())
+    files = {f.split("/part=")[1].split("/")[0] for f in table.documents().inputFiles()}
+    assert live == files
 
 
 def test_large_side_is_not_broadcast(spark, monkeypatch):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.operators import store
 from docloom.operators.store import DELTA, DocumentTable
 from docloom.workspace import Stage, local_frame
 
@@ -124,8 +125,11 @@ def test_few_events_become_a_delta_and_fold_later(spark, root):
     assert content(table) == want | {"a_t_5": 50}
 
 
-def test_late_events_lose_in_any_batching(spark, root):
+@pytest.mark.parametrize("named", [1000, 0])
+def test_late_events_lose_in_any_batching(spark, root, monkeypatch, named):
     """Random events, cut into commits at random and applied out of order, against brute force."""
+    monkeypatch.setattr(store, "NAMED_PARTS", named)
+    monkeypatch.setattr(store, "DELTA_PARTS", 2)
     rng = random.Random(7)
     start = [row("a", n, n) for n in range(120)]
     events = []
@@ -154,6 +158,14 @@ def test_late_events_lose_in_any_batching(spark, root):
     assert content(table) == want
 
 
+def test_small_merge_into_a_wide_table_runs_few_tasks(spark, root):
+    table = table_at(spark, root, target=20)
+    table.upsert(frame(spark, [row("a", n, n) for n in range(600)]))
+    with Stage(spark) as stage:
+        plan = table._plan(frame(spark, [row("a", 1, 1), row("a", 2, 2)]), table.manifest(), stage)
+    assert plan.parts <= 2
+
+
 def test_run_keeps_the_event_mark(spark, root):
     """A run overwrites the document, and a delete older than the last event still loses."""
     table = table_at(spark, root)
