@@ -6,15 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import minmax, mixing
+from docloom.llm import bpe, minmax, mixing, toxicity
 from docloom.llm.texts import table
 
 
+def op1_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return minmax.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes they decode to."""
+    return bpe.encoded(table(spark, folder, "documents")).drop("ids")
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.mixed(table(spark, folder, "documents")).select(
@@ -23,7 +33,9 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
     "op4_minmax_dedup": op4_minmax_dedup,
+    "op5_prefix_bpe": op5_prefix_bpe,
     "op8_source_mix": op8_source_mix,
 }
 
