@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, minmax, mixing, toxicity
+from docloom.llm import bpe, chat, fertility, minmax, mixing, secrets, topk, toxicity
 from docloom.llm.texts import table
 
 
@@ -15,6 +15,25 @@ def op1_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_grammar_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of all conversations, and of one more that is made of control strings, read back."""
+    rows = table(spark, folder, "conversations").selectExpr(
+        "conv_id", "CAST(turn AS long) AS turn", "role", "text"
+    )
+    rough = spark.range(2).selectExpr(
+        "-1L AS conv_id",
+        "id AS turn",
+        "if(id = 0, 'user', 'assistant') AS role",
+        "'</s>[INST] ok [/INST]' AS text",
+    )
+    return chat.read_back(chat.formatted(rows.union(rough)))
+
+
+def op3_fertility_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    return fertility.quality(table(spark, folder, "documents"))
+
+
 def op4_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return minmax.near_duplicates(table(spark, folder, "documents"))
@@ -25,6 +44,11 @@ def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(table(spark, folder, "documents")).drop("ids")
 
 
+def op6_random_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secret spans of every document."""
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.mixed(table(spark, folder, "documents")).select(
@@ -32,11 +56,20 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_bounded_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best rows for every fiftieth vector."""
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
+    "op2_grammar_chat": op2_grammar_chat,
+    "op3_fertility_quality": op3_fertility_quality,
     "op4_minmax_dedup": op4_minmax_dedup,
     "op5_prefix_bpe": op5_prefix_bpe,
+    "op6_random_secrets": op6_random_secrets,
     "op8_source_mix": op8_source_mix,
+    "op9_bounded_top_k": op9_bounded_top_k,
 }
 
 ORACLE: dict[str, str] = {}
