@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, chat, fertility, minmax, mixing, secrets, topk, toxicity
+from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, topk, toxicity
 from docloom.llm.texts import table
 
 
@@ -61,6 +61,11 @@ def op9_bounded_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
+def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
     "op2_grammar_chat": op2_grammar_chat,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_random_secrets": op6_random_secrets,
     "op8_source_mix": op8_source_mix,
     "op9_bounded_top_k": op9_bounded_top_k,
+    "op10_weak_supervision_pii": op10_weak_supervision_pii,
 }
 
 ORACLE: dict[str, str] = {}
