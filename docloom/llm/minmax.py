@@ -1,16 +1,17 @@
 """Near-duplicates by min-max hashing.
 
 Each of ``PERMUTATIONS`` hash functions is evaluated once per shingle and both its smallest
-and its largest value are kept, so 64 evaluations give a signature of 128 values. Either
-value of two sets agrees with a chance equal to their similarity. A band joins two minima and
-two maxima of four different functions; with 32 bands a pair at similarity 0.75 is missed
-with a chance of 5e-6. Every candidate is confirmed on its full shingle sets.
+and its largest value are kept, so 120 evaluations give a signature of 240 values. Either
+value of two sets agrees with a chance equal to their similarity. A band joins five values of
+five different functions; with 48 bands a pair at similarity 0.75 is missed with a chance of
+2e-6. Every candidate is confirmed on its full shingle sets.
 
 Steps: one pass gives each document its signature and the fingerprint of its set; documents
 of equal sets form a class, of which the smallest id goes on. In each bucket of a band the
-smallest id is the hub, and every other member is compared with it, never all with all.
-After the links found that way are merged, buckets that still hold several components
-are compared across components. Hubs with many members are cut into salted groups.
+smallest id is the hub, and every other member is compared with it. Hubs with many members
+are cut into salted groups. After these links are merged, most buckets hold one component. In
+the others all members of different components are compared, in blocks of ``BLOCK`` members:
+a task counts the shared shingles of two blocks by a matrix product and returns links only.
 """
 
 from __future__ import annotations
@@ -26,21 +27,28 @@ from docloom.llm.components import components
 from docloom.llm.texts import PLACES, mix, shingle_sets
 from docloom.workspace import stage
 
-PERMUTATIONS = 64
-BANDS = 32
+PERMUTATIONS = 120
+BANDS = 48
 #: Words of a shingle, and the least similarity in hundredths.
 SHINGLE = 5
 SIMILAR = 75
-#: Members that are compared with one copy of a hub.
+#: Members that are compared with one copy of a hub, and members of a block.
 GROUP = 256
+BLOCK = 256
+#: Shingles that a matrix product takes at once.
+COLUMNS = 4096
 
 _random = np.random.Generator(np.random.PCG64(7))
 _FACTOR = _random.integers(1, 1 << 63, size=PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _random.integers(0, 1 << 63, size=PERMUTATIONS, dtype=np.uint64)
 _BAND = np.arange(BANDS)
-#: The functions of each band: minima of two, maxima of the next two.
-_LOW = np.stack([2 * _BAND, 2 * _BAND + 1], axis=1) % PERMUTATIONS
-_HIGH = (_LOW + 2) % PERMUTATIONS
+#: Bands take three minima and two maxima, or two and three, in turn; no function occurs twice in one.
+_LOW, _HIGH, _next = [], [], [0, PERMUTATIONS // 2]
+for _band in range(BANDS):
+    _n = 3 - _band % 2
+    _LOW.append([(_next[0] + i) % PERMUTATIONS for i in range(_n)])
+    _HIGH.append([(_next[1] + i) % PERMUTATIONS for i in range(5 - _n)])
+    _next = [_next[0] + _n, _next[1] + 5 - _n]
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,9 +68,14 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """One 64-bit key for each set and band."""
-    value = _BAND.astype(np.uint64) * PLACES[10]
-    value = value + low[:, _LOW[:, 0]] * PLACES[11] + low[:, _LOW[:, 1]] * PLACES[12]
-    return mix(value + high[:, _HIGH[:, 0]] * PLACES[13] + high[:, _HIGH[:, 1]] * PLACES[14])
+    keys = np.empty((len(low), BANDS), np.uint64)
+    for band in range(BANDS):
+        columns = [*(low[:, k] for k in _LOW[band]), *(high[:, k] for k in _HIGH[band])]
+        value = np.full(len(low), band, np.uint64) * PLACES[10]
+        for place, column in enumerate(columns, 11):
+            value += column * PLACES[place]
+        keys[:, band] = mix(value)
+    return keys
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +142,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose documents are similar on their full sets.
+def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) whose texts (node, text) are similar on their full sets.
 
     A member's text travels to its hub ``a``; a hub of many members is copied once for every
     ``GROUP`` of them, so no task gets more members of one hub than that.
@@ -146,10 +159,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     hubs = salted.select(
         "hub", "salt", F.lit(False).alias("member"), F.col("hub").alias("node")
     ).distinct()
-    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
     return (
         salted.union(hubs)
-        .join(texts, "node")
+        .join(texts.hint("merge"), "node")
         .select("hub", "salt", "member", "node", "text")
         .repartition("hub", "salt")
         .sortWithinPartitions("hub", "salt", "member")
@@ -157,6 +169,76 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # a shingle of one set only is shared by none
+    place = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        out += part @ part.T
+    return out
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between members of different components in each pair of blocks; rows sorted by these."""
+
+    def links(group: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        ids, parts = np.array([x[0] for x in group]), np.array([x[1] for x in group])
+        a = b = np.zeros(0, np.int64)
+        if len(group) and (parts != parts[0]).any():
+            size = np.array([len(x[2]) for x in group])
+            both = shared_counts([x[2] for x in group])
+            good = 100 * both >= SIMILAR * (size[:, None] + size[None, :] - both)
+            a, b = np.nonzero(good & (parts[:, None] < parts[None, :]))
+            a, b = ids[a], ids[b]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    at, group = None, []
+    for batch in batches:
+        key, i, j, node, part = (batch.column(k).to_pylist() for k in range(5))
+        for k, found in enumerate(shingle_sets(batch.column(5), SHINGLE)):
+            if (key[k], i[k], j[k]) != at:
+                yield links(group)
+                at, group = (key[k], i[k], j[k]), []
+            group.append((node[k], part[k], found))
+    yield links(group)
+
+
+def across(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between ``members`` (key, id, c) of one bucket and different components c."""
+    counted = members.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    return (
+        members.join(counted.filter("low != high").select("key", "blocks"), "key")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "key",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            F.col("id").alias("node"),
+            "c",
+        )
+        .join(texts.hint("merge"), "node")
+        .select("key", "i", "j", "node", "c", "text")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .mapInArrow(_across, "a long, b long")
+        .distinct()
+    )
+
+
 def _fits(small: str, large: str) -> str:
     """The sizes of two sets allow the wanted similarity."""
     return f"100 * least({small}, {large}) >= {SIMILAR} * greatest({small}, {large})"
@@ -177,17 +259,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         usable.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")),
         "classes",
     )
-    bands = stage(
-        classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), F.col("n_shingles").alias("n")),
-        "bands",
-    )
+    # one shuffle serves both the aggregate and the join
+    bands = classes.select(
+        F.explode("bands").alias("key"), F.col("rep").alias("id"), F.col("n_shingles").alias("n")
+    ).repartition("key")
     hubs = (
         bands.groupBy("key")
         .agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("members"))
         .filter("members > 1")
     )
     members = stage(
-        bands.join(hubs, "key").select("key", "id", "n", "hub", "members"), "members"
+        bands.join(hubs.hint("merge"), "key").select("key", "id", "n", "hub", "members"), "members"
     )
     star = stage(
         members.filter("id != hub.id")
@@ -196,30 +278,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .distinct(),
         "star",
     )
+    nodes = members.select(F.col("id").alias("node")).distinct()
+    texts = stage(
+        docs.filter("doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("node"), "text")
+        .join(nodes.hint("merge"), "node", "left_semi"),
+        "texts",
+    )
     # ids that repeat link the classes of their texts
     same = usable.groupBy(*key, "doc_id").count().join(classes.select(*key, "rep"), key).filter("doc_id != rep")
     same = same.join(usable.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "doc_id")
     known = stage(
-        confirmed(docs, star).union(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))),
+        confirmed(texts, star).union(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))),
         "known",
     )
     found = components(known)
+    # a bucket of two was compared in full
     part = members.filter("members > 2").join(
         found.withColumnRenamed("node", "id"), "id", "left"
-    ).select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    mixed = part.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high")
-    open_ = stage(part.join(mixed.select("key"), "key"), "open")
-    other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    across = stage(
-        open_.join(other, "key")
-        .filter("c != d AND id < b")
-        .filter(_fits("n", "m"))
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
-        .join(star, ["a", "b"], "left_anti"),
-        "across",
-    )
-    more = stage(confirmed(docs, across), "more")
+    ).select("key", "id", F.coalesce("component", "id").alias("c"))
+    more = stage(across(texts, part), "more")
     if not more.isEmpty():
         found = components(known.union(more))
     result = classes.select(*key, "rep").join(
