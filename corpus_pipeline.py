@@ -6,25 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import minmax, mixing
+from docloom.llm import bpe, minmax, mixing, secrets
+from docloom.llm import toxicity as toxic
+from docloom.llm.texts import table
 from docloom.workspace import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    return toxic.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates."""
     return minmax.deduplicated(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets masked."""
+    return secrets.without_secrets(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixture(docs)
 
 
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of them and of what they decode to."""
+    return bpe.encoded(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
     ("source_mix", source_mix),
+    ("bpe_encode", bpe_encode),
 ]
 
 #: The stages are iterative or learned; SQL does not express them.
@@ -33,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
     return docs

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, topk, toxicity
+from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, topk, toxicity, urls
 from docloom.llm.texts import table
 
 
@@ -49,6 +49,11 @@ def op6_random_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
 
+def op7_path_template_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return urls.filtered(table(spark, folder, "pages"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.mixed(table(spark, folder, "documents")).select(
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minmax_dedup": op4_minmax_dedup,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_random_secrets": op6_random_secrets,
+    "op7_path_template_urls": op7_path_template_urls,
     "op8_source_mix": op8_source_mix,
     "op9_bounded_top_k": op9_bounded_top_k,
     "op10_weak_supervision_pii": op10_weak_supervision_pii,
