@@ -137,15 +137,23 @@ def mixture(docs: DataFrame) -> DataFrame:
     Rows that agree in id, source and text are taken alike, the number of copies being the
     largest that any of them got; rows without words are never taken.
     """
-    copies = (
+    key, copies, copy = (_unused(docs.columns, name) for name in ("key", "copies", "copy"))
+    taken = (
         mixed(docs, whole=True)
         .filter("size > 0 AND taken > 0")
-        .groupBy("key")
-        .agg(F.max(F.expr("taken div size")).alias("copies"))
+        .groupBy(F.col("key").alias(key))
+        .agg(F.max(F.expr("taken div size")).cast("int").alias(copies))
     )
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(SEED), "doc_id", F.xxhash64("text")))
+    keyed = docs.withColumn(key, F.xxhash64(F.lit(SEED), "doc_id", F.xxhash64("text")))
     return (
-        keyed.join(copies.withColumnRenamed("key", "_key"), "_key")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        keyed.join(taken, key)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
         .select(*docs.columns)
     )
+
+
+def _unused(names: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    while name.lower() in {x.lower() for x in names}:
+        name = "_" + name
+    return name
