@@ -34,7 +34,7 @@ SHINGLE = 5
 SIMILAR = 75
 #: Members that are compared with one copy of a hub, and members of a block.
 GROUP = 256
-BLOCK = 256
+BLOCK = 512
 #: Shingles that a matrix product takes at once.
 COLUMNS = 4096
 
