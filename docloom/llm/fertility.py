@@ -171,8 +171,8 @@ def measured(docs: DataFrame, path: str) -> DataFrame:
 def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The measures, base_failed and kept for every row of ``docs``.
 
-    Bands come from the documents that pass the base rules, for each language and
-    script; a null language is a group of its own. Entropy is taken relative to the logarithm of the
+    Bands come from the documents that pass the base rules, for each language, or for each
+    script where the language is null. Entropy is taken relative to the logarithm of the
     number of tokens, which makes texts of different lengths comparable. Texts that are
     null, empty or without words have zero counts and fail the base rules. Rows that repeat
     get equal results; other columns are ignored; an empty table gives an empty result.
@@ -187,15 +187,13 @@ def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
         "measures",
     )
     names = ["chars_per_token", "byte_share", "evenness"]
+    group = F.coalesce(F.concat(F.lit("lang "), "lang"), F.concat(F.lit("script "), "script"))
     quarters = (
         table.filter("NOT base_failed")
-        .groupBy("lang", "script")
+        .groupBy(group.alias("of"))
         .agg(*(F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(f"{name}_at") for name in names))
     )
-    of = quarters.withColumnRenamed("lang", "of_lang").withColumnRenamed("script", "of_script")
-    joined = table.join(
-        of, F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("script") == F.col("of_script")), "left"
-    )
+    joined = table.join(quarters, group == F.col("of"), "left")
     error = ERRORS / F.sqrt(F.greatest("n_tokens", F.lit(1)))
 
     def within(name: str, floor: float):

@@ -102,6 +102,9 @@ def character_model(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(GRAMS)
     counts[rows.column("gram").to_numpy()] = rows.column("n").to_numpy()
     counts = counts.reshape((ALPHABET,) * 4)
+    # plain language only: what a disguise looks like is the channel's part
+    for axis in range(4):
+        np.moveaxis(counts, axis, 0)[OTHER] = 0
     model = np.full(ALPHABET, 1 / ALPHABET)
     for order in range(1, 5):
         part = counts.sum(axis=tuple(range(4 - order)))
