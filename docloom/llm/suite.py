@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, topk, toxicity, urls
+from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, sql, topk, toxicity, urls
 from docloom.llm.texts import table
 
 
@@ -84,4 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_weak_supervision_pii": op10_weak_supervision_pii,
 }
 
-ORACLE: dict[str, str] = {}
+#: Learned, iterative over models, or defined by hashes: ops 1, 3, 5, 6, 7, 8 and 10 have no SQL and
+#: are tested against plain Python instead.
+ORACLE: dict[str, str] = {
+    "op2_grammar_chat": sql.CONVERSATIONS,
+    "op4_minmax_dedup": sql.NEAR_DUPLICATES,
+    "op9_bounded_top_k": sql.TOP_K,
+}
