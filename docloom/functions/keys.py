@@ -12,9 +12,15 @@ def _joined(tenant: Column, middle: Column, last: Column) -> Column:
 
 
 def doc_id(tenant: Column, document_type: str | Column, key: Column) -> Column:
-    """``<tenant>_<type>_<id>``; null when tenant or id is unusable."""
+    """``<tenant>_<type>_<id>``; null when tenant or id is unusable, as an id with a fraction is."""
     kind = F.lit(document_type) if isinstance(document_type, str) else document_type
-    return _joined(tenant, kind, key.try_cast("bigint"))
+    return _joined(tenant, kind, whole_number(key))
+
+
+def whole_number(key: Column) -> Column:
+    """The 64-bit number of a key; null unless the key is one."""
+    number = key.try_cast("bigint")
+    return F.when(key.try_cast("double") == number.cast("double"), number)
 
 
 def parent_key(tenant: Column, parent_type: str, key: Column) -> Column:

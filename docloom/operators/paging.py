@@ -51,7 +51,7 @@ def page(df: DataFrame, order: Sequence[Column], start: int, end: int) -> DataFr
         return df.orderBy(*order).offset(start).limit(end - start)
     ranked = global_row_number(df, order, "_row_no")
     wanted = (F.col("_row_no") > start) & (F.col("_row_no") <= end)
-    return ranked.where(wanted).drop("_row_no")
+    return ranked.where(wanted).orderBy("_row_no").drop("_row_no")
 
 
 def page_by_modified(df: DataFrame, modified: str, key: str, start: int, end: int) -> DataFrame:

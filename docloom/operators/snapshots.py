@@ -6,16 +6,15 @@ and a job that dies leaves the previous snapshot in force.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from docloom import workspace
 
 
-#: A snapshot that follows one below this size is written as one file by one task.
-ONE_FILE_BYTES = 4 * 1024 * 1024
-
-
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark = spark
@@ -34,23 +33,49 @@ class SnapshotTable:
         versions = self.versions()
         return self.version_path(versions[-1]) if versions else None
 
-    def read(self) -> DataFrame:
-        """The newest snapshot, or no rows."""
-        path = self.current_path()
-        if path is None:
+    def latest(self) -> int:
+        """Number of the newest snapshot; 0 before the first."""
+        versions = self.versions()
+        return versions[-1] if versions else 0
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The newest snapshot, or the one of a number; no rows before the first."""
+        version = self.latest() if version is None else version
+        if version == 0:
             return workspace.local_frame(self.spark, [], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path)
+        return self.spark.read.schema(self.schema).parquet(self.version_path(version))
 
     def write(self, df: DataFrame) -> int:
-        """Publish the next snapshot.  Two writers that race meet an existing folder."""
+        """Publish the next snapshot.  Two writers that race meet an existing folder.
+
+        The rows are spread by their size, so a small snapshot is one file.
+        """
         version = self._next_version()
         columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
-        current = self.current_path()
-        small = current is None or workspace.bytes_under(self.spark, current) < ONE_FILE_BYTES
-        shaped = df.select(*columns).coalesce(1) if small else df.select(*columns).hint("rebalance")
+        shaped = df.select(*columns).hint("rebalance")
         shaped.write.mode("errorifexists").parquet(self.version_path(version))
         return version
 
+    def change(self, make: Callable[[DataFrame], DataFrame], tries: int = 5) -> int:
+        """Publish ``make`` of the newest snapshot, made again if another one was published meanwhile.
+
+        The next number is taken by the first writer; so nothing that others wrote is lost.
+        """
+        for left in reversed(range(tries)):
+            base = self.latest()
+            try:
+                folder = self.version_path(base + 1)
+                if self._next_version() != base + 1:
+                    raise AnalysisException(f"{folder} is being written")
+                df = make(self.read(base))
+                columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
+                df.select(*columns).hint("rebalance").write.mode("errorifexists").parquet(folder)
+                return base + 1
+            except AnalysisException:
+                if not left:
+                    raise
+        raise ValueError("no try is allowed")
+
     def _next_version(self) -> int:
         """One past every folder there is, so a write that died is never reused."""
         folders = workspace.child_names(self.spark, f"{self.path}/v=*")

@@ -32,9 +32,19 @@ def has_status(status: str) -> Column:
     return equals_ignore_case(F.col("status"), F.lit(status))
 
 
-def running(state: DataFrame, tenant: str | None = None, document_type: str | None = None) -> DataFrame:
-    """State records that are running, of one tenant and type if given."""
+def running(
+    state: DataFrame,
+    tenant: str | None = None,
+    document_type: str | None = None,
+    since: int | None = None,
+) -> DataFrame:
+    """State records that are running, of one tenant and type if given.
+
+    With ``since`` only runs that started then or later count; an older one has died.
+    """
     found = state.where(F.col("status") == model.RUNNING)
+    if since is not None:
+        found = found.where(F.coalesce("execution_started_at", F.lit(0)) >= since)
     return find(found, tenant, document_type)
 
 
@@ -80,9 +90,9 @@ def last_run(pairs: DataFrame, state: DataFrame) -> DataFrame:
     ).drop("_mark")
 
 
-def not_running(pairs: DataFrame, state: DataFrame) -> DataFrame:
+def not_running(pairs: DataFrame, state: DataFrame, since: int | None = None) -> DataFrame:
     """(tenant, document_type) rows that no other run is working on."""
-    return pairs.join(running(state).select(*STATE_KEY), STATE_KEY, "left_anti")
+    return pairs.join(running(state, since=since).select(*STATE_KEY), STATE_KEY, "left_anti")
 
 
 def with_app(state: DataFrame, tenants: DataFrame) -> DataFrame:
@@ -149,6 +159,10 @@ class RunState:
         """Mark as completed, indexed up to the time taken before the read."""
         self.update(self._changed(pairs, mode, model.COMPLETED, started=run_ts, mark=run_ts))
 
+    def touched(self, pairs: DataFrame, mode: str, status: str, run_ts: int) -> None:
+        """Status and mode of a run that leaves the mark as it was."""
+        self.update(self._changed(pairs, mode, status, started=run_ts))
+
     def fail(self, pairs: DataFrame, mode: str) -> None:
         """Mark as failed; the next run starts from the old mark."""
         self.update(self._changed(pairs, mode, model.FAILED))

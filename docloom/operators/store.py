@@ -24,11 +24,12 @@ to a share of the table, folds them in.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,8 @@ DELTA_PARTS = 64
 NAMED_PARTS = 1_000
 #: Bucket number of delta parts in the manifest.
 DELTA = -1
+#: Seconds for which a part that no manifest names may belong to a commit under way.
+VACUUM_AGE = 24 * 3600.0
 #: A tenant is spread anew once its buckets hold this many times the target.
 GROWTH_FACTOR = 4
 
@@ -281,18 +284,18 @@ class DocumentTable:
     def replace(self, incoming: DataFrame, tenants: DataFrame) -> CommitReport:
         """Make ``incoming`` the whole content of ``tenants`` (one column ``tenant``).
 
-        ``incoming`` is evaluated twice: once for its ids, to size the buckets, and once
-        to write it.  Nothing already stored is read.
+        ``incoming`` is evaluated once and staged: buckets, rows and counts come from the
+        same rows, even if the source moves on.  Nothing already stored is read.
         """
         version = self._new_version()
-        incoming = self._arriving(incoming)
         with workspace.Stage(self.spark) as stage:
+            incoming = stage(self._arriving(incoming), f"incoming-{self.document_type}")
             plan = self._plan(incoming, self.manifest().where(F.lit(False)), stage)
             rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-            self._write(self._pick(rows, plan, version), version)
+            written = self._write(self._pick(rows, plan, version), version)
             replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
             kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
-            return self._publish(kept, plan, version, incoming)
+            return self._publish(kept, plan, version, incoming, written)
 
     def upsert(self, incoming: DataFrame) -> CommitReport:
         """Merge rows by ``doc_id``; untouched buckets are neither read nor written.
@@ -323,16 +326,21 @@ class DocumentTable:
             version = self._new_version()
             plan = self._plan(events, manifest.where(F.lit(False)), stage)
             rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
-            self._write(self._pick(rows, plan, version), version)
-            return self._publish(manifest, plan, version, events, DELTA)
+            written = self._write(self._pick(rows, plan, version), version)
+            return self._publish(manifest, plan, version, events, written, DELTA)
 
     def _pending(self, manifest: DataFrame) -> DataFrame:
         """The deltas as rows of a merge, older than what arrives."""
         deltas = self._deltas(manifest).select("tenant", *self.row_schema.names)
-        return deltas.withColumn("from_run", F.lit(False)).withColumn("_age", F.lit(1))
+        return self._aged(deltas.withColumn("from_run", F.lit(False)), 1)
 
     def _arriving(self, rows: DataFrame) -> DataFrame:
-        return rows.select("tenant", *self.row_schema.names, "from_run").withColumn("_age", F.lit(2))
+        return self._aged(rows.select("tenant", *self.row_schema.names, "from_run"), 2)
+
+    @staticmethod
+    def _aged(rows: DataFrame, age: int) -> DataFrame:
+        """Rows with their age and the event mark that whichever row of their id wins will carry."""
+        return rows.withColumn("_age", F.lit(age)).withColumn("_last", F.struct("changed_at", "changed_seq"))
 
     def _merge(
         self, arriving: DataFrame, manifest: DataFrame, stage: workspace.Stage
@@ -345,12 +353,12 @@ class DocumentTable:
             self._scan(touched)
             .select("tenant", *self.row_schema.names)
             .withColumn("from_run", F.lit(False))
-            .withColumn("_age", F.lit(0))
+            .transform(self._aged, 0)
         )
         rows = self._unhot(arriving.where("doc_id IS NOT NULL"), plan)
-        self._write(self._pick(stored.unionByName(rows), plan, version), version)
+        written = self._write(self._pick(stored.unionByName(rows), plan, version), version)
         kept = base.join(touched.select("tenant", "part"), ["tenant", "part"], "left_anti")
-        return self._publish(kept, plan, version, arriving)
+        return self._publish(kept, plan, version, arriving, written)
 
     def delete_ids(self, ids: DataFrame) -> CommitReport:
         """Remove documents by ``(tenant, doc_id)``; no tombstone is kept."""
@@ -380,12 +388,15 @@ class DocumentTable:
             F.lit(from_run).alias("from_run"),
         )
 
-    def vacuum(self, keep: int = 1) -> int:
+    def vacuum(self, keep: int = 1, older_than: float = VACUUM_AGE) -> int:
         """Drop the parts that the newest ``keep`` manifests no longer use.
 
-        Works on folder names and manifest entries, one per bucket, never on rows.
+        Parts written less than ``older_than`` seconds ago stay, as a commit that is still
+        being written has no manifest yet.  Works on folder names and manifest entries, one per
+        bucket, never on rows.
         """
         self.snapshots.prune(keep)
+        before = time.time() - older_than
         used: set[str] = set()
         for number in self.snapshots.versions():
             entries = self.spark.read.schema(MANIFEST_SCHEMA).parquet(
@@ -394,7 +405,7 @@ class DocumentTable:
             used |= {row.part for row in entries.select("part").collect()}
         dropped = 0
         for folder in workspace.child_names(self.spark, f"{self.path}/data/version=*/*/part=*"):
-            if folder.split("/part=")[-1] not in used:
+            if folder.split("/part=")[-1] not in used and workspace.modified_at(self.spark, folder) <= before:
                 workspace.delete_path(self.spark, folder)
                 dropped += 1
         return dropped
@@ -486,20 +497,24 @@ class DocumentTable:
     def _unhot(self, incoming: DataFrame, plan: CommitPlan) -> DataFrame:
         """Reduce ids that repeat so often that their slice alone overfills a bucket.
 
-        The rank is cut to one row per id before the shuffle, so copies of a hot id
-        never meet in one task.  Slices of normal size pass through.
+        An aggregate with a partial step keeps, per id, the row that wins and the highest event
+        mark of all its rows, which is all that the final choice looks at; so copies of a hot id
+        never meet in one task and the table is the same.  Slices of normal size pass through.
         """
         if plan.hot_slices == 0:
             return incoming
         hot = plan.slices.where(self._is_hot()).select("tenant", F.col("slice").alias("_slice"))
         hot = workspace.broadcast_if_small(hot, plan.hot_slices)
         sliced = incoming.withColumn("_slice", slice_of(F.col("doc_id")))
-        newest = Window.partitionBy("tenant", "doc_id").orderBy(*newest_wins(F.col("_age")))
+        # the greatest of these is what ``newest_wins`` puts first
+        order = F.struct("from_run", "changed_at", "changed_seq", "deleted", "_age", "source")
         reduced = (
             sliced.join(hot, ["tenant", "_slice"], "left_semi")
-            .withColumn("_rank", F.row_number().over(newest))
-            .where("_rank = 1")
-            .drop("_rank")
+            .groupBy("tenant", "doc_id")
+            .agg(F.max_by(F.struct(*sliced.columns), order).alias("_row"), F.max("_last").alias("_high"))
+            .select("_row.*", "_high")
+            .withColumn("_last", F.col("_high"))
+            .drop("_high")
         )
         return sliced.join(hot, ["tenant", "_slice"], "left_anti").unionByName(reduced).drop("_slice")
 
@@ -519,10 +534,10 @@ class DocumentTable:
         same_id = Window.partitionBy("tenant", "part", "doc_id")
         newest = same_id.orderBy(*newest_wins(F.col("_age")))
         whole = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        last_change = F.max(F.struct("changed_at", "changed_seq")).over(whole)
+        last_change = F.max("_last").over(whole)
         chosen = (
             placed.withColumn("_rank", F.row_number().over(newest))
-            .withColumn("_last", last_change)
+            .withColumn("_mark", last_change)
             .where("_rank = 1")
             .where("NOT deleted OR (NOT from_run AND changed_at IS NOT NULL)")
         )
@@ -532,17 +547,20 @@ class DocumentTable:
             "doc_id",
             "parent_key",
             "source",
-            F.col("_last.changed_at").alias("changed_at"),
-            F.col("_last.changed_seq").alias("changed_seq"),
+            F.col("_mark.changed_at").alias("changed_at"),
+            F.col("_mark.changed_seq").alias("changed_seq"),
             "deleted",
             "doc",
         )
 
-    def _write(self, rows: DataFrame, version: str) -> None:
-        writer = rows.write.mode("errorifexists").partitionBy("tenant", "part")
+    def _write(self, rows: DataFrame, version: str) -> int:
+        """Write the rows of a commit; returns how many the writer saw."""
+        seen = Observation(f"written-{version}")
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy("tenant", "part")
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
         writer.parquet(f"{self.path}/data/version={version}")
+        return seen.get["rows"]
 
     def _publish(
         self,
@@ -550,8 +568,10 @@ class DocumentTable:
         plan: CommitPlan,
         version: str,
         incoming: DataFrame,
+        rows: int,
         bucket: int | None = None,
     ) -> CommitReport:
+        """Point the manifest at what was written, unless some of it is gone meanwhile."""
         written = (
             self.spark.read.schema(self._stored_schema)
             .option("basePath", f"{self.path}/data")
@@ -564,7 +584,12 @@ class DocumentTable:
             .join(workspace.broadcast_if_small(plan.layout.drop("respread"), plan.tenants), "tenant")
             .withColumn("bucket", F.split("part", "_")[1].cast("int") if bucket is None else F.lit(bucket))
         )
-        number = self.snapshots.write(kept.unionByName(written))
+        with workspace.Stage(self.spark) as stage:
+            written = stage(written, "written")
+            found = written.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            if found != rows:
+                raise RuntimeError(f"{self.document_type}: {rows} rows were written and {found} are there")
+            number = self.snapshots.write(kept.unionByName(written))
         if plan.rows_bad:
             self._quarantine(incoming, version)
         return CommitReport(version, plan.rows, plan.rows_bad, number)

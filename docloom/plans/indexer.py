@@ -18,7 +18,7 @@ from docloom.model import IndexDef, IndexSet, Tenant
 from docloom.operators import changes as ch
 from docloom.operators import state as st
 from docloom.operators.snapshots import SnapshotTable
-from docloom.operators.store import TARGET_BUCKET_ROWS, CommitReport
+from docloom.operators.store import TARGET_BUCKET_ROWS, VACUUM_AGE, CommitReport
 from docloom.plans.catalog import DocumentIndex
 from docloom.plans.documents import to_documents
 from docloom.sources import tables
@@ -28,6 +28,9 @@ from docloom.workspace import Stage, broadcast_if_small, local_frame, stage
 CREATE_METHOD, DELETE_METHOD = "Create", "Delete"
 SKIPPED = "Skipped"
 
+#: Seconds after which a run that is still marked as running counts as dead.
+STALE_AFTER = 24 * 3600
+
 #: Document types whose Spark jobs may run at the same time.
 PARALLEL_TYPES = 4
 
@@ -57,6 +60,14 @@ class TypeJob:
     error: str | None = None
 
 
+def is_delete_method(method: str) -> bool:
+    """Whether a selective run deletes; methods are named in any case, and no others are allowed."""
+    known = {CREATE_METHOD.lower(): False, DELETE_METHOD.lower(): True}
+    if method.lower() not in known:
+        raise ValueError(f"method {method!r} is neither {CREATE_METHOD} nor {DELETE_METHOD}")
+    return known[method.lower()]
+
+
 class Indexer:
     """Runs index definitions for tenants and keeps documents and run state.
 
@@ -73,8 +84,10 @@ class Indexer:
         source,
         root: str,
         target_rows: int = TARGET_BUCKET_ROWS,
+        stale_after: int = STALE_AFTER,
     ):
         self.spark = spark
+        self.stale_after = stale_after
         self.index_set = index_set
         self.source = source
         self.root = root.rstrip("/")
@@ -109,26 +122,33 @@ class Indexer:
     ) -> CommitReport | None:
         """Upsert, or delete, the given ids of one tenant and type.
 
-        Returns ``None`` when the tenant is unknown or switched off.
+        Returns ``None`` when the tenant is unknown or switched off.  The state of the pair gets
+        status and mode; its mark stays, as other rows may have changed.
         """
+        deleting = is_delete_method(method)
+        started = int(time.time())
         chosen = self._enabled(tenant)
         if not chosen:
             return None
         index = self.index_set.find(document_type)
         table = self.index.table(index.document_type)
-        if method == DELETE_METHOD:
+        if deleting:
             report = table.delete_ids(self._document_keys(tenant, index, ids))
         else:
             rows = tables.with_ids(self.source.rows(index, chosen), index.id_column, ids)
             report = table.upsert(to_documents(rows, index))
+        self.state.touched(self._pairs(index, chosen), model.SELECTIVE, model.COMPLETED, started)
         self.index.create_tenant_aliases([tenant])
         return report
 
-    def near_realtime(self, changes: DataFrame, refresh_views: bool = True) -> DataFrame:
+    def near_realtime(
+        self, changes: DataFrame, refresh_views: bool = True, batch_id: int | None = None
+    ) -> DataFrame:
         """Apply pending changes; returns the rows taken off the log.
 
         Rows of tenants without any completed type are left for later.  Rows that cannot
-        be understood go to the quarantine table and do not stop the others.  The batch
+        be understood go to the quarantine table and do not stop the others; a batch that is
+        replayed under its number replaces what it put there.  The batch
         as it was read stays below the index as a record of what was applied.
         """
         named = changes.select(
@@ -138,7 +158,8 @@ class Indexer:
         batch = stage(ch.classify(named), "changes", f"{self._side_path('changes')}/{uuid.uuid4().hex}")
         usable, problems = ch.split_problems(batch)
         if not problems.isEmpty():
-            problems.write.mode("append").parquet(self._side_path("bad_changes"))
+            number = uuid.uuid4().hex if batch_id is None else batch_id
+            problems.write.mode("overwrite").parquet(f"{self._side_path('bad_changes')}/batch={number}")
         state = self.state.read()
         with Stage(self.spark) as scratch:
             ready = ch.eligible_changes(usable, st.completed(state))
@@ -167,13 +188,14 @@ class Indexer:
         taken = self.near_realtime(pending)
         count = taken.count()
         if count and self.index_set.delete_records_after_indexing:
-            log.write(ch.purge(pending, taken))
+            # from the log as it is now: what arrived meanwhile stays
+            log.change(lambda now: ch.purge(now, taken))
         return count
 
-    def vacuum(self, keep: int = 1) -> int:
+    def vacuum(self, keep: int = 1, older_than: float = VACUUM_AGE) -> int:
         """Remove what only older versions use; readers of the newest ``keep`` are safe."""
         self.state.table.prune(keep)
-        return sum(self.index.table(kind).vacuum(keep) for kind in self.index_set.types())
+        return sum(self.index.table(kind).vacuum(keep, older_than) for kind in self.index_set.types())
 
     def delete(self, types: str | None = None, tenant: str | None = None) -> None:
         """Delete all documents of the tenants and types, and mark them as deleted."""
@@ -209,9 +231,11 @@ class Indexer:
     def _job(self, mode: str, index: IndexDef, enabled: list[Tenant]) -> TypeJob:
         """Tenants of a type that no other run is working on, and their rows to index."""
         state = self.state.read()
-        busy = {row.tenant for row in st.running(state, None, index.document_type).collect()}
-        free = [tenant for tenant in enabled if tenant.id not in busy]
-        skipped = tuple(tenant.id for tenant in enabled if tenant.id in busy)
+        since = int(time.time()) - self.stale_after
+        ready = st.not_running(self._pairs(index, enabled), state, since)
+        open_ = {row.tenant for row in ready.select("tenant").collect()}
+        free = [tenant for tenant in enabled if tenant.id in open_]
+        skipped = tuple(tenant.id for tenant in enabled if tenant.id not in open_)
         if not free:
             return TypeJob(index, (), skipped)
         self.index.table(index.document_type)
@@ -292,9 +316,12 @@ class Indexer:
             F.col("event_time").alias("_changed_at"),
             F.col("seq").alias("_changed_seq"),
         )
-        few = [row._id for row in wanted.select("_id").distinct().take(tables.IN_LIST_LIMIT + 1)]
+        ids = wanted.select("_id").where("_id IS NOT NULL").distinct()
+        few = [row._id for row in ids.take(tables.IN_LIST_LIMIT + 1)]
         if len(few) <= tables.IN_LIST_LIMIT:
-            rows = rows.where(F.col(id_column).isin(few))
+            rows = rows.where(tables.id_value(rows, id_column).isin(few))
+        else:
+            rows, _ = tables.id_bound(rows, id_column, ids)
         same = (F.col("tenant") == F.col("_tenant")) & (
             F.col(id_column).try_cast("bigint") == F.col("_id")
         )

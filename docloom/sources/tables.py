@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.convert import epoch_seconds
 from docloom.functions.keys import find_column
 from docloom.model import IndexDef, Tenant
 from docloom.workspace import broadcast_if_small, local_frame
@@ -26,9 +25,14 @@ def query_rows(spark: SparkSession, query: str, args: Mapping | None = None) ->
 
 def since_literal(dtype: T.DataType, epoch: int) -> Column:
     """An epoch-second bound as a literal of the column's own type."""
+    return since_value(dtype, F.lit(epoch))
+
+
+def since_value(dtype: T.DataType, epoch: Column) -> Column:
+    """Epoch seconds in the type of a modified column."""
     if isinstance(dtype, T.NumericType):
-        return F.lit(epoch).cast(dtype)
-    return F.timestamp_seconds(F.lit(epoch)).cast(dtype)
+        return epoch.cast(dtype)
+    return F.timestamp_seconds(epoch).cast(dtype)
 
 
 def modified_since(df: DataFrame, column: str, epoch: int) -> DataFrame:
@@ -40,13 +44,6 @@ def modified_since(df: DataFrame, column: str, epoch: int) -> DataFrame:
     return df.where(F.col(name) >= since_literal(df.schema[name].dataType, epoch))
 
 
-def modified_epoch(df: DataFrame, name: str) -> Column:
-    """Modified column as epoch seconds, whatever its type."""
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.col(name).cast("bigint")
-    return epoch_seconds(F.col(name))
-
-
 def since_marks(df: DataFrame, column: str, marks: Mapping[str, int]) -> DataFrame:
     """Rows of several tenants at or after each tenant's own mark.
 
@@ -65,15 +62,17 @@ def since_marks(df: DataFrame, column: str, marks: Mapping[str, int]) -> DataFra
         bound = F.col(name) >= since_literal(df.schema[name].dataType, min(others))
         df = df.where((F.col("tenant").isin(fresh) | bound) if fresh else bound)
     own = local_frame(df.sparkSession, list(marks.items()), "tenant string, _mark bigint")
-    due = (F.col("_mark") == 0) | (modified_epoch(df, name) >= F.col("_mark"))
+    # the mark in the column's own type: a date is due all day
+    due = (F.col("_mark") == 0) | (F.col(name) >= since_value(df.schema[name].dataType, F.col("_mark")))
     return df.join(broadcast_if_small(own, len(marks)), "tenant").where(due).drop("_mark")
 
 
 def with_ids(df: DataFrame, column: str, ids: Sequence[int] | DataFrame) -> DataFrame:
     """Rows whose id is in a list or in the single column of a DataFrame.
 
-    A short list becomes an IN predicate that the scan can use; anything longer is a
-    semi join.
+    A short list becomes an IN predicate that the scan can use.  Anything longer is a semi
+    join behind a bound of the smallest and largest id, which the scan can use as well.  Ids kept
+    as text are compared as numbers, and text that is no number matches none.
     """
     name = find_column(df, column)
     if name is None:
@@ -81,10 +80,24 @@ def with_ids(df: DataFrame, column: str, ids: Sequence[int] | DataFrame) -> Data
     if not isinstance(ids, DataFrame):
         values = sorted({int(value) for value in ids})
         if len(values) <= IN_LIST_LIMIT:
-            return df.where(F.col(name).isin(values))
+            return df.where(id_value(df, name).isin(values))
         ids = local_frame(df.sparkSession, [(value,) for value in values], "id bigint")
     keys = ids.toDF("_id").where("_id IS NOT NULL").distinct()
-    return df.join(broadcast_if_small(keys), F.col(name) == F.col("_id"), "left_semi")
+    bounded, rows = id_bound(df, name, keys)
+    return bounded.join(broadcast_if_small(keys, rows), id_value(df, name) == F.col("_id"), "left_semi")
+
+
+def id_value(df: DataFrame, name: str) -> Column:
+    """The id column as it is if it holds numbers, which lets a predicate reach the scan."""
+    return F.col(name).try_cast("bigint") if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
+
+
+def id_bound(df: DataFrame, name: str, keys: DataFrame) -> tuple[DataFrame, int]:
+    """Rows between the smallest and the largest ``_id`` of ``keys``, and the number of keys."""
+    bound = keys.agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.count("_id").alias("n")).first()
+    if bound.n == 0:
+        return df.where(F.lit(False)), 0
+    return df.where(id_value(df, name).between(bound.low, bound.high)), bound.n
 
 
 def filter_tenants(df: DataFrame, tenants: Sequence[Tenant], column: str = "tenant") -> DataFrame:

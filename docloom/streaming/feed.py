@@ -7,9 +7,10 @@ same table, because an upsert is keyed and the later event wins.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -29,7 +30,21 @@ def kafka_changes(spark: SparkSession, servers: str, topic: str, **options: str)
     )
     for key, value in options.items():
         reader = reader.option(key.replace("__", "."), value)
-    return message_changes(reader.load(), "value", F.col("timestamp"), F.col("offset"))
+    return message_changes(
+        reader.load(), "value", F.col("timestamp"), broker_order(F.col("timestamp"), F.col("partition"), F.col("offset"))
+    )
+
+
+def broker_order(time: Column, partition: Column, offset: Column) -> Column:
+    """Order of messages within a second: millisecond, then partition, then offset.
+
+    Ten bits hold the millisecond, twelve the partition (at most 4096 of them) and 41 the offset.
+    """
+    millis = F.pmod(F.unix_millis(time.cast("timestamp")), F.lit(1000))
+    place = F.pmod(partition.cast("bigint"), F.lit(1 << 12))
+    return F.shiftleft(F.shiftleft(millis.cast("bigint"), 12) + place, 41) + F.pmod(
+        offset.cast("bigint"), F.lit(1 << 41)
+    )
 
 
 def message_changes(stream: DataFrame, value: str, time, order) -> DataFrame:
@@ -60,18 +75,25 @@ def file_changes(
 
 def run_change_stream(
     changes: DataFrame,
-    apply: Callable[[DataFrame], object],
+    apply: Callable[..., object],
     checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Feed micro-batches to ``apply`` (usually ``Indexer.near_realtime``).
 
+    An ``apply`` with a parameter ``batch_id`` gets the number of the batch, which a replay repeats.
+
     With an ``interval`` the stream runs until stopped; without one it works through
     what is there and ends.
     """
 
-    def each_batch(batch: DataFrame, _batch_id: int) -> None:
-        apply(batch)
+    numbered = "batch_id" in inspect.signature(apply).parameters
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if numbered:
+            apply(batch, batch_id=batch_id)
+        else:
+            apply(batch)
 
     writer = changes.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -69,6 +69,12 @@ def bytes_under(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
+def modified_at(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in epoch seconds."""
+    fs, target = file_system(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000.0
+
+
 def child_names(spark: SparkSession, pattern: str) -> list[str]:
     """Last path parts matching a glob; used on version folders only."""
     fs, target = file_system(spark, pattern)

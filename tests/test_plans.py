@@ -103,5 +103,5 @@ def test_merge_shuffles_rows_once(spark, data):
     documents = to_documents(jobs.source.rows(ORDER, jobs.tenants), ORDER)
     with workspace.Stage(spark) as stage:
         sized = table._plan(documents, table.manifest(), stage)
-        text = plan(table._pick(documents.withColumn("_age", F.lit(2)), sized, "v"))
+        text = plan(table._pick(table._aged(documents, 2), sized, "v"))
     assert text.count("hashpartitioning") == 1 and text.count(" Sort ") <= 2

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,13 +101,104 @@ def test_running_type_is_left_alone(spark, root):
     put_items(spark, [("a", 1, "x", 10), ("b", 1, "y", 10)])
     jobs = new_indexer(spark, root)
     busy = local_frame(spark, [("a", "item", "appa")], "tenant string, document_type string, appid string")
-    jobs.state.start(busy, "Full", 1)
+    jobs.state.start(busy, "Full", int(time.time()))
     report = jobs.full(run_ts=2)[0]
     assert (report.skipped, content(jobs)) == (("a",), {"b_item_1": "y"})
     assert state_of(jobs)[("a", "item")].status == "Running"
     assert jobs.full(tenant="a", run_ts=3)[0].status == "Skipped"
 
 
+def test_dead_run_does_not_lock_out(spark, root):
+    put_items(spark, [("a", 1, "x", 10)])
+    jobs = new_indexer(spark, root)
+    dead = local_frame(spark, [("a", "item", "appa")], "tenant string, document_type string, appid string")
+    jobs.state.start(dead, "Full", int(time.time()) - jobs.stale_after - 5)
+    assert jobs.full(run_ts=2)[0].skipped == () and content(jobs) == {"a_item_1": "x"}
+
+
+def test_marks_on_dates_are_inclusive(spark, root):
+    local_frame(spark, [("a", n, f"1998-01-0{n}") for n in (1, 2)], "tenant string, id bigint, day string").withColumn(
+        "changed", F.col("day").cast("date")).createOrReplaceTempView("dated")
+    index = IndexDef("dated", {"spark": "SELECT tenant, id, changed FROM dated"}, "id", "changed")
+    noon = 883_612_800 + 12 * 3600
+    rows = SharedTables(spark).rows(index, [Tenant("a"), Tenant("b")], {"a": noon, "b": 1})
+    assert sorted(r.id for r in rows.collect()) == [1, 2]
+
+
+def test_ids_with_fractions_are_set_aside(spark, root):
+    rows = spark.sql("SELECT 'a' AS tenant, id, 'v' AS v, 1L AS changed FROM VALUES (1.2D), (1.7D), (3.0D) t(id)")
+    rows.createOrReplaceTempView("items")
+    jobs = new_indexer(spark, root)
+    report = jobs.full(run_ts=1)[0]
+    assert report.rows_quarantined == 2 and set(content(jobs)) == {"a_item_3"}
+
+
+def test_text_ids_with_a_bad_value(spark, root):
+    local_frame(spark, [("a", "1", "x", 1), ("a", "oops", "y", 1), ("a", "3", "z", 1)],
+                "tenant string, id string, v string, changed bigint").createOrReplaceTempView("items")
+    jobs = new_indexer(spark, root)
+    jobs.selective("a", "item", [1, 7])
+    assert set(content(jobs)) == {"a_item_1"}
+    jobs.selective("a", "item", range(1, 3000))
+    assert set(content(jobs)) == {"a_item_1", "a_item_3"}
+    record = state_of(jobs)[("a", "item")]
+    assert (record.status, record.last_index_type, record.last_indexed_at) == ("Completed", "Selective", None)
+    jobs.selective("a", "item", [1], method="delete")
+    assert set(content(jobs)) == {"a_item_3"}
+    with pytest.raises(ValueError, match="neither"):
+        jobs.selective("a", "item", [1], method="Remove")
+
+
+def test_many_ids_bound_the_scan(spark, data):
+    from docloom.sources import tables
+    from docloom.suite import base as b
+
+    orders = b.table(spark, data, "orders")
+    text = tables.with_ids(orders, "o_orderkey", range(1000, 6000))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(o_orderkey,1000)" in text and "LessThanOrEqual(o_orderkey,5999)" in text
+
+
+def test_log_keeps_what_arrives_during_a_poll(spark, root):
+    from docloom.operators.snapshots import SnapshotTable
+
+    put_items(spark, [("a", n, "old", 1) for n in range(3)])
+    jobs = Indexer(spark, IndexSet((ITEM,), delete_records_after_indexing=True), TENANTS, SharedTables(spark), root)
+    jobs.full(run_ts=1)
+    log = SnapshotTable(spark, fresh_path(spark, "log"), ch.CHANGE_SCHEMA)
+    first = log_rows(spark, [("a", "item", "DELETE", 1, 5, 1)])
+    late = log_rows(spark, [("a", "item", "DELETE", 2, 6, 2)])
+    log.write(first)
+    apply = jobs.near_realtime
+
+    def apply_while_one_arrives(batch):
+        taken = apply(batch)
+        log.write(first.unionByName(late))
+        return taken
+
+    jobs.near_realtime = apply_while_one_arrives
+    assert jobs.poll(log) == 1
+    assert [(r.object_id, r.seq) for r in log.read().collect()] == [(2, 2)]
+
+
+def test_replayed_batch_keeps_one_quarantine_row(spark, root):
+    jobs = new_indexer(spark, root)
+    bad = log_rows(spark, [("a", "item", "REPAINT", 1, 5, 1)])
+    for _ in range(2):
+        jobs.near_realtime(bad, batch_id=4)
+    assert jobs.bad_changes().count() == 1
+
+
+def test_broker_order_within_a_second(spark):
+    from docloom.streaming.feed import broker_order
+
+    rows = spark.sql("""SELECT * FROM VALUES ('update', 100L, 0, 900L), ('delete', 900L, 1, 5L), ('later', 900L, 1, 6L),
+                        ('other', 900L, 2, 1L) t(name, ms, part, off)""")
+    order = broker_order(F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("ms")), F.col("part"), F.col("off"))
+    got = [r.name for r in rows.orderBy(order).collect()]
+    assert got == ["update", "delete", "later", "other"]
+    assert rows.select(F.min(order).alias("n")).first().n >= 0
+
+
 def test_failure_keeps_documents_and_mark(spark, root):
     put_items(spark, [("a", 1, "x", 10)])
     jobs = new_indexer(spark, root)
@@ -281,7 +373,7 @@ def test_poll_takes_rows_off_the_log(spark, root):
         assert log.read().count() == left
         assert jobs.poll(log) == (0 if keep else 2)
         assert set(content(jobs)) == {"a_item_0", "a_item_2", "a_item_3"}
-    assert jobs.vacuum() > 0 and set(content(jobs)) == {"a_item_0", "a_item_2", "a_item_3"}
+    assert jobs.vacuum(older_than=0) > 0 and set(content(jobs)) == {"a_item_0", "a_item_2", "a_item_3"}
 
 
 def test_own_tables_apply_each_tenants_mark(spark, root):
