@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.paging import global_row_number
 
 
-def results_envelopes(rows: DataFrame, key: str, batch_count: int) -> DataFrame:
+def results_envelopes(rows: DataFrame, key: str, batch_count: int, by: Sequence[str] = ()) -> DataFrame:
     """``{"results": [...]}`` per batch of at most ``batch_count`` consecutive rows.
 
-    A batch is bounded, so an envelope is too.
+    A batch holds rows of one value of the columns ``by`` only, such as the tenant, and these are
+    columns of the result, not of the envelope.  Rows get their place from a ranged sort, and a
+    group's first place is a minimum, so no group is gathered in one task.
     """
-    columns = rows.columns
-    numbered = global_row_number(rows, [F.col(key).asc()], "_row")
-    batch = F.floor((F.col("_row") - 1) / F.lit(batch_count)).cast("bigint")
+    columns = [name for name in rows.columns if name not in by]
+    order = [*(F.col(name).asc() for name in by), F.col(key).asc()]
+    numbered = global_row_number(rows, order, "_row")
+    if by:
+        starts = numbered.groupBy(*by).agg(F.min("_row").alias("_first"))
+        same = None
+        for name in by:
+            equal = F.col(name).eqNullSafe(F.col(f"_{name}"))
+            same = equal if same is None else same & equal
+        numbered = numbered.join(
+            starts.withColumnsRenamed({name: f"_{name}" for name in by}), same
+        ).drop(*(f"_{name}" for name in by))
+    else:
+        numbered = numbered.withColumn("_first", F.lit(1))
+    batch = F.floor((F.col("_row") - F.col("_first")) / F.lit(batch_count)).cast("bigint")
     member = F.struct(F.col("_row"), F.struct(*columns).alias("_doc"))
     ordered = F.array_sort(F.collect_list(member))
     results = F.transform(ordered, lambda m: m["_doc"])
     return (
-        numbered.groupBy(batch.alias("batch_no"))
+        numbered.groupBy(*by, batch.alias("batch_no"))
         .agg(F.count(F.lit(1)).alias("records"), results.alias("_results"))
         .select(
+            *by,
             "batch_no",
             "records",
             F.to_json(F.struct(F.col("_results").alias("results")), {"ignoreNullFields": "false"}).alias(

@@ -37,14 +37,14 @@ def rows_to_json(spark, folder):
 @suite.add(
     "json_numeric",
     """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-              CAST(l_quantity AS DECIMAL(12, 2)) AS quantity_dec,
+              CAST(l_quantity AS DECIMAL(12, 2)) AS quantity_dec, l_partkey, l_suppkey,
               CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_tax END AS tax, CAST(l_linenumber AS SMALLINT) AS line_small
        FROM lineitem""",
 )
 def json_numeric(spark, folder):
     lines = b.table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity_dec"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("quantity_dec"), "l_partkey", "l_suppkey",
         F.when(F.col("l_returnflag") != "R", F.col("l_tax")).alias("tax"),
         F.col("l_linenumber").cast("smallint").alias("line_small"),
     )
@@ -181,20 +181,17 @@ def custom_mapper(spark, folder):
 
 @suite.add(
     "results_envelope",
-    """SELECT batch_no, count(*) AS records, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
-              min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-       FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS batch_no FROM orders) r
-       GROUP BY batch_no""",
+    """SELECT tenant, batch_no, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+       FROM (SELECT *, (row_number() OVER (PARTITION BY tenant ORDER BY o_orderkey) - 1) // 100 AS batch_no
+             FROM (SELECT *, 'tenant' || (o_orderkey % 4) AS tenant FROM orders) o) r""",
 )
 def results_envelope(spark, folder):
-    """Envelopes of 1000 rows, opened again to compare what they hold."""
-    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    envelopes = results_envelopes(orders, "o_orderkey", 1000)
-    opened = F.from_json("envelope", "results array<struct<o_orderkey:bigint,o_orderstatus:string>>")
-    return envelopes.select("batch_no", opened["results"]["o_orderkey"].alias("k")).select(
-        "batch_no",
-        F.size("k").cast("bigint").alias("records"),
-        F.aggregate("k", F.lit(0).cast("bigint"), lambda total, key: total + key).alias("key_sum"),
-        F.element_at("k", 1).alias("first_key"),
-        F.element_at("k", -1).alias("last_key"),
+    """Envelopes of 100 rows of one tenant, opened again to compare all that they hold."""
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    names = [column.split()[0] for column in columns.split(", ")]
+    orders = b.table(spark, folder, "orders").select(
+        F.concat(F.lit("tenant"), F.col("o_orderkey") % 4).alias("tenant"), *names
     )
+    envelopes = results_envelopes(orders, "o_orderkey", 100, by=["tenant"])
+    opened = F.from_json("envelope", f"results array<struct<{columns.replace(' ', ':').replace(',:', ',')}>>")
+    return envelopes.select("tenant", "batch_no", F.inline(opened["results"]))

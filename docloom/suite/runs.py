@@ -24,13 +24,37 @@ def order_status(jobs):
 
 @suite.add(
     "full_index",
-    f"""SELECT tenant, document_type, doc_id FROM {b.ALL_DOCS_SQL} d
-        WHERE tenant IN ('tenant0', 'tenant1', 'tenant2')""",
+    f"""{ORDERS_SQL}, 'order' AS document_type, o_orderkey AS key, o_custkey AS other, o_orderstatus AS kind,
+          o_orderpriority AS name, o_totalprice AS amount, CAST(floor(epoch(o_orderdate)) AS BIGINT) AS day,
+          o_orderkey AS in_key, o_custkey AS in_other, o_orderstatus AS in_kind, o_orderpriority AS in_name,
+          o_totalprice AS in_amount, CAST(floor(epoch(o_orderdate)) AS BIGINT) AS in_day
+        FROM orders WHERE o_orderkey % 4 < 3
+        UNION ALL
+        SELECT 'tenant' || (c_custkey % 4), 'tenant' || (c_custkey % 4) || '_customer_' || c_custkey, 'customer',
+          c_custkey, c_nationkey, c_mktsegment, c_name, NULL, NULL,
+          c_custkey, c_nationkey, c_mktsegment, c_name, c_acctbal, NULL
+        FROM customer WHERE c_custkey % 4 < 3""",
 )
 def full_index(spark, folder):
+    """Every typed field of the stored documents, and every value of their stored source."""
     jobs = b.indexer(spark, folder)
     jobs.full(run_ts=MARK)
-    return jobs.index.documents().select("tenant", "document_type", "doc_id")
+    kinds = {"key": "bigint", "other": "bigint", "kind": "string", "name": "string", "amount": "double", "day": "bigint"}
+    orders = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    customers = ("c_custkey", "c_nationkey", "c_mktsegment", "c_name", None, None)
+    customers_in = ("c_custkey", "c_nationkey", "c_mktsegment", "c_name", "c_acctbal", None)
+
+    def read(document_type, typed, stored):
+        columns = []
+        for (name, kind), field, inside in zip(kinds.items(), typed, stored):
+            value = F.lit(None) if field is None else F.col(f"doc.{field}")
+            text = F.lit(None) if inside is None else F.get_json_object("source", f"$.{inside}")
+            if kind == "bigint" and name == "day" and field is not None:
+                value = F.unix_seconds(value.cast("timestamp"))
+            columns += [value.cast(kind).alias(name), text.cast(kind).alias(f"in_{name}")]
+        return jobs.index.table(document_type).documents().select("tenant", "document_type", "doc_id", *columns)
+
+    return read("order", orders, orders).unionByName(read("customer", customers, customers_in))
 
 
 @suite.add(

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions.convert import binary_document
 from docloom.model import IndexDef
 from docloom.operators import changes as ch
 from docloom.operators import paging
 from docloom.operators.search import stored_ids
+from docloom.operators.store import DocumentTable
 from docloom.plans.documents import to_documents
+from docloom.sources.files import binary_documents, file_rows
 from docloom.sources.tables import SharedTables, TenantTables, query_rows, tag_tenant, union_tenants
 from docloom.streaming import file_changes, message_changes, run_change_stream
 from docloom.suite import base as b
@@ -194,6 +197,23 @@ def binary_to_base64_doc(spark, folder):
     return pages.select("page_id", binary_document(F.col("html").cast("binary")).alias("source"))
 
 
+@suite.add(
+    "scan_binary_docs",
+    """SELECT page_id, 'tenant1' AS tenant, '{"data":"' || to_base64(encode(html || chr(10))) || '"}' AS source
+       FROM pages""",
+)
+def scan_binary_docs(spark, folder):
+    """Each page's html as a file of its own, read as binary, indexed for a tenant and read back."""
+    files = fresh_path(spark, "files")
+    pages = b.table(spark, folder, "pages").select("page_id", F.col("html").alias("value"))
+    pages.repartition("page_id").write.partitionBy("page_id").option("maxRecordsPerFile", 1).text(files)
+    fields = T.StructType([T.StructField("path", T.StringType())])
+    table = DocumentTable(spark, fresh_path(spark, "binary"), "file", fields)
+    table.upsert(file_rows(binary_documents(spark, files, "*.txt"), "tenant1", "file"))
+    page = F.regexp_extract("doc.path", r"page_id=(\d+)/", 1).cast("bigint")
+    return table.documents().select(page.alias("page_id"), "tenant", "source")
+
+
 @suite.add(
     "union_tenants",
     """SELECT 'tenant' || (o_orderkey % 4) AS tenant, o_orderkey,
