@@ -90,9 +90,6 @@ class IndexDef:
     mappers: Mapping[str, str] = field(default_factory=dict)
     parent: ParentLink | None = None
     skip_creation: bool = False
-    #: Evaluate the query once and keep its rows: for joins and aggregates that cost more
-    #: than writing their result.  A full run otherwise reads the ids once more to size buckets.
-    stage_rows: bool = False
 
     @property
     def id_column(self) -> str:

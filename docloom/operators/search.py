@@ -92,8 +92,3 @@ def stored_ids(documents: DataFrame, types: Sequence[str], tenant: str) -> DataF
     return documents.where(
         (F.col("tenant") == tenant) & F.col("document_type").isin(*types)
     ).select("doc_id")
-
-
-def render_template(spark, template: str, params: dict[str, object]) -> DataFrame:
-    """Run a stored SQL text with named parameters (``:from``, ``:size`` …)."""
-    return spark.sql(template, args=params)

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
@@ -71,12 +70,16 @@ MANIFEST_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class CommitReport:
-    """What one commit did: its version and the rows it wrote and set aside."""
+    """What one commit did: its version and the rows it wrote and set aside.
+
+    ``by_tenant`` has records and failures of each tenant, for up to ``FEW_TENANTS`` of them.
+    """
 
     version: str
     rows_in: int
     rows_quarantined: int
     manifest_version: int
+    by_tenant: tuple[Row, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -90,6 +93,7 @@ class CommitPlan:
     rows: int
     rows_bad: int
     hot_slices: int
+    by_tenant: tuple[Row, ...] = ()
 
 
 def slice_of(doc_id: Column) -> Column:
@@ -449,8 +453,15 @@ class DocumentTable:
             "tenant", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket")
         )
         parts = hit.unionByName(spread).count()
+        usable = F.when(F.col("slice").isNotNull(), F.col("rows")).otherwise(0)
+        counts = slices.groupBy("tenant").agg(
+            F.sum(usable).alias("records"), F.sum(F.col("rows") - usable).alias("failures")
+        )
+        by_tenant = counts.orderBy("tenant").take(FEW_TENANTS + 1)
+        if len(by_tenant) > FEW_TENANTS:
+            by_tenant = []
         return CommitPlan(
-            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot
+            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot, tuple(by_tenant)
         )
 
     @staticmethod
@@ -592,7 +603,7 @@ class DocumentTable:
             number = self.snapshots.write(kept.unionByName(written))
         if plan.rows_bad:
             self._quarantine(incoming, version)
-        return CommitReport(version, plan.rows, plan.rows_bad, number)
+        return CommitReport(version, plan.rows, plan.rows_bad, number, plan.by_tenant)
 
     def _quarantine(self, incoming: DataFrame, version: str) -> None:
         (
@@ -647,13 +658,3 @@ def merged(existing: DataFrame, incoming: DataFrame, key: str = "doc_id") -> Dat
 def without(existing: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Existing rows whose key is not among ``keys``."""
     return existing.join(keys.select(key), key, "left_anti")
-
-
-def batch_report(documents: DataFrame, batch_size: int, keys: Sequence[str] = ("tenant", "document_type")) -> DataFrame:
-    """Records, batch size, batches and failures per tenant and type."""
-    return documents.groupBy(*keys).agg(
-        F.count("doc_id").alias("records"),
-        F.lit(batch_size).cast("bigint").alias("batch_size"),
-        F.ceil(F.count("doc_id") / F.lit(batch_size)).cast("bigint").alias("total_batches"),
-        F.count_if(F.col("doc_id").isNull()).alias("failures"),
-    )

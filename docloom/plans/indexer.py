@@ -23,7 +23,15 @@ from docloom.plans.catalog import DocumentIndex
 from docloom.plans.documents import to_documents
 from docloom.sources import tables
 from docloom.sources.tables import union_tenants
-from docloom.workspace import Stage, broadcast_if_small, local_frame, stage
+from docloom.workspace import (
+    Stage,
+    broadcast_if_small,
+    child_names,
+    delete_path,
+    local_frame,
+    modified_at,
+    stage,
+)
 
 CREATE_METHOD, DELETE_METHOD = "Create", "Delete"
 SKIPPED = "Skipped"
@@ -35,6 +43,25 @@ STALE_AFTER = 24 * 3600
 PARALLEL_TYPES = 4
 
 
+@dataclass(frozen=True)
+class TenantBatches:
+    """What a run did for one tenant of a type, in batches of the configured size."""
+
+    tenant: str | None
+    records: int
+    batch_size: int
+    total_batches: int
+    failures: int
+
+
+def tenant_batches(commit: CommitReport, size: int) -> tuple[TenantBatches, ...]:
+    """The batch report of a commit; rows without a usable id are failures."""
+    return tuple(
+        TenantBatches(one.tenant, one.records, size, -(-one.records // size), one.failures)
+        for one in commit.by_tenant
+    )
+
+
 @dataclass(frozen=True)
 class RunReport:
     """Outcome of one document type in one run."""
@@ -47,6 +74,7 @@ class RunReport:
     rows_quarantined: int = 0
     skipped: tuple[str, ...] = ()
     error: str | None = None
+    batches: tuple[TenantBatches, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -171,8 +199,9 @@ class Indexer:
                 if index.document_type.lower() in pending:
                     self.apply_items(index, items)
             self._delete_marked(bulk_deleted, removed)
+            touched = {row.tenant for row in flags.select("tenant").distinct().collect()}
         if refresh_views:
-            self.index.create_tenant_aliases([tenant.id for tenant in self._enabled(None)])
+            self.index.create_tenant_aliases([one.id for one in self._enabled(None) if one.id in touched])
         eligible = st.tenant_eligibility(state).where("eligible").select("tenant")
         taken = usable.join(broadcast_if_small(eligible), "tenant", "left_semi")
         names = ch.CHANGE_SCHEMA.names
@@ -193,8 +222,14 @@ class Indexer:
         return count
 
     def vacuum(self, keep: int = 1, older_than: float = VACUUM_AGE) -> int:
-        """Remove what only older versions use; readers of the newest ``keep`` are safe."""
+        """Remove what only older versions use, and the record of changes applied before then.
+
+        Readers of the newest ``keep`` versions are safe.
+        """
         self.state.table.prune(keep)
+        for folder in child_names(self.spark, f"{self._side_path('changes')}/*"):
+            if modified_at(self.spark, folder) <= time.time() - older_than:
+                delete_path(self.spark, folder)
         return sum(self.index.table(kind).vacuum(keep, older_than) for kind in self.index_set.types())
 
     def delete(self, types: str | None = None, tenant: str | None = None) -> None:
@@ -257,10 +292,7 @@ class Indexer:
             try:
                 table = self.index.table(kind)
                 if mode == model.FULL:
-                    documents = job.documents
-                    if job.index.stage_rows:
-                        documents = stage(documents, f"rows-{kind}")
-                    commit = table.replace(documents, self._tenant_frame(job.tenants))
+                    commit = table.replace(job.documents, self._tenant_frame(job.tenants))
                 else:
                     commit = table.upsert(job.documents)
                 report = replace(
@@ -268,6 +300,7 @@ class Indexer:
                     status=model.COMPLETED,
                     rows_in=commit.rows_in,
                     rows_quarantined=commit.rows_quarantined,
+                    batches=tenant_batches(commit, self.index_set.effective_batch_count()),
                 )
             except Exception as error:
                 report = replace(report, error=str(error))
