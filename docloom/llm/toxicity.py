@@ -7,8 +7,9 @@ Viterbi decoding under a character model finds the likeliest plain word. The mod
 counts of all four-character strings of all documents. Words without such signs have
 one path only and stay as they are.
 
-Restored words and their beginnings are then weighed as indicators. The weights come from
-labelled rows outside the held-out fifth: at most ``SAMPLE`` per class, chosen by hash.
+Restored words and their beginnings are then weighed as indicators. Indicators and weights come
+from labelled rows outside the held-out fifth: at most ``SAMPLE`` per class, chosen by hash. The
+weights are those of a logistic regression, in which words that merely accompany others count for little.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -34,8 +35,10 @@ GRAMS = ALPHABET**4
 #: Labelled rows of each class that the classifier may learn from.
 SAMPLE = 6_000
 #: Indicators that the classifier keeps, and the evidence (G squared) that each needs.
-INDICATORS = 1_000
+INDICATORS = 500
 EVIDENCE = 24.0
+#: Strength of the pull that keeps weights small.
+PULL = 0.3
 #: Lengths of the word beginnings that are indicators besides whole words.
 BEGINNINGS = (4, 5)
 #: Words whose weight a worker remembers.
@@ -175,48 +178,45 @@ def indicators(word: str) -> list[str]:
 
 
 class Weighing(NamedTuple):
-    """A fitted classifier: weight of each indicator, and how their sum gives the score."""
+    """A fitted classifier: the indicators, the weight of each, and the constant."""
 
-    weights: dict[str, float]
+    names: list[str]
+    weights: np.ndarray
     shift: float
-    slope: float
 
-    def score(self, total: float) -> float:
-        return 1.0 / (1.0 + math.exp(-min(max(self.shift + self.slope * total, -30.0), 30.0)))
+    def score(self, found: Iterable[int]) -> float:
+        total = self.shift + float(self.weights[sorted(found)].sum())
+        return 1.0 / (1.0 + math.exp(-min(max(total, -30.0), 30.0)))
 
 
-class Scorer:
-    """Sums over the distinct words of a text; remembers the weight of each word as written."""
+class Spotter:
+    """The indicators of a text, by number; remembers those of each word as written."""
 
-    def __init__(self, model: np.ndarray, weights: dict[str, float]):
-        self.restorer, self.weights = Restorer(model), weights
-        self.known: dict[str, tuple[str, float] | None] = {}
+    def __init__(self, model: np.ndarray, names: list[str]):
+        self.restorer = Restorer(model)
+        self.number = {name: i for i, name in enumerate(names)}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, token: str) -> tuple[str, float] | None:
-        best = None
-        for word in self.restorer.words(token):
-            best = max((best, self._weight(word)), key=lambda x: x[1] if x else 0.0)
+    def _numbers(self, words: list[str]) -> tuple[int, ...]:
+        number = self.number
+        return tuple({number[x] for word in words for x in indicators(word) if x in number})
+
+    def _token(self, token: str) -> tuple[int, ...]:
+        found = self._numbers(self.restorer.words(token))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         if len(token) <= 64:
-            self.known[token] = best
-        return best
-
-    def _weight(self, word: str) -> tuple[str, float] | None:
-        found = [self.weights[x] for x in indicators(word) if x in self.weights]
-        return (word, max(found)) if found else None
+            self.known[token] = found
+        return found
 
-    def total(self, text: str) -> float:
-        known, found = self.known, {}
+    def found(self, text: str) -> set[int]:
+        known, out = self.known, set()
         for token in set(text.split()):
-            hit = known[token] if token in known else self._word(token)
-            if hit:
-                found[hit[0]] = hit[1]
-        for word in self.restorer.spaced(text):
-            hit = self._weight(word)
+            hit = known[token] if token in known else self._token(token)
             if hit:
-                found[hit[0]] = hit[1]
-        return sum(found[word] for word in sorted(found))
+                out.update(hit)
+        out.update(self._numbers(self.restorer.spaced(text)))
+        return out
 
 
 def held_out() -> Column:
@@ -241,7 +241,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Weighing:
-    """Indicators with their weights, and the logistic curve over their sum.
+    """Indicators with their weights in a logistic regression.
 
     Without labels of both classes there are no indicators and every score is the same.
     """
@@ -277,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Weighing:
     clean, toxic = (whole.clean, whole.toxic) if whole else (0, 0)
     if not clean or not toxic:
         summed.unpersist()
-        return Weighing({}, math.log((toxic + 0.5) / (clean + 0.5)) if clean + toxic else -2.0, 0.0)
+        return Weighing([], np.zeros(0), math.log((toxic + 0.5) / (clean + 0.5)) if clean + toxic else -2.0)
     share = toxic / (toxic + clean)
     n = F.col("clean") + F.col("toxic")
 
@@ -294,39 +294,40 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Weighing:
         .collect()
     )
     summed.unpersist()
-    weights = {
-        row.name: math.log((row.toxic + 0.5) / (toxic + 1)) - math.log((row.clean + 0.5) / (clean + 1))
-        for row in picked
-    }
+    names = [row.name for row in picked]
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value, weights)
+    def spot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spotter = Spotter(shared.value, names)
         for batch in batches:
-            total = [scorer.total(text) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(total, pa.float64()), batch.column(1)], ["total", "toxic"])
+            found = [sorted(spotter.found(text)) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], ["found", "toxic"])
 
-    # at most 2 * SAMPLE rows of two numbers; each class counts as often as it occurs in the labels
-    drawn = rows.mapInArrow(totals, "total double, toxic int").toArrow()
+    # at most 2 * SAMPLE rows of INDICATORS numbers; each class counts as often as it occurs in the labels
+    drawn = rows.mapInArrow(spot, "found array<int>, toxic int").toArrow()
     seen = labels.filter("toxic IS NOT NULL").filter(~held_out()).agg(F.avg((F.col("toxic") > 0).cast("int"))).first()[0]
-    x, y = drawn.column("total").to_numpy(), drawn.column("toxic").to_numpy().astype(float)
-    weight = np.where(y > 0, seen / max(share, 1e-9), (1 - seen) / max(1 - share, 1e-9))
-    shift, slope = _logistic(x, y, weight)
-    return Weighing(weights, shift, slope)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Newton's method with a slight pull to zero, on one feature and a constant."""
-    design = np.stack([np.ones_like(x), x], axis=1)
-    beta, pull = np.zeros(2), np.diag([1e-3, 1e-2])
+    y = drawn.column("toxic").to_numpy().astype(np.float32)
+    x = np.zeros((len(y), len(names)), np.float32)
+    for row, found in enumerate(drawn.column("found").to_pylist()):
+        x[row, found] = 1
+    weight = np.where(y > 0, seen / max(share, 1e-9), (1 - seen) / max(1 - share, 1e-9)).astype(np.float32)
+    return Weighing(names, *_logistic(x, y, weight))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Newton's method; ``PULL`` draws the weights to zero and a thousandth of it the constant."""
+    design = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    pull = np.full(design.shape[1], PULL)
+    pull[-1] = PULL / 1000
+    beta = np.zeros(design.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        slope = design.T @ (weight * (y - p)) - pull @ beta
-        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + pull
-        step = np.linalg.solve(bend, slope)
+        p = 1 / (1 + np.exp(-np.clip(design @ beta.astype(np.float32), -30, 30)))
+        slope = design.T @ (weight * (y - p)) - pull * beta
+        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(pull)
+        step = np.linalg.solve(bend.astype(float), slope.astype(float))
         beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-4:
             break
-    return float(beta[0]), float(beta[1])
+    return beta[:-1], float(beta[-1])
 
 
 def _scorer(docs: DataFrame, labels: DataFrame):
@@ -336,8 +337,8 @@ def _scorer(docs: DataFrame, labels: DataFrame):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        scorer = Scorer(shared.value, fitted.weights)
-        return lambda texts: [fitted.score(scorer.total(text or "")) for text in texts.to_pylist()]
+        spotter = Spotter(shared.value, fitted.names)
+        return lambda texts: [fitted.score(spotter.found(text or "")) for text in texts.to_pylist()]
 
     return make
 
