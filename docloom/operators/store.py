@@ -645,16 +645,6 @@ def manifest_sizes(manifest: DataFrame) -> Row:
     ).first()
 
 
-def split_unusable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents with an id, documents without one)."""
-    return documents.where("doc_id IS NOT NULL"), documents.where("doc_id IS NULL")
-
-
-def merged(existing: DataFrame, incoming: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Upsert as a query: incoming rows and the existing ones they do not replace."""
-    return without(existing, incoming, key).unionByName(incoming)
-
-
 def without(existing: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Existing rows whose key is not among ``keys``."""
     return existing.join(keys.select(key), key, "left_anti")

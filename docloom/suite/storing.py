@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from docloom.functions import keys
 from docloom.model import IndexDef, IndexSet, Tenant
-from docloom.operators import store
 from docloom.plans.documents import to_documents
 from docloom.plans.indexer import Indexer
 from docloom.sources.tables import SharedTables
