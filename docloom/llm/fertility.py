@@ -33,8 +33,8 @@ SCRIPTS = {
     "thai": 0xE00, "hangul": 0x1100, "kana": 0x3040, "han": 0x3400, "other": 0x10000,
 }
 #: Half width of a band in interquartile ranges, and in standard errors of the text's own measure.
-WIDTH = 3.0
-ERRORS = 4.0
+WIDTH = 2.5
+ERRORS = 2.0
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
