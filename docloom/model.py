@@ -90,6 +90,8 @@ class IndexDef:
     mappers: Mapping[str, str] = field(default_factory=dict)
     parent: ParentLink | None = None
     skip_creation: bool = False
+    #: Kept for earlier definitions: every run stages its rows now.
+    stage_rows: bool = False
 
     @property
     def id_column(self) -> str:
