@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are worked on at once.
 CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch: a task holds a batch twice, in the JVM and in Python.
+BATCH_ROWS = 1_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -33,7 +35,11 @@ PLACES = np.random.Generator(np.random.PCG64(20240501)).integers(
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A supplied table. Python workers started later look for this package where the driver found it."""
+    """A supplied table, for operators that take Arrow batches.
+
+    Python workers started later look for this package where the driver found it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
