@@ -2,8 +2,8 @@
 
 Each text is split into the pieces of a public vocabulary with byte fallback. Characters per
 token, the share of tokens that are bytes, and the entropy of the tokens are compared with what
-is usual for texts of the same language and script: the median over all documents, and a band around
-it whose width follows the spread of the middle half and the number of tokens. Fixed
+is usual for texts of the same language and script: the median over all distinct texts, and a band around
+it whose width follows the spread of the middle half and the number of tokens; copies count once. Fixed
 rules on words, symbols and repetition come first.
 """
 
@@ -142,27 +142,29 @@ _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def measured(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, lang and all measures of every row; a text is read once."""
+    """doc_id, lang, a hash of the text and all measures of every row; a text is read once."""
     held: dict[str, Tokens] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = held.setdefault(path, Tokens(path))
         for batch in batches:
-            for chunk in chunks(batch.column(2)):
+            for chunk in chunks(batch.column(3)):
                 found = base_counts(chunk) | tokens.measures(chunk)
                 n = chunk.last - chunk.first
-                columns = [batch.column(0).slice(chunk.first, n), batch.column(1).slice(chunk.first, n)]
+                columns = [batch.column(k).slice(chunk.first, n) for k in range(3)]
                 columns += [pa.array(scripts(chunk), pa.string())]
                 columns += [pa.array(found[name].astype(np.int64)) for name in _COUNTS]
                 columns += [pa.array(found[name].astype(float)) for name in ("byte_share", "entropy")]
                 yield pa.RecordBatch.from_arrays(
-                    columns, ["doc_id", "lang", "script", *_COUNTS, "byte_share", "entropy"]
+                    columns, ["doc_id", "lang", "hash", "script", *_COUNTS, "byte_share", "entropy"]
                 )
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
-    return docs.select("doc_id", lang.cast("string").alias("lang"), "text").mapInArrow(
+    return docs.select(
+        "doc_id", lang.cast("string").alias("lang"), F.xxhash64("text").alias("hash"), "text"
+    ).mapInArrow(
         run,
-        "doc_id long, lang string, script string, "
+        "doc_id long, lang string, hash long, script string, "
         + ", ".join(f"{name} long" for name in _COUNTS)
         + ", byte_share double, entropy double",
     )
@@ -171,8 +173,8 @@ def measured(docs: DataFrame, path: str) -> DataFrame:
 def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The measures, base_failed and kept for every row of ``docs``.
 
-    Bands come from the documents that pass the base rules, for each language, or for each
-    script where the language is null. Entropy is taken relative to the logarithm of the
+    Bands come from the distinct texts that pass the base rules, for each language, or for each
+    script where the language is null; however often a text is copied, it counts once. Entropy is taken relative to the logarithm of the
     number of tokens, which makes texts of different lengths comparable. Texts that are
     null, empty or without words have zero counts and fail the base rules. Rows that repeat
     get equal results; other columns are ignored; an empty table gives an empty result.
@@ -190,7 +192,9 @@ def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
     group = F.coalesce(F.concat(F.lit("lang "), "lang"), F.concat(F.lit("script "), "script"))
     quarters = (
         table.filter("NOT base_failed")
-        .groupBy(group.alias("of"))
+        .groupBy(group.alias("of"), "hash")
+        .agg(*(F.first(name).alias(name) for name in names))
+        .groupBy("of")
         .agg(*(F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(f"{name}_at") for name in names))
     )
     joined = table.join(quarters, group == F.col("of"), "left")

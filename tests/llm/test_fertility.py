@@ -88,3 +88,21 @@ def test_unusual_texts_are_rejected_per_language(spark):
     found = {r.doc_id: r for r in fertility.quality(df).collect()}
     assert not found[1000].kept and not found[1001].kept
     assert all(found[i].kept for i in range(200) if not found[i].base_failed)
+
+
+def test_a_text_copied_many_times_does_not_set_the_bands(spark):
+    rng = random.Random(9)
+    words = "the house of green tree stands near river where many people walk extraordinarily notwithstanding zyx qwk".split()
+    rows = []
+    for i in range(200):
+        some = rng.sample(words, 9)
+        rows.append((i, " ".join(rng.choice(some) for _ in range(120)), "en"))
+    schema = "doc_id long, text string, lang string"
+    copies = [(1000 + i, rows[7][1], "en") for i in range(500)]
+
+    def kept(own):
+        return {r.doc_id: r.kept for r in fertility.quality(spark.createDataFrame(own, schema)).collect() if r.doc_id < 1000}
+
+    alone = kept(rows)
+    assert sum(alone.values()) > 150
+    assert kept(rows + copies) == alone
