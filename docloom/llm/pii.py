@@ -2,7 +2,7 @@
 
 Fixed patterns give the base spans: e-mail and IP addresses, card and phone numbers. They and
 other strings of digits are candidates. Labelers vote on each for, against or not at all: what the
-pattern says, a checksum, lists of top-level domains, of dialling codes and of reserved
+pattern says, a checksum, lists of top-level domains, of area and dialling codes and of reserved
 networks, and words in front that point to or away from personal data. Expectation-maximisation over the
 counts of all vote patterns estimates how reliable each labeler is. The resulting chances train a
 classifier on the looks and surroundings of a span, and candidates that it takes for
@@ -24,13 +24,24 @@ from docloom.workspace import local_frame, stage
 
 #: Base kinds in the order that breaks ties; ``number`` is what the classifier adds.
 KINDS = ("email", "ip", "card", "phone", "number")
+#: Forms of a single number, so that neighbours stay apart; an address of four parts is passed over whole,
+#: and marks between groups are alike where no form is known.
+NUMBERS = (
+    r"[0-9]++(?:\.[0-9]++){3}",
+    r"[0-9]{4}(?:[\x20-][0-9]{4}){3}",
+    r"(?:(?:\+[0-9]{1,3}|1)[\x20.-]{0,2})?\(?[0-9]{3}[\x20().-]{1,3}[0-9]{3}[\x20.-]{1,3}[0-9]{4}",
+    r"\+?\(?[0-9]{2,5}\)?([\x20.-]{1,3})[0-9]{2,4}(?:\1[0-9]{2,4}){1,3}",
+    r"\+?\(?[0-9]{2,5}\)?[\x20-][0-9]{5,8}",
+    r"[0-9](?:\x20[0-9]){6,18}",
+    r"\+?\(?[0-9]++(?:[().-]{1,3}[0-9]++)*+",
+)
 #: The patterns. Possessive loops and looks behind keep them linear and change no match.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "number": r"(?<![A-Za-z0-9+.])[0-9(][\x20().0-9-]{5,}[0-9](?![A-Za-z0-9])",
+    "number": r"(?<![A-Za-z0-9+.])(?:" + "|".join(NUMBERS) + r")(?![A-Za-z0-9])",
 }
 #: What a text must hold for a pattern to be tried; a necessary condition, so nothing is missed.
 GATES = {
@@ -43,6 +54,9 @@ GATES = {
 #: Fixed values of the labelers.
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "it", "uk", "eu", "ch", "at")
 CODES = ("1", "7", "33", "34", "39", "41", "43", "44", "49", "55", "61", "81", "86", "91")
+#: Numbers that begin as in national and international dialling: a North American area and exchange, a
+#: trunk zero, or two zeros and a code.
+DIALLED = rf"^(?:1?[2-9][0-8][0-9][2-9][0-9]{{6}}|0[1-9][0-9]{{7,10}}|00(?:{'|'.join(CODES)})[0-9]{{6,12}})$"
 RESERVED = r"^(?:0|10|127|169\.254|192\.168|255)\."
 TOWARDS = r"\b(?:e-?mail|mail|contact|phone|tel|telephone|call|fax|mobile|cell|card|visa|credit|account|iban|ssn|reach|address|telefon|correo|courriel)\b"
 AWAY = r"\b(?:version|v|isbn|issn|page|pages|section|chapter|figure|table|build|release|license|commit|id|no|order|ticket)\b[\x20.:#]*$"
@@ -153,8 +167,9 @@ def _votes(rows: DataFrame) -> DataFrame:
     kind, text, digits = F.col("kind"), F.col("text"), F.col("digits")
     n = F.length("digits")
     rows = rows.withColumn("digits", _digits(text)).withColumn("valid", _valid(kind, text, digits))
-    # a run of digits that is no card number is a number, and no candidate twice
-    rows = rows.filter(F.col("valid") | (kind == "number") & n.between(7, 19))
+    # a run of digits that is no card number is a number, and no candidate twice; an address is a base span
+    address = F.when(text.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"), _octets(text)).otherwise(False)
+    rows = rows.filter(F.col("valid") | (kind == "number") & n.between(7, 19) & ~address)
 
     def vote(good: Column, bad: Column) -> Column:
         return F.when(good, 1).when(bad, -1).otherwise(0)
@@ -167,6 +182,7 @@ def _votes(rows: DataFrame) -> DataFrame:
         F.when(kind == "email", vote(top.isin(*DOMAINS), F.lit(False)))
         .when(kind == "ip", vote(F.lit(False), text.rlike(RESERVED)))
         .when(kind == "phone", vote(dialled, ~dialled))
+        .when(kind == "number", vote(digits.rlike(DIALLED), F.lit(False)))
         .otherwise(F.lit(0))
     )
     grouped = text.rlike(r"^\(?[0-9]{2,4}[)\x20.-]{1,2}[0-9]{2,4}(?:[\x20.-][0-9]{2,4})+$")

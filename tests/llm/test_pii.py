@@ -101,3 +101,40 @@ def test_supported_numbers_are_added(spark):
 def test_main_path_is_native(spark, odd):
     plan = pii.matches(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_neighbouring_numbers_stay_apart(spark):
+    texts = {
+        "555-123-4567 555-987-6543": "0:12 13:25",
+        "262 555 3752 414 555 3753 608 555 3754": "0:12 13:25 26:38",
+        "10.20.30.40 555-123-4567": "0:11 12:24",
+        "+1 (262) 555-3752 555-123-4567": "0:17 18:30",
+        "030 1233000 089 7653000": "0:11 12:23",
+        "12345678 4130383451285691": "0:8 9:25",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("0L AS doc_id", "text").coalesce(1)
+    found = {}
+    for r in pii.candidates(pii.matches(df)).filter("kind = 'number'").sort("row", "start").collect():
+        found.setdefault(r.row, []).append(f"{r.start}:{r.end}")
+    assert [" ".join(x) for x in found.values()] == list(texts.values())
+
+
+def test_neighbouring_numbers_are_added(spark):
+    rows = [(i, f"please call phone 262 555 {3000 + i} 414 555 {4000 + i} now") for i in range(60)]
+    rows += [(100 + i, f"the version 12345678{i % 10} is out") for i in range(60)]
+    rows += [(200 + i, f"call phone 81.20.30.40 262 555 {5000 + i} now") for i in range(60)]
+    rows += [(300 + i, f"mail a{i}@b.com or phone +1 (262) 555-{3000 + i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
+    assert all(found[i] == "number:18:30,number:31:43" for i in range(60))
+    assert not any(found[100 + i] for i in range(60))
+    assert all(found[200 + i] == "ip:11:22,number:23:35" for i in range(60))
+
+
+def test_dialling_codes_vote_on_numbers(spark):
+    rows = [(0, "a 2625553752 b"), (1, "a 1234567890 b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    votes = {r.start: r.votes for r in pii._votes(pii.candidates(pii.matches(df.filter("doc_id = 0")))).collect()}
+    assert [v.split(",")[2] for v in votes.values()] == ["1"]
+    votes = [r.votes for r in pii._votes(pii.candidates(pii.matches(df.filter("doc_id = 1")))).collect()]
+    assert [v.split(",")[2] for v in votes] == ["0"]
