@@ -72,7 +72,8 @@ MANIFEST_SCHEMA = T.StructType(
 class CommitReport:
     """What one commit did: its version and the rows it wrote and set aside.
 
-    ``by_tenant`` has records and failures of each tenant, for up to ``FEW_TENANTS`` of them.
+    ``report`` is the folder of a table (tenant, records, failures) of all tenants, beside the manifest;
+    ``by_tenant`` has the same rows where there are up to ``FEW_TENANTS`` of them.
     """
 
     version: str
@@ -80,6 +81,7 @@ class CommitReport:
     rows_quarantined: int
     manifest_version: int
     by_tenant: tuple[Row, ...] = ()
+    report: str | None = None
 
 
 @dataclass(frozen=True)
@@ -94,6 +96,7 @@ class CommitPlan:
     rows_bad: int
     hot_slices: int
     by_tenant: tuple[Row, ...] = ()
+    report: str | None = None
 
 
 def slice_of(doc_id: Column) -> Column:
@@ -457,11 +460,13 @@ class DocumentTable:
         counts = slices.groupBy("tenant").agg(
             F.sum(usable).alias("records"), F.sum(F.col("rows") - usable).alias("failures")
         )
+        report = f"{self.path}/reports/{uuid.uuid4().hex}"
+        counts = workspace.stage(counts, "report", report)
         by_tenant = counts.orderBy("tenant").take(FEW_TENANTS + 1)
         if len(by_tenant) > FEW_TENANTS:
             by_tenant = []
         return CommitPlan(
-            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot, tuple(by_tenant)
+            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot, tuple(by_tenant), report
         )
 
     @staticmethod
@@ -603,7 +608,7 @@ class DocumentTable:
             number = self.snapshots.write(kept.unionByName(written))
         if plan.rows_bad:
             self._quarantine(incoming, version)
-        return CommitReport(version, plan.rows, plan.rows_bad, number, plan.by_tenant)
+        return CommitReport(version, plan.rows, plan.rows_bad, number, plan.by_tenant, plan.report)
 
     def _quarantine(self, incoming: DataFrame, version: str) -> None:
         (

@@ -64,7 +64,10 @@ def tenant_batches(commit: CommitReport, size: int) -> tuple[TenantBatches, ...]
 
 @dataclass(frozen=True)
 class RunReport:
-    """Outcome of one document type in one run."""
+    """Outcome of one document type in one run.
+
+    ``batches`` is for few tenants; ``batch_table`` reads the table ``batch_path`` of any number of them.
+    """
 
     document_type: str
     mode: str
@@ -75,6 +78,21 @@ class RunReport:
     skipped: tuple[str, ...] = ()
     error: str | None = None
     batches: tuple[TenantBatches, ...] = ()
+    batch_path: str | None = None
+    batch_size: int = 1
+
+    def batch_table(self, spark: SparkSession) -> DataFrame:
+        """What the run did for each tenant, a row for every one; none without a commit."""
+        schema = "tenant string, records bigint, failures bigint"
+        rows = spark.read.schema(schema).parquet(self.batch_path) if self.batch_path else local_frame(spark, [], schema)
+        return rows.select(
+            "tenant",
+            F.lit(self.document_type).alias("document_type"),
+            "records",
+            F.lit(self.batch_size).cast("long").alias("batch_size"),
+            F.ceil(F.col("records") / self.batch_size).alias("total_batches"),
+            "failures",
+        )
 
 
 @dataclass(frozen=True)
@@ -301,6 +319,8 @@ class Indexer:
                     rows_in=commit.rows_in,
                     rows_quarantined=commit.rows_quarantined,
                     batches=tenant_batches(commit, self.index_set.effective_batch_count()),
+                    batch_path=commit.report,
+                    batch_size=self.index_set.effective_batch_count(),
                 )
             except Exception as error:
                 report = replace(report, error=str(error))

@@ -10,7 +10,7 @@ from docloom.plans.documents import to_documents
 from docloom.plans.indexer import Indexer
 from docloom.sources.tables import SharedTables
 from docloom.suite import base as b
-from docloom.workspace import fresh_path, local_frame
+from docloom.workspace import fresh_path
 
 suite = b.Suite()
 
@@ -248,13 +248,7 @@ def batch_report(spark, folder):
     tenants = [Tenant(f"tenant{number}") for number in range(4)]
     index_set = IndexSet((IndexDef("order", {"spark": query}, "o_orderkey"),), batch_count=500)
     jobs = Indexer(spark, index_set, tenants, SharedTables(spark), fresh_path(spark, "index"))
-    report = jobs.full(run_ts=1)[0]
-    rows = [(x.tenant, "order", x.records, x.batch_size, x.total_batches, x.failures) for x in report.batches]
-    return local_frame(
-        spark,
-        rows,
-        "tenant string, document_type string, records bigint, batch_size bigint, total_batches bigint, failures bigint",
-    )
+    return jobs.full(run_ts=1)[0].batch_table(spark)
 
 
 @suite.add(

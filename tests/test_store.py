@@ -244,3 +244,19 @@ def test_create_and_drop(spark, root):
     assert table.create() and not table.create()
     assert content(table) == {}
     assert table.drop() and not table.exists()
+
+
+def test_the_batch_table_has_every_tenant(spark, root, monkeypatch):
+    """As with more than ``FEW_TENANTS`` tenants, of which the tuple of the report has none."""
+    from docloom.model import IndexDef, IndexSet, Tenant
+    from docloom.plans.indexer import Indexer
+    from docloom.sources.tables import SharedTables
+
+    monkeypatch.setattr(store, "FEW_TENANTS", 2)
+    spark.range(50).selectExpr("concat('n', id % 5) AS tenant", "if(id < 5, NULL, id) AS id").createOrReplaceTempView("of_many")
+    kind = IndexDef("thing", {"spark": "SELECT tenant, id FROM of_many"}, "id")
+    tenants = [Tenant(f"n{i}") for i in range(5)]
+    report = Indexer(spark, IndexSet((kind,), batch_count=4), tenants, SharedTables(spark), root).full(run_ts=1)[0]
+    assert report.error is None and report.batches == ()
+    rows = sorted(tuple(r) for r in report.batch_table(spark).collect())
+    assert rows == [(f"n{i}", "thing", 9, report.batch_size, -(-9 // report.batch_size), 1) for i in range(5)]
