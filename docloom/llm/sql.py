@@ -77,3 +77,111 @@ WITH vectors AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _nearest(assigned: str, centroids: str) -> str:
+    return f"""{assigned} AS MATERIALIZED (
+  SELECT row_id, vec_id, v, cluster, distance FROM (
+    SELECT k.*, c.cluster, list_sum(list_transform(list_zip(v, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+        AS distance FROM kept k, {centroids} c)
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY distance, cluster) = 1
+)"""
+
+
+def _round(number: int) -> str:
+    return f"""{_nearest(f"a{number}", f"c{number}")}, c{number + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{number} c LEFT JOIN (
+    SELECT cluster, list(mean ORDER BY place) AS c FROM (
+      SELECT cluster, place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+      FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{number})
+      GROUP BY cluster, place) GROUP BY cluster) m USING (cluster)
+)"""
+
+
+_ROUNDS = 10
+
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY digest, v) - 1 AS cluster, v AS c FROM (
+    SELECT sha256('3:' || vec_id) AS digest, v FROM kept ORDER BY digest, v LIMIT 8)
+), {", ".join(_round(number) for number in range(_ROUNDS))}, {_nearest("final", f"c{_ROUNDS}")}
+SELECT vec_id, CAST(f.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY f.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM final f JOIN c{_ROUNDS} c ON f.cluster = c.cluster
+"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(name) for name in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+#: Bit by bit: a byte is taken in, and eight steps of the polynomial follow.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+    range(strlen(CAST(doc_id AS VARCHAR))), lambda i: list_transform(range(8), lambda k: CASE WHEN k = 0
+      THEN ascii(CAST(doc_id AS VARCHAR)[i + 1])::UBIGINT ELSE 0::UBIGINT END)))),
+    lambda a, b: xor(xor(a, b) >> 1, 3988292384::UBIGINT * (xor(a, b) & 1::UBIGINT))), 4294967295::UBIGINT)"""
+
+
+def _grown(name: str, start: str) -> str:
+    """Nodes of all trees, level by level; ``nodes`` counts the nodes of a tree on a level."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(nodes) + 2) // 3
+  FROM {name} WHERE nodes > 1 GROUP BY tree, level, pos // 3
+)"""
+
+
+def _runs(name: str, nodes: str) -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT n.tree, n.level, n.pos,
+    coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (WHERE o.pos < n.pos), '') AS before,
+    coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (WHERE o.pos > n.pos), '') AS after
+  FROM {nodes} n JOIN {nodes} o ON n.tree = o.tree AND n.level = o.level AND n.pos // 3 = o.pos // 3
+  WHERE n.nodes > 1 GROUP BY n.tree, n.level, n.pos
+)"""
+
+
+def _walked(name: str, start: str, runs: str) -> str:
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT w.key, w.tree, w.level + 1, w.pos // 3, proof || before || after, sha256(before || node || after)
+  FROM {name} w JOIN {runs} r ON w.tree = r.tree AND w.level = r.level AND w.pos = r.pos
+)"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT *, coalesce('+' || source, '') AS tree, row_number() OVER () AS key,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS nodes
+  FROM (SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS forged
+    FROM documents)
+), {_grown("nodes", "SELECT tree, 0 AS level, pos, leaf AS digest, nodes FROM leaves")}, tops AS MATERIALIZED (
+  SELECT tree AS of, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS nodes
+  FROM nodes WHERE nodes = 1
+), {_grown("upper", "SELECT '' AS tree, 0 AS level, pos, digest, nodes FROM tops")},
+{_runs("runs", "nodes")}, {_runs("upper_runs", "upper")},
+{_walked("walk", "SELECT key, tree, 0 AS level, pos, '' AS proof, forged AS node FROM leaves", "runs")},
+reached AS MATERIALIZED (
+  SELECT key, tree, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM walk GROUP BY key, tree
+),
+{_walked("last", "SELECT key, '' AS tree, 0 AS level, t.pos, proof, node FROM reached JOIN tops t ON t.of = reached.tree", "upper_runs")},
+folded AS (SELECT key, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM last GROUP BY key),
+root AS (SELECT digest AS root FROM upper WHERE nodes = 1)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM leaves l JOIN tops t ON t.of = l.tree JOIN folded USING (key), root
+"""

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, chat, fertility, minmax, mixing, pii, secrets, sql, topk, toxicity, urls
+from docloom.llm import (
+    bpe,
+    centroids,
+    chat,
+    fertility,
+    manifest,
+    minmax,
+    mixing,
+    pii,
+    secrets,
+    sql,
+    topk,
+    toxicity,
+    urls,
+)
 from docloom.llm.texts import table
 
 
@@ -71,6 +85,16 @@ def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proof of every document against the root of all, and what a tampered one gives."""
+    return manifest.verified(table(spark, folder, "documents"))
+
+
+def op13_hadamard_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every vector."""
+    return centroids.clustered(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
     "op2_grammar_chat": op2_grammar_chat,
@@ -82,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_bounded_top_k": op9_bounded_top_k,
     "op10_weak_supervision_pii": op10_weak_supervision_pii,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hadamard_centroids": op13_hadamard_centroids,
 }
 
 #: Learned, iterative over models, or defined by hashes: ops 1, 3, 5, 6, 7, 8 and 10 have no SQL and
@@ -90,4 +116,6 @@ ORACLE: dict[str, str] = {
     "op2_grammar_chat": sql.CONVERSATIONS,
     "op4_minmax_dedup": sql.NEAR_DUPLICATES,
     "op9_bounded_top_k": sql.TOP_K,
+    "op12_merkle_manifest": sql.MANIFEST,
+    "op13_hadamard_centroids": sql.CENTROIDS,
 }
