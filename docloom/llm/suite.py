@@ -17,6 +17,7 @@ from docloom.llm import (
     pii,
     secrets,
     sql,
+    suffixes,
     topk,
     toxicity,
     urls,
@@ -85,6 +86,11 @@ def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+def op11_suffix_family_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that repeated passages cover."""
+    return suffixes.repeats(table(spark, folder, "documents")).drop("spans")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Proof of every document against the root of all, and what a tampered one gives."""
     return manifest.verified(table(spark, folder, "documents"))
@@ -106,11 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_bounded_top_k": op9_bounded_top_k,
     "op10_weak_supervision_pii": op10_weak_supervision_pii,
+    "op11_suffix_family_dedup": op11_suffix_family_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_hadamard_centroids": op13_hadamard_centroids,
 }
 
-#: Learned, iterative over models, or defined by hashes: ops 1, 3, 5, 6, 7, 8 and 10 have no SQL and
+#: Learned, iterative over models, or defined by hashes: ops 1, 3, 5, 6, 7, 8, 10 and 11 have no SQL and
 #: are tested against plain Python instead.
 ORACLE: dict[str, str] = {
     "op2_grammar_chat": sql.CONVERSATIONS,
