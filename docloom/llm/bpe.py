@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from docloom.llm.texts import Chunk, chunks, span_hashes
+from docloom.llm.texts import Chunk, chunks, same_bytes, span_hashes
 
 #: Name of the vocabulary's rank file, and the pattern that cuts a text into pieces.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -236,7 +236,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.known_check = np.zeros(0, np.uint64)
+        self.known_data, self.known_from = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        self.known_size = np.zeros(0, np.int64)
         self.known_at, self.known_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.known_ids = np.zeros(0, np.uint32)
 
@@ -366,15 +367,15 @@ class Encoder:
         row_at = np.unique(chunk.bounds[:-1][chunk.bounds[:-1] < len(data)])
         start = byte_at[self.starts(chars, np.searchsorted(byte_at, row_at))]
         end = np.append(start[1:], len(data))
-        hashed, first, inverse = np.unique(
-            span_hashes(data, start, end), return_index=True, return_inverse=True
-        )
-        check = _check(data, start[first], end[first])
+        hashed, first, inverse = _classes(data, start, end)
+        size = (end - start)[first]
         where = np.searchsorted(self.known, hashed)
         near = np.minimum(where, max(len(self.known) - 1, 0))
         old = np.zeros(len(hashed), bool)
         if len(self.known):
-            old = (self.known[near] == hashed) & (self.known_check[near] == check)
+            old = (self.known[near] == hashed) & (self.known_size[near] == size)
+            maybe = np.flatnonzero(old)
+            old[maybe] = same_bytes(data, start[first[maybe]], self.known_data, self.known_from[near[maybe]], size[maybe])
         at, count = np.zeros(len(hashed), np.int64), np.zeros(len(hashed), np.int64)
         at[old], count[old] = self.known_at[near[old]], self.known_n[near[old]]
         new = ~old
@@ -383,14 +384,19 @@ class Encoder:
         store = np.concatenate([self.known_ids, ids])
         out = store[_gather(at[inverse], count[inverse])]
         row_end = np.concatenate([[0], np.cumsum(count[inverse])])[np.searchsorted(start, chunk.bounds[1:])]
-        fresh = new & (end[first] - start[first] <= SIDE_BY_SIDE)
+        fresh = new & (size <= SIDE_BY_SIDE)
+        fresh[1:] &= hashed[1:] != hashed[:-1]
         if len(self.known):
             fresh &= self.known[near] != hashed
         if len(self.known) + fresh.sum() > REMEMBERED:
             self.forget()
         else:
             self.known_ids = store
-            for name, part in (("known_check", check), ("known_at", at), ("known_n", count), ("known", hashed)):
+            kept = np.where(fresh, size, 0)
+            begins = len(self.known_data) + np.cumsum(kept) - kept
+            self.known_data = np.concatenate([self.known_data, data[_gather(start[first[fresh]], size[fresh])]])
+            parts = {"known_from": begins, "known_size": size, "known_at": at, "known_n": count, "known": hashed}
+            for name, part in parts.items():
                 setattr(self, name, np.insert(getattr(self, name), where[fresh], part[fresh]))
         return out, row_end
 
@@ -409,13 +415,26 @@ def _gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
-def _check(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Length and first seven bytes of every span in one number, to tell equal hashes apart."""
-    value = (end - start).astype(np.uint64)
-    for k in range(7):
-        at = np.minimum(start + k, end - 1)
-        value = value << np.uint64(8) | data[at].astype(np.uint64)
-    return value
+def _classes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and one span of every class of equal spans, ordered by hash, and the class of each span.
+
+    Spans of one hash are compared by their bytes; should they differ, each string is a class.
+    """
+    value = span_hashes(data, start, end)
+    hashed, first, inverse = np.unique(value, return_index=True, return_inverse=True)
+    size = end - start
+    same = size == size[first[inverse]]
+    at = np.flatnonzero(same)
+    same[at] = same_bytes(data, start[at], data, start[first[inverse[at]]], size[at])
+    if same.all():
+        return hashed, first, inverse
+    number: dict[tuple[int, bytes], int] = {}
+    names = [(h, data[a:b].tobytes()) for h, a, b in zip(value.tolist(), start, end)]
+    for name in sorted(set(names)):
+        number[name] = len(number)
+    inverse = np.array([number[name] for name in names])
+    first = np.unique(inverse, return_index=True)[1]
+    return value[first], first, inverse
 
 
 LETTER, NUMBER, SPACE = 1, 2, 3

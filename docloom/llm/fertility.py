@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.texts import Chunk, chunks, rows_of, runs, span_hashes, windows, words
-from docloom.workspace import stage
+from docloom.workspace import broadcast_if_small, stage
 
 #: The vocabulary: pieces of words, with byte fallback.
 VOCABULARY = "piece_bpe_32k.model"
@@ -197,7 +197,8 @@ def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
         .groupBy("of")
         .agg(*(F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(f"{name}_at") for name in names))
     )
-    joined = table.join(quarters, group == F.col("of"), "left")
+    # one row for each language or script
+    joined = table.join(broadcast_if_small(stage(quarters, "quarters")), group == F.col("of"), "left")
     error = ERRORS / F.sqrt(F.greatest("n_tokens", F.lit(1)))
 
     def within(name: str, floor: float):

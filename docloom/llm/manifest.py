@@ -19,12 +19,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.llm.joins import repeated
 from docloom.workspace import broadcast_if_small, stage
 
 FAN = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-#: Copies of one row that are numbered by one task.
-COPIES = 10_000
 #: Bits of ``monotonically_increasing_id`` that number the rows of a partition.
 _ROW_BITS = 33
 
@@ -142,8 +141,7 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` (tree, ..., copies) once for every copy, with their place in the tree and its size.
 
     Rows are range partitioned along tree and ``order``; the copies of each range and tree are added up
-    along the tree, so no task sees a whole tree. Copies of one row are numbered in
-    pieces of ``COPIES``.
+    along the tree, so no task sees a whole tree. Copies of one row are dealt out in pieces.
     """
     place = F.monotonically_increasing_id()
     placed = stage(
@@ -167,14 +165,7 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     )
     first = first.withColumn("at", F.col("base") + F.col("within")).drop("base", "within", "place", "range")
     names = [name for name in first.columns if name not in ("at", "copies")]
-    many = (
-        first.filter("copies > 1")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES))))
-        .withColumn("end", F.least(F.col("piece") + COPIES, F.col("copies")))
-        .repartition("tree", "at", "piece")
-        .withColumn("at", F.explode(F.expr("sequence(at + piece, at + end - 1)")))
-    )
-    return first.filter("copies = 1").select("at", *names).union(many.select("at", *names))
+    return repeated(first, "copies", "copy").select((F.col("at") + F.col("copy")).alias("at"), *names)
 
 
 def manifest(docs: DataFrame, **more: Column) -> Manifest:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.components import components
 from docloom.llm.texts import PLACES, mix, shingle_sets
-from docloom.workspace import stage
+from docloom.workspace import broadcast_if_small, stage
 
 PERMUTATIONS = 120
 BANDS = 48
@@ -314,6 +314,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept: one document of every group."""
+    """The rows of ``docs`` that are kept: one document of every group.
+
+    Of rows that share the kept id one stays, that of the smallest text. Rows of a null id link with
+    nothing; of those with equal shingle sets one stays, and all without shingles do.
+    """
     gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    rest = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = stage(rest.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    if not again.isEmpty():
+        ids = broadcast_if_small(again)
+        one = rest.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")
+        )
+        rest = rest.join(ids, "doc_id", "left_anti").select(*docs.columns).union(one.select("row.*"))
+    unnamed = docs.filter("doc_id IS NULL")
+    if unnamed.isEmpty():
+        return rest
+    unnamed = stage(unnamed.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "unnamed")
+    sketch = sketches(unnamed.select(F.col("_row").alias("doc_id"), "_doc.text")).filter("n_shingles > 0")
+    marked = stage(sketch.select("doc_id", "k1", "k2", "n_shingles"), "marked")
+    first = marked.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    copies = marked.join(first, "doc_id", "left_anti").select(F.col("doc_id").alias("_row"))
+    return rest.union(unnamed.join(copies, "_row", "left_anti").select("_doc.*"))

@@ -6,6 +6,9 @@ Sizes are summed per range, the sums are added up along each source, and within
 the rows are sorted by key. Together these give each row's position in its source without
 any task seeing a whole source. A source is then cut at its budget: whole epochs first, then
 the rows up to the remaining words.
+
+Rows that repeat have one key. They are counted first, placed as one group, and what each copy gives follows
+from the group's place.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.llm.joins import repeated, spread_join
 from docloom.operators.paging import global_row_number
 from docloom.workspace import stage
 
@@ -67,8 +71,9 @@ def mixed(docs: DataFrame, whole: bool = False, seed: int = SEED) -> DataFrame:
     ``taken`` counts words with repeats. The sums over a source equal its target rounded
     down: the row at the cut gives its first words only. With ``whole`` that row is
     taken in full if this brings the sum nearer, and else not. Null texts and texts without
-    words have size 0 and give 0; a null source is a source. Rows that repeat are ordered
-    among themselves at will, as they are equal; keys that tie are ordered by id.
+    words have size 0 and give 0; a null source is a source. Rows that repeat lie one behind the
+    other and share what they give at will, as they are equal; keys that tie are ordered by id. A
+    text of any length is one row of its size.
     """
     base = stage(
         docs.select(
@@ -76,11 +81,14 @@ def mixed(docs: DataFrame, whole: bool = False, seed: int = SEED) -> DataFrame:
             "source",
             n_words(F.col("text")).alias("size"),
             F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")).alias("key"),
-        ),
+        )
+        .groupBy("doc_id", "source", "size", "key")
+        .agg(F.count("*").alias("copies")),
         "sizes",
     )
     summed = stage(
-        base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), "sources"
+        base.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("rows")),
+        "sources",
     )
     wanted = targets(summed.select("source", "source_size"))
     plan = stage(
@@ -97,7 +105,7 @@ def mixed(docs: DataFrame, whole: bool = False, seed: int = SEED) -> DataFrame:
         .drop("own", "ranges"),
         "placed",
     )
-    sums = placed.groupBy("source", "range").agg(F.sum("size").alias("words"))
+    sums = placed.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
         F.col("source").alias("own"),
@@ -109,18 +117,19 @@ def mixed(docs: DataFrame, whole: bool = False, seed: int = SEED) -> DataFrame:
         .orderBy(F.shiftrightunsigned("key", 11), "key", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    run = placed.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
+    run = placed.withColumn("within", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0))).join(
         starts, F.col("source").eqNullSafe(F.col("own")) & (F.col("range") == F.col("at"))
     )
-    start = F.col("base") + F.col("within")
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = budget - epochs * F.col("source_size")
+    copies = repeated(run, "copies", "copy")
+    start = F.col("base") + F.col("within") + F.col("copy") * F.col("size")
     if whole:
         last = F.when(2 * start + F.col("size") <= 2 * rest, F.col("size")).otherwise(0)
     else:
         last = F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))
-    return run.select(
+    return copies.select(
         "doc_id",
         "size",
         "source_size",
@@ -137,16 +146,16 @@ def mixture(docs: DataFrame) -> DataFrame:
     Rows that agree in id, source and text are taken alike, the number of copies being the
     largest that any of them got; rows without words are never taken.
     """
-    key, copies, copy = (_unused(docs.columns, name) for name in ("key", "copies", "copy"))
+    key, copies, copy, weight = (_unused(docs.columns, name) for name in ("key", "copies", "copy", "weight"))
     taken = (
         mixed(docs, whole=True)
         .filter("size > 0 AND taken > 0")
         .groupBy(F.col("key").alias(key))
-        .agg(F.max(F.expr("taken div size")).cast("int").alias(copies))
+        .agg(F.max(F.expr("taken div size")).cast("int").alias(copies), F.count("*").alias(weight))
     )
     keyed = docs.withColumn(key, F.xxhash64(F.lit(SEED), "doc_id", F.xxhash64("text")))
     return (
-        keyed.join(taken, key)
+        spread_join(keyed, stage(taken, "taken"), [key], weight)
         .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
         .select(*docs.columns)
     )

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.joins import spread_join
 from docloom.llm.texts import chunks
 from docloom.workspace import fresh_path, stage
 
@@ -46,8 +47,6 @@ BATCHES = 4
 SLICE = 1 << 20
 #: Different contexts of an anchor, and of a group of anchors, that one task compares by their bytes.
 GROUP = 4096
-#: Keys that hold at least this share of all rows are joined by broadcast: at most so many keys.
-HEAVY_KEYS = 10_000
 
 _random = np.random.Generator(np.random.PCG64(11))
 _BYTE = _random.integers(0, 1 << 32, size=256, dtype=np.uint32)
@@ -152,19 +151,6 @@ def _array(rows: DataFrame) -> DataFrame:
     )
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
-    """Join with ``right``, which has each key once and in ``weight`` about how many rows ``left`` has of it.
-
-    Keys that hold a share of ``1 / HEAVY_KEYS`` of these rows are at most ``HEAVY_KEYS``: they are
-    broadcast, and their rows stay where they are. All others are too few to fill a task.
-    """
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    heavy = F.col(weight) * HEAVY_KEYS >= F.lit(total)
-    few = right.filter(heavy)
-    rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(right.filter(~heavy), keys, how)
-    return left.join(F.broadcast(few), keys).select(*rest.columns).union(rest)
-
-
 class Family:
     """Arrays of all texts added so far, in levels of doubling size."""
 

@@ -8,6 +8,7 @@ document makes a chunk of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from pathlib import Path
 from typing import NamedTuple
@@ -22,8 +23,9 @@ CHUNK_BYTES = 1 << 20
 #: Rows of an Arrow batch: a task holds a batch twice, in the JVM and in Python.
 BATCH_ROWS = 1_000
 
-_BASE = np.uint64(0x9E3779B97F4A7C55)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Bytes of a string that are hashed side by side with those of others.
+LONG = 64
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -69,23 +71,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; long tables serve one call and are not kept."""
-    up, down = _powers["up"], _powers["down"]
-    if len(up) < n:
-        up = np.full(n, _BASE)
-        up[0] = 1
-        down = np.full(n, _INVERSE)
-        down[0] = 1
-        up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-        if n <= 4 * CHUNK_BYTES:
-            _powers.update(up=up, down=down)
-    return up, down
-
-
 def chunks(column: pa.Array) -> Iterator[Chunk]:
     """The texts of a column, null as empty, in chunks of whole rows."""
     if isinstance(column, pa.ChunkedArray):
@@ -120,13 +105,58 @@ def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(begins), np.flatnonzero(stops) + 1
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number; behind the end come zeros."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view(np.uint64).reshape(-1)
+
+
+#: Keeps the first bytes of eight, by their number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte strings ``data[start:end]``."""
-    up, down = _power_table(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    value = (sums[end] - sums[start]) * down[start]
-    return mix(value + (end - start).astype(np.uint64) * PLACES[63])
+    """64-bit hashes of the byte strings ``data[start:end]``.
+
+    Strings of up to ``LONG`` bytes are taken in eight bytes at a time, with a mixing step that no two
+    values share in between, so that no structure of the text makes hashes agree; longer ones have a
+    BLAKE2b digest.
+    """
+    size = end - start
+    value = size.astype(np.uint64) * PLACES[63]
+    eights, at = _eights(data), np.flatnonzero(size <= LONG)
+    for first in range(0, LONG, 8):
+        at = at[size[at] > first]
+        if not len(at):
+            break
+        block = eights[start[at] + first] & _FIRST[np.minimum(size[at] - first, 8)]
+        value[at] = mix((value[at] ^ block) * PLACES[61] + PLACES[60])
+    for i in np.flatnonzero(size > LONG).tolist():
+        value[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return mix(value)
+
+
+def same_bytes(
+    data: np.ndarray, start: np.ndarray, other: np.ndarray, other_start: np.ndarray, size: np.ndarray
+) -> np.ndarray:
+    """Whether the strings of ``size`` bytes at ``start`` of ``data`` and ``other_start`` of ``other`` agree."""
+    same = np.ones(len(size), bool)
+    left, at, eight = _eights(data), np.flatnonzero(size <= LONG), np.arange(8)
+    for first in range(0, LONG, 8):
+        at = at[size[at] > first]
+        if not len(at):
+            break
+        place = other_start[at] + first
+        if other is data:
+            right = left[place]
+        else:
+            right = other[np.minimum(place[:, None] + eight, len(other) - 1)].view(np.uint64)[:, 0]
+        gap = left[start[at] + first] ^ right
+        same[at] &= gap & _FIRST[np.minimum(size[at] - first, 8)] == 0
+    for i in np.flatnonzero(size > LONG).tolist():
+        a, b = start[i], other_start[i]
+        same[i] = np.array_equal(data[a : a + size[i]], other[b : b + size[i]])
+    return same
 
 
 def rows_of(start: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -20,6 +20,12 @@ ODD_COLUMNS = "doc_id long, text string, lang string, source string, n_chars lon
 CLASHING = ("key", "copies", "size", "score", "row", "kind", "node", "component", "bands", "taken", "target")
 
 
+def thue_morse(size):
+    """The Thue-Morse word of a and b, and its complement: hashes that add up powers take them for one."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(size))
+    return word, word.translate({97: 98, 98: 97})
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     return spark.createDataFrame(ODD, ODD_COLUMNS)

@@ -10,7 +10,7 @@ import tiktoken
 from docloom.llm import bpe
 from docloom.llm.suite import QUERIES
 from docloom.llm.texts import chunks
-from tests.llm.conftest import ODD
+from tests.llm.conftest import ODD, thue_morse
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +54,29 @@ def test_random_strings(own, other):
     assert found == [other.encode_ordinary(x or "") for x in rows]
 
 
+@pytest.mark.parametrize("size", [512, 1024, 2048, 4096])
+def test_pieces_of_much_structure(own, other, size):
+    texts = [*thue_morse(size), " ".join(thue_morse(size))]
+    for rows in (texts, texts[::-1]):
+        (chunk,) = chunks(pa.array(rows))
+        ids, ends = own.chunk(chunk)
+        found = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
+        assert found == [other.encode_ordinary(x) for x in rows]
+
+
+def test_pieces_of_one_hash_are_told_apart(own, other, monkeypatch):
+    """Within a chunk and against the memory, pieces count as equal only if their bytes are."""
+    monkeypatch.setattr(bpe, "span_hashes", lambda data, start, end: (end - start).astype(np.uint64) % 3)
+    own.forget()
+    rng = random.Random(12)
+    for _ in range(4):
+        rows = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 90))) for _ in range(30)) for _ in range(4)]
+        (chunk,) = chunks(pa.array(rows))
+        ids, ends = own.chunk(chunk)
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == [other.encode_ordinary(x) for x in rows]
+    own.forget()
+
+
 def test_memory_is_renewed(own, other, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
     own.forget()

@@ -10,7 +10,7 @@ import sentencepiece
 from docloom.llm import fertility
 from docloom.llm.suite import QUERIES
 from docloom.llm.texts import chunks
-from tests.llm.conftest import ODD
+from tests.llm.conftest import ODD, thue_morse
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -73,6 +73,15 @@ def test_measures_equal_the_tokenizers_own():
         assert abs(found["entropy"][i] - entropy) < 1e-9
 
 
+def test_lines_and_words_of_much_structure():
+    for size in (512, 1024, 2048, 4096):
+        a, b = thue_morse(size)
+        (chunk,) = chunks(pa.array([f"{a}\n{b}\n{a}", f"x {a} y x {b} y"]))
+        found = fertility.base_counts(chunk)
+        assert found["n_dup_lines"].tolist() == [1, 0]
+        assert found["n_repeat_words"].tolist() == [0, 0]
+
+
 def test_scripts():
     (chunk,) = chunks(pa.array(["abc é", "привет a", "漢字仮", "123 !", ""]))
     assert fertility.scripts(chunk) == ["latin", "cyrillic", "han", "other", "other"]

@@ -4,7 +4,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import manifest
+from docloom.llm import joins, manifest
 from docloom.llm.suite import QUERIES
 
 
@@ -85,7 +85,7 @@ def test_one_source(spark, count):
 
 def test_repeated_rows_are_numbered_in_pieces(spark, monkeypatch):
     """A third of all rows are one row; equal subtrees are one record."""
-    monkeypatch.setattr(manifest, "COPIES", 7)
+    monkeypatch.setattr(joins, "COPIES", 7)
     rows = [(1, "s", "en", 1, "a\nb")] * 100 + [(i, "s" if i % 2 else None, "en", 1, "c") for i in range(2, 60)]
     df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
     assert run(df) == brute(rows)

@@ -9,7 +9,7 @@ from docloom.llm import minmax
 from docloom.llm.components import components
 from docloom.llm.suite import QUERIES
 from docloom.llm.texts import shingle_sets
-from tests.llm.conftest import ODD
+from tests.llm.conftest import ODD, thue_morse
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -67,7 +67,28 @@ def test_odd_rows(spark, clashing, none):
     assert minmax.near_duplicates(none).collect() == []
     kept = minmax.deduplicated(clashing)
     assert kept.columns == clashing.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 1, 3, 4, 5, 6, 7, 9]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 9]
+    assert sum(r.doc_id is None for r in kept.collect()) == 2
+
+
+def test_copies_without_an_id_of_their_own(spark):
+    """Rows that repeat an id or have none: one of each group stays, and clashing names do no harm."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, text, "a"), (7, text, "b"), (8, text + " end", "c"), (None, text, "d"), (None, text.upper(), "e")]
+    rows += [(None, "", "f"), (None, None, "g"), (None, "other words", "h"), (9, "alone here", "i"), (9, "zwei", "j")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    kept = [tuple(r) for r in minmax.deduplicated(df).collect()]
+    assert sorted(r[0] for r in kept if r[0] is not None) == [7, 9]
+    assert (9, "alone here", "i") in kept
+    assert sorted(r[2] for r in kept if r[0] is None and r[2] not in "de") == ["f", "g", "h"]
+    assert sum(r[2] in "de" for r in kept) == 1
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 4096])
+def test_words_of_much_structure_do_not_link(spark, size):
+    rows = [(i, word) for i, word in enumerate(thue_morse(size))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.component_id for r in minmax.near_duplicates(df).orderBy("doc_id").collect()] == [0, 1]
 
 
 @pytest.mark.parametrize("block", [4, 512])

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from docloom.llm import mixing
+from docloom.llm import joins, mixing
 from docloom.llm.suite import QUERIES
 from tests.llm.conftest import ODD
 
@@ -66,6 +66,22 @@ def test_odd_rows(spark, clashing, none):
     assert all(r.text and r.text.strip() for r in copies.collect())
 
 
+def test_rows_that_repeat_are_one_group(spark, monkeypatch):
+    """Equal rows, and null ids of one text, meet their budgets without one task that holds them all."""
+    monkeypatch.setattr(joins, "COPIES", 50)
+    docs = [(1, "w w w", "a")] * 400 + [(None, "v v", "b")] * 300 + [(i, "u", "abc"[i % 3]) for i in range(2, 90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    found = [tuple(r) for r in mixing.mixed(df).select("doc_id", "size", "source_size", "target", "taken").collect()]
+    assert len(found) == len(docs)
+    check(found, docs)
+    got, sizes = collections.Counter(), collections.Counter()
+    for r in mixing.mixture(df).collect():
+        got[r.source] += words(r.text)
+    for _, text, source in docs:
+        sizes[source] += words(text)
+    assert set(got) == {"a", "b", "c"} and all(got[s] <= 3 * sizes[s] for s in got)
+
+
 def test_whole_rows_come_near_the_budget(spark):
     docs = [(i, "w " * (1 + i % 7), "ab"[i % 10 == 0]) for i in range(300)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
