@@ -4,13 +4,13 @@ A passage is a string of ``LENGTH`` bytes that starts at two places. Of all suff
 anchors are kept: in every passage the string of ``GRAM`` bytes with the smallest hash, the
 leftmost of equals. Two copies of a passage choose the same anchor at the same distance, so every
 copy is seen, with one suffix for some 70 bytes of text. The passages of one anchor lie one behind
-the other; together they are its context. An array holds, ordered by the fingerprint of the anchor's
-string and then by that of the context, how often a context occurs and where it does once.
+the other; together they are its context. An array holds the anchors' strings in the order of
+their fingerprints, with the number of suffixes that begin with each.
 
-Texts come in batches. A batch gets its array, is merge-scanned against the arrays of all levels, and
-becomes the lowest level; two levels of one size merge into one of twice the size, so there are as many
-levels as the number of batches has binary digits. A scan finds the anchors that a batch shares with a
-level or with itself:
+Texts come in batches. One shuffle gives a batch its array, merge-scans it against the arrays of all
+levels, and merges it with those of its size: two levels of one size make one of twice the size, so
+there are as many levels as the number of batches has binary digits. A scan finds the anchors that a
+batch shares with a level or with itself. The suffixes of these, and no others, are then compared:
 
 * A context that occurs twice consists of repeated passages only, wherever it occurs.
 * Where contexts of one anchor differ, their bytes are compared. The bytes behind the anchor and those
@@ -28,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.joins import spread_join
 from docloom.llm.texts import chunks
-from docloom.workspace import fresh_path, stage
+from docloom.workspace import delete_path, fresh_path, stage
 
 #: Bytes of a passage.
 LENGTH = 200
@@ -142,58 +142,62 @@ def entries(texts: DataFrame) -> DataFrame:
     return texts.select("row", "text").mapInArrow(run, _ENTRY)
 
 
-def _array(rows: DataFrame) -> DataFrame:
-    """One row for every context, with its number and one place; each partition is in order."""
-    return (
-        rows.groupBy("key", *_CONTEXT)
-        .agg(F.sum("n").alias("n"), F.min("spot").alias("spot"))
-        .sortWithinPartitions("key", *_CONTEXT)
-    )
-
-
 class Family:
     """Arrays of all texts added so far, in levels of doubling size."""
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[int, DataFrame]] = []
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.levels: list[tuple[int, str]] = []
         self.entries: list[DataFrame] = []
         self.matches: list[DataFrame] = []
 
+    def _level(self, path: str, merged: str) -> DataFrame:
+        rows = self.spark.read.parquet(path)
+        return rows.select("key", F.col("n").alias("places"), F.lit(0).cast("long").alias("own"), F.expr(merged).alias("n"))
+
     def add(self, texts: DataFrame) -> DataFrame:
-        """Take in a batch (row, text); returns the contexts of anchors that it shares, with counts.
+        """Take in a batch (row, text); returns the anchors (key, weight) that it shares, with their number.
 
         Rows must differ from those of all other batches.
         """
         own = stage(entries(texts), "entries")
         self.entries.append(own)
-        array = stage(_array(own.withColumn("spot", F.struct("row", "start", "stop", "at"))), "array")
-        self.matches.append(stage(self._scanned(array), "matches"))
-        size = 1
+        both = own.select("key", F.col("n").alias("places"), F.col("n").alias("own"), "n")
+        size, joined = 1, []
         while self.levels and self.levels[-1][0] == size:
-            size, array = 2 * size, stage(_array(self.levels.pop()[1].union(array)), "array")
-        self.levels.append((size, array))
+            size, path = 2 * size, self.levels.pop()[1]
+            joined.append(path)
+            both = both.union(self._level(path, "n"))
+        for _, path in self.levels:
+            both = both.union(self._level(path, "bigint(0)"))
+        path = fresh_path(self.spark, "level")
+        # what only larger levels hold stays there
+        scan = both.groupBy("key").agg(*(F.sum(name).alias(name) for name in ("places", "own", "n"))).filter("n > 0")
+        scan.sortWithinPartitions("key").write.parquet(path)
+        self.levels.append((size, path))
+        shared_ones = self.spark.read.parquet(path).filter("own > 0 AND places > 1")
+        self.matches.append(stage(shared_ones.select("key", F.col("places").alias("weight")), "matches"))
+        for old in joined:
+            delete_path(self.spark, old)
         return self.matches[-1]
 
-    def _scanned(self, array: DataFrame) -> DataFrame:
-        """Contexts of ``array`` and of the levels whose anchor occurs in ``array`` and once more anywhere."""
-        both = array.withColumn("fresh", F.lit(1))
-        for _, level in self.levels:
-            both = both.union(level.withColumn("fresh", F.lit(0)))
-        keys = stage(
-            both.groupBy("key")
-            .agg(F.max("fresh").alias("fresh"), F.sum("n").alias("places"), F.count(F.lit(1)).alias("weight"))
-            .filter("fresh = 1 AND places > 1")
-            .select("key", "weight"),
-            "keys",
-        )
-        return _array(spread_join(both.drop("fresh"), keys, ["key"], "weight").select("key", *_CONTEXT, "n", "spot"))
-
     def found(self) -> DataFrame:
-        """(key, c1, c2, n, spot) of every context that a scan found."""
-        rows = self.matches[0]
-        for more in self.matches[1:]:
-            rows = rows.union(more)
-        return rows.groupBy("key", *_CONTEXT).agg(F.max("n").alias("n"), F.min("spot").alias("spot"))
+        """The entries of all anchors that a scan found."""
+        keys = _union(self.matches).groupBy("key").agg(F.max("weight").alias("weight"))
+        return spread_join(_union(self.entries), stage(keys, "keys"), ["key"], "weight").drop("weight")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.union(more)
+    return rows
+
+
+def contexts_of(found: DataFrame) -> DataFrame:
+    """(key, c1, c2, n) of every context, with one of its places."""
+    place = [F.first(name).alias(name) for name in ("row", "start", "stop", "at")]
+    return found.groupBy("key", *_CONTEXT).agg(F.sum("n").alias("n"), *place)
 
 
 def shared(group: np.ndarray, at: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -273,11 +277,9 @@ def compared(texts: DataFrame, found: DataFrame) -> DataFrame:
     """(c1, c2, low, high): the repeated part of contexts that share an anchor with different ones only."""
     counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("weight"), F.min("n").alias("least"))
     mixed = stage(counts.filter("weight > 1 AND least = 1").select("key", "weight"), "mixed")
-    wanted = spread_join(found, mixed, ["key"], "weight").select("key", *_CONTEXT, "n", "spot", "weight")
-    places = wanted.groupBy(F.col("spot.row").alias("row")).agg(
-        F.collect_list(
-            F.struct("key", *_CONTEXT, "n", "weight", *(F.col(f"spot.{name}").alias(name) for name in ("at", "start", "stop")))
-        ).alias("places")
+    wanted = spread_join(found, mixed, ["key"], "weight")
+    places = wanted.groupBy("row").agg(
+        F.collect_list(F.struct("key", *_CONTEXT, "n", "weight", "at", "start", "stop")).alias("places")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,38 +317,18 @@ def compared(texts: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def text_digest() -> Column:
-    return F.sha2(F.coalesce("text", F.lit("")), 256)
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """digest, copies, n_removed, n_spans, kept_sha256 and spans of every text of which something repeats.
-
-    A text that occurs twice is repeated as a whole. ``spans`` are the maximal runs of repeated bytes.
-    """
-    long_ones = docs.filter(F.octet_length("text") >= LENGTH).select(text_digest().alias("digest"), "text")
-    distinct = (
-        long_ones.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
-        .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("batch", F.pmod(F.xxhash64("digest"), F.lit(BATCHES)).cast("int"))
-    )
-    path = fresh_path(docs.sparkSession, "texts")
-    distinct.write.partitionBy("batch").parquet(path)
-    texts = docs.sparkSession.read.schema(distinct.schema).parquet(path)
-    family = Family()
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """(row, spans) of every text of (row, text, batch) of which something repeats; spans may overlap."""
+    family = Family(texts.sparkSession)
     for number in range(BATCHES):
         family.add(texts.filter(F.col("batch") == number))
     found = stage(family.found(), "found")
-    whole = found.filter("n > 1").select(*_CONTEXT, F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), "n")
-    parts = compared(texts, found).withColumn("n", F.lit(1).cast("long"))
+    contexts = stage(contexts_of(found), "contexts")
+    whole = contexts.filter("n > 1").select(*_CONTEXT, F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), "n")
+    parts = compared(texts, contexts).withColumn("n", F.lit(1).cast("long"))
     cuts = stage(whole.union(parts), "cuts")
-    own = family.entries[0]
-    for more in family.entries[1:]:
-        own = own.union(more)
-    own = own.select("row", "start", "stop", *_CONTEXT)
-    spans = (
-        spread_join(own, cuts, _CONTEXT, "n")
+    return (
+        spread_join(found.select("row", "start", "stop", *_CONTEXT), cuts, _CONTEXT, "n")
         .select(
             "row",
             (F.col("start") + F.col("low")).alias("start"),
@@ -356,58 +338,60 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "copies", "n_removed", "n_spans", "kept_sha256", "spans"]
-        for batch in batches:
-            for one in range(batch.num_rows):
-                digest, text, here = batch.column(0)[one].as_py(), batch.column(1)[one].as_py().encode(), batch.column(2)[one].values
+
+_NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, spans) with the maximal runs of repeated bytes and what is left without them."""
+    for batch in batches:
+        rows, starts, stops = [], [], []
+        for one in range(batch.num_rows):
+            text, here = batch.column(1)[one].as_py().encode(), batch.column(2)[one].values
+            start = stop = np.zeros(0, np.int32)
+            if here is not None:
                 start, stop = here.field("start").to_numpy(), here.field("stop").to_numpy()
                 reach = np.maximum.accumulate(stop)
                 head = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
                 start, stop = start[head], reach[np.append(head[1:], len(stop)) - 1]
-                kept = hashlib.sha256()
-                for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(text)]):
-                    kept.update(text[a:b])
-                runs = pa.StructArray.from_arrays([pa.array(start), pa.array(stop)], ["start", "stop"])
-                row = [[digest], [1], [int((stop - start).sum())], [len(start)], [kept.hexdigest()]]
-                columns = [pa.array(x) for x in row] + [pa.ListArray.from_arrays([0, len(start)], runs)]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    once = texts.filter("copies = 1").join(spans, "row").select("digest", "text", "spans")
-    columns = "digest string, copies long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
-    size = F.octet_length("text")
-    twice = texts.filter("copies > 1").select(
-        "digest",
-        "copies",
-        size.cast("long").alias("n_removed"),
-        F.lit(1).cast("long").alias("n_spans"),
-        F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"),
-        F.array(F.struct(F.lit(0).alias("start"), size.alias("stop"))).alias("spans"),
-    )
-    return once.mapInArrow(cut, columns).union(twice)
+            kept = hashlib.sha256()
+            for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(text)]):
+                kept.update(text[a:b])
+            rows.append((len(text), int((stop - start).sum()), len(start), kept.hexdigest()))
+            starts.append(start)
+            stops.append(stop)
+        if rows:
+            runs = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in (starts, stops)], ["start", "stop"])
+            spans = pa.ListArray.from_arrays(np.cumsum([0, *map(len, starts)]).astype(np.int32), runs)
+            columns = [batch.column(0), *(pa.array(x) for x in zip(*rows)), spans]
+            yield pa.RecordBatch.from_arrays(columns, _NAMES)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans for every row of ``docs``.
 
     A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else, in the
-    same text or another. Null texts are empty, and texts of fewer bytes lose nothing. Rows that
-    repeat count as other places, whatever their doc_id, which may be null. A text of any length is
-    worked on in slices. Other columns are ignored; an empty table gives an empty result.
+    same text or another. ``spans`` are the maximal runs of removed bytes. Null texts are empty, and texts of
+    fewer bytes lose nothing. Rows that repeat count as other places, whatever their doc_id, which
+    may be null. A text of any length is worked on in slices. Other columns are ignored; an empty
+    table gives an empty result.
     """
-    found = stage(repeated_spans(docs), "repeats")
-    rows = docs.select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), text_digest().alias("digest")
-    )
-    # shorter texts have no entry, however many there are
-    joined = spread_join(rows.filter(F.col("n_bytes") >= LENGTH), found, ["digest"], "copies", "left")
-    short = rows.filter(F.col("n_bytes") < LENGTH).join(found.limit(0), "digest", "left")
+    spark, size = docs.sparkSession, F.octet_length("text")
+    path = fresh_path(spark, "texts")
+    numbered = docs.filter(size >= LENGTH).select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = numbered.withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(BATCHES)).cast("int"))
+    numbered.write.partitionBy("batch").parquet(path)
+    texts = spark.read.schema(numbered.schema).parquet(path)
+    spans = repeated_spans(texts.select("row", "text", "batch"))
+    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
+    long_ones = texts.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(_kept, columns)
     none = F.lit(0).cast("long")
-    return joined.union(short.select(*joined.columns)).select(
-        "doc_id",
-        "n_bytes",
-        F.coalesce("n_removed", none).alias("n_removed"),
-        F.coalesce("n_spans", none).alias("n_spans"),
-        F.coalesce("kept_sha256", "digest").alias("kept_sha256"),
-        F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"),
+    short = docs.filter(F.coalesce(size, F.lit(0)) < LENGTH).select(
+        F.col("doc_id").cast("long"),
+        F.coalesce(size, F.lit(0)).cast("long").alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+        F.array().cast("array<struct<start:int,stop:int>>").alias("spans"),
     )
+    return long_ones.union(short)

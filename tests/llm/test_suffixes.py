@@ -95,7 +95,7 @@ def test_contexts_of_one_line(spark):
 
 def test_levels_double(spark):
     """Levels are the binary digits of the number of batches, and each batch is scanned against all of them."""
-    family = suffixes.Family()
+    family = suffixes.Family(spark)
     rng = random.Random(4)
     common = "".join(rng.choice("uvwxyz") for _ in range(260))
     for number in range(6):
