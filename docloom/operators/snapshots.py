@@ -1,19 +1,30 @@
 """Small metadata tables kept as numbered, immutable snapshots.
 
 A snapshot counts once its success marker exists, so a reader never sees half a write
-and a job that dies leaves the previous snapshot in force.
+and a job that dies leaves the previous snapshot in force.  A writer claims the next number with a file
+that only one can create, so every snapshot is made from the one before it and no
+writer overwrites what another has published.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from docloom import workspace
 
+#: Seconds after which a claimed number without a snapshot counts as that of a dead writer.
+CLAIM_AGE = 900.0
+#: Seconds between two looks at a number that another writer has claimed.
+POLL = 0.2
+
+#: Local file systems check and create a file in two steps.
+_claiming = threading.Lock()
+
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
@@ -46,40 +57,58 @@ class SnapshotTable:
         return self.spark.read.schema(self.schema).parquet(self.version_path(version))
 
     def write(self, df: DataFrame) -> int:
-        """Publish the next snapshot.  Two writers that race meet an existing folder.
-
-        The rows are spread by their size, so a small snapshot is one file.
-        """
-        version = self._next_version()
-        columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
-        shaped = df.select(*columns).hint("rebalance")
-        shaped.write.mode("errorifexists").parquet(self.version_path(version))
-        return version
+        """Publish the next snapshot, whatever the one before holds."""
+        return self.change(lambda _now, _number: df)
 
-    def change(self, make: Callable[[DataFrame], DataFrame], tries: int = 5) -> int:
-        """Publish ``make`` of the newest snapshot, made again if another one was published meanwhile.
+    def change(self, make: Callable[[DataFrame, int], DataFrame]) -> int:
+        """Publish ``make(newest snapshot, number of the new one)``; returns the number.
 
-        The next number is taken by the first writer; so nothing that others wrote is lost.
+        Nobody publishes between the reading and the writing.  An error in ``make`` or the write leaves
+        the newest snapshot in force and gives the number up.
         """
-        for left in reversed(range(tries)):
+        base, number = self._claimed()
+        try:
+            df = make(self.read(base), number)
+            columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
+            # The rows are spread by their size, so a small snapshot is one file.
+            df.select(*columns).hint("rebalance").write.mode("errorifexists").parquet(self.version_path(number))
+        finally:
+            workspace.delete_path(self.spark, self._claim_path(number))
+        if self.latest() != number:
+            raise RuntimeError(f"{self.path}: snapshot {number} came after others took its writer for dead")
+        return number
+
+    def _claim_path(self, number: int) -> str:
+        return f"{self.path}/claim={number:010d}"
+
+    def _claimed(self) -> tuple[int, int]:
+        """The newest number and the next one, which is ours alone from now on."""
+        while True:
             base = self.latest()
-            try:
-                folder = self.version_path(base + 1)
-                if self._next_version() != base + 1:
-                    raise AnalysisException(f"{folder} is being written")
-                df = make(self.read(base))
-                columns = [df[field.name].cast(field.dataType) for field in self.schema.fields]
-                df.select(*columns).hint("rebalance").write.mode("errorifexists").parquet(folder)
-                return base + 1
-            except AnalysisException:
-                if not left:
-                    raise
-        raise ValueError("no try is allowed")
-
-    def _next_version(self) -> int:
-        """One past every folder there is, so a write that died is never reused."""
+            claims = workspace.child_names(self.spark, f"{self.path}/claim=*")
+            open_ = {int(claim.split("/claim=")[-1]): claim for claim in claims}
+            alive = [n for n, claim in open_.items() if n > base and self._is_young(claim)]
+            if alive:
+                time.sleep(POLL)
+                continue
+            number = self._next_version(max(open_, default=0))
+            with _claiming:
+                fs, target = workspace.file_system(self.spark, self._claim_path(number))
+                ours = fs.createNewFile(target)
+            # a writer that was faster has published meanwhile
+            if ours and self.latest() == base:
+                return base, number
+            if ours:
+                workspace.delete_path(self.spark, self._claim_path(number))
+
+    def _is_young(self, claim: str) -> bool:
+        fs, target = workspace.file_system(self.spark, claim)
+        return fs.exists(target) and time.time() - fs.getFileStatus(target).getModificationTime() / 1000.0 < CLAIM_AGE
+
+    def _next_version(self, claimed: int = 0) -> int:
+        """One past every folder and claim there is, so a write that died is never reused."""
         folders = workspace.child_names(self.spark, f"{self.path}/v=*")
-        return max((int(folder.split("/v=")[-1]) for folder in folders), default=0) + 1
+        return max([claimed, *(int(folder.split("/v=")[-1]) for folder in folders)]) + 1
 
     def prune(self, keep: int = 1) -> None:
         """Remove all but the newest snapshots."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,48 +149,72 @@ class RunState:
 
     def update(self, updates: DataFrame) -> int:
         """Replace the records of the same (tenant, type)."""
-        return self.table.write(upserted(self.read(), updates.select(*STATE_SCHEMA.names)))
+        return self._change(lambda _now: updates.select(*STATE_SCHEMA.names))
+
+    def _change(self, make: Callable[[DataFrame], DataFrame]) -> int:
+        """Replace records by what ``make`` gives for the newest state; nobody writes in between."""
+        return self.table.change(lambda now, _number: upserted(now, make(now)))
+
+    def take(self, pairs: DataFrame, mode: str, run_ts: int, since: int | None = None) -> set[tuple[str, str]]:
+        """Mark those (tenant, document_type, appid) rows as running that no other run is working on.
+
+        Returns their (tenant, document_type): the pairs of a configuration, a few for each tenant.
+        """
+        taken: set[tuple[str, str]] = set()
+
+        def make(now: DataFrame) -> DataFrame:
+            free = not_running(pairs, now, since)
+            taken.update((row.tenant, row.document_type) for row in free.select(*STATE_KEY).collect())
+            return _changed(now, free, mode, model.RUNNING, started=run_ts)
+
+        self._change(make)
+        return taken
 
     def start(self, pairs: DataFrame, mode: str, run_ts: int) -> None:
         """Mark (tenant, document_type, appid) rows as running; the mark stays as it was."""
-        self.update(self._changed(pairs, mode, model.RUNNING, started=run_ts))
+        self._change(lambda now: _changed(now, pairs, mode, model.RUNNING, started=run_ts))
 
     def finish(self, pairs: DataFrame, mode: str, run_ts: int) -> None:
         """Mark as completed, indexed up to the time taken before the read."""
-        self.update(self._changed(pairs, mode, model.COMPLETED, started=run_ts, mark=run_ts))
+        self._change(lambda now: _changed(now, pairs, mode, model.COMPLETED, started=run_ts, mark=run_ts))
 
     def touched(self, pairs: DataFrame, mode: str, status: str, run_ts: int) -> None:
         """Status and mode of a run that leaves the mark as it was."""
-        self.update(self._changed(pairs, mode, status, started=run_ts))
+        self._change(lambda now: _changed(now, pairs, mode, status, started=run_ts))
 
     def fail(self, pairs: DataFrame, mode: str) -> None:
         """Mark as failed; the next run starts from the old mark."""
-        self.update(self._changed(pairs, mode, model.FAILED))
+        self._change(lambda now: _changed(now, pairs, mode, model.FAILED))
 
     def deleted(self, pairs: DataFrame) -> None:
         """Mark as deleted: the next incremental run starts from the beginning."""
-        self.update(self._changed(pairs, None, model.DELETED))
-
-    def _changed(
-        self, pairs: DataFrame, mode: str | None, status: str, started: int | None = None, mark: int | None = None
-    ) -> DataFrame:
-        old = self.read().select(
-            *STATE_KEY,
-            F.col("appid").alias("_appid"),
-            F.col("execution_started_at").alias("_started"),
-            F.col("last_indexed_at").alias("_mark"),
-            F.col("last_index_type").alias("_mode"),
-        )
-        app = F.col("appid") if "appid" in pairs.columns else F.lit(None).cast("string")
-        changed = pairs.select(*STATE_KEY, app.alias("appid")).join(old, STATE_KEY, "left")
-        return changed.select(
-            "tenant",
-            F.coalesce("appid", "_appid").alias("appid"),
-            "document_type",
-            (F.col("_started") if started is None else F.lit(started).cast("bigint")).alias(
-                "execution_started_at"
-            ),
-            (F.col("_mark") if mark is None else F.lit(mark).cast("bigint")).alias("last_indexed_at"),
-            (F.col("_mode") if mode is None else F.lit(mode)).alias("last_index_type"),
-            F.lit(status).alias("status"),
-        )
+        self._change(lambda now: _changed(now, pairs, None, model.DELETED))
+
+
+def _changed(
+    state: DataFrame,
+    pairs: DataFrame,
+    mode: str | None,
+    status: str,
+    started: int | None = None,
+    mark: int | None = None,
+) -> DataFrame:
+    """Records of ``pairs`` with a new status; what is not given stays as ``state`` has it."""
+    old = state.select(
+        *STATE_KEY,
+        F.col("appid").alias("_appid"),
+        F.col("execution_started_at").alias("_started"),
+        F.col("last_indexed_at").alias("_mark"),
+        F.col("last_index_type").alias("_mode"),
+    )
+    app = F.col("appid") if "appid" in pairs.columns else F.lit(None).cast("string")
+    changed = pairs.select(*STATE_KEY, app.alias("appid")).join(old, STATE_KEY, "left")
+    return changed.select(
+        "tenant",
+        F.coalesce("appid", "_appid").alias("appid"),
+        "document_type",
+        (F.col("_started") if started is None else F.lit(started).cast("bigint")).alias("execution_started_at"),
+        (F.col("_mark") if mark is None else F.lit(mark).cast("bigint")).alias("last_indexed_at"),
+        (F.col("_mode") if mode is None else F.lit(mode)).alias("last_index_type"),
+        F.lit(status).alias("status"),
+    )

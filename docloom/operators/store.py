@@ -3,23 +3,27 @@
 Layout below the table's folder::
 
     data/version=<commit>/tenant=<t>/part=<commit>_<bucket>_<tenant hash>/*.parquet
-    manifest/v=<n>/                      the part that holds each (tenant, bucket)
+    manifest/v=<n>/                      the parts that hold each (tenant, bucket)
     quarantine/                          rows without a usable id
+    reports/version=<commit>/            what a commit did for each tenant
 
-A commit writes only the buckets it touches into a new ``version`` folder and then
-publishes a manifest that points at them.  A few parts are read by their names, so that
-a small merge does not list a large table.  Otherwise reading is a join of the data with
-the manifest on the partition columns; the name of a part is unique, so dynamic
-partition pruning reads exactly the live folders.  Removing a tenant only edits the
-manifest.
+A commit writes into a new ``version`` folder and then publishes a manifest that points at it.  A few
+parts are read by their names, so that a small commit does not list a large table.  Otherwise reading
+is a join of the data with the manifest on the partition columns; the name of a part is unique, so
+dynamic partition pruning reads exactly the live folders.  Removing a tenant only edits the manifest.
 
-A tenant gets as many buckets as its row count calls for, so one that holds a third of
-all rows is spread over as many tasks as that takes, and a small one stays in one file.
+A tenant gets as many buckets as its rows, or the bytes of its documents, call for, so one that
+holds a third of all rows is spread over as many tasks as that takes, and a small one stays in one file.
 
-A few change events spread over a large table would rewrite most of its buckets.  They
-are appended as delta parts instead (one per tenant and commit) and laid over the base
-when it is read, without shuffling the base.  The next merge, or deltas that have grown
-to a share of the table, folds them in.
+Buckets form up to ``GROUPS`` groups per tenant.  Rows of a commit are appended to their group as a
+delta part, and laid over the base when it is read, without shuffling the base.  Once the deltas of a group
+have grown to a share of its base, or to many parts, the commit that brings the last of them folds this group
+and no other.  Deltas of runs and of events are told apart, as a run's row beats what came before
+it, and a later event counts only if it is newer than every event before.
+
+A commit is made from one manifest and published on the newest one.  If others have published
+meanwhile, only its own entries are changed; if they have replaced a part that it replaces too,
+it merges again.
 """
 
 from __future__ import annotations
@@ -35,24 +39,33 @@ from pyspark.sql import types as T
 from docloom import workspace
 from docloom.operators.snapshots import SnapshotTable
 
-#: Rows a bucket is sized for.
+#: Rows, and bytes of JSON, that a bucket is sized for.
 TARGET_BUCKET_ROWS = 500_000
+TARGET_BUCKET_BYTES = 512 * 1024 * 1024
+#: Bytes of JSON that a file is sized for, where documents are large.
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 #: Buckets are unions of these hash slices; a power of two, also the most buckets a tenant can have.
 SLICES = 65_536
+#: Most groups of buckets of a tenant, a power of two; each has deltas of its own.
+GROUPS = 64
 #: Up to this many tenants the layout of a commit is kept in the plan instead of a file.
 FEW_TENANTS = 1_000
 #: Deltas are folded into the base once they hold more than one row per this many base rows.
 DELTA_SHARE = 20
-#: Delta parts are first joined into one delta when there are this many.
-DELTA_PARTS = 64
+#: Delta parts of a group are folded when there would be more than this many.
+DELTA_PARTS = 32
 #: Up to this many parts are read by name; more are found by joining with the manifest.
 NAMED_PARTS = 1_000
-#: Bucket number of delta parts in the manifest.
-DELTA = -1
 #: Seconds for which a part that no manifest names may belong to a commit under way.
 VACUUM_AGE = 24 * 3600.0
 #: A tenant is spread anew once its buckets hold this many times the target.
 GROWTH_FACTOR = 4
+#: How often a commit merges again because others have replaced what it read.
+TRIES = 10
+
+#: Ages of rows in a merge: the base is older than all deltas, what arrives is newer.
+BASE_AGE = 0
+ARRIVING_AGE = 1 << 62
 
 COMMON_COLUMNS = ("tenant", "document_type", "doc_id", "parent_key", "source")
 
@@ -62,68 +75,77 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("part", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("delta", T.BooleanType()),
         T.StructField("rows", T.LongType()),
         T.StructField("tombstones", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("digest", T.DecimalType(38, 0)),
+        T.StructField("seq", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch", T.LongType()),
     ]
 )
 
 
+class Conflict(Exception):
+    """Another commit has replaced a part that this one replaces."""
+
+
 @dataclass(frozen=True)
 class CommitReport:
-    """What one commit did: its version and the rows it wrote and set aside.
+    """What one commit did: its version, the rows it took in and set aside, and the seconds it took.
 
-    ``report`` is the folder of a table (tenant, records, failures) of all tenants, beside the manifest;
-    ``by_tenant`` has the same rows where there are up to ``FEW_TENANTS`` of them.
+    ``report`` is the folder of a table (tenant, records, failures) of all tenants; ``parts_written``
+    counts base parts, delta parts not among them.  A batch of a stream that was committed before is
+    ``replayed`` and changes nothing.
     """
 
     version: str
     rows_in: int
     rows_quarantined: int
     manifest_version: int
-    by_tenant: tuple[Row, ...] = ()
+    seconds: float = 0.0
     report: str | None = None
+    replayed: bool = False
+    parts_written: int = 0
 
 
 @dataclass(frozen=True)
 class CommitPlan:
-    """Sizes of a commit: rows per hash slice, buckets per tenant, and their totals."""
+    """Sizes of a commit: rows per hash slice, layout per tenant, groups to fold, and totals.
+
+    ``layout`` has (tenant, buckets, groups, respread); ``due`` has (tenant, group, due) for every
+    group that rows arrive in or that must be folded.
+    """
 
     slices: DataFrame
     layout: DataFrame
+    due: DataFrame
     tenants: int
+    groups: int
     parts: int
     rows: int
     rows_bad: int
+    bytes: int
     hot_slices: int
-    by_tenant: tuple[Row, ...] = ()
-    report: str | None = None
 
 
 def slice_of(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(SLICES)).cast("int")
 
 
-def part_of(version: str, tenant: Column, doc_id: Column, buckets: Column) -> Column:
-    """Name of the part a row of this commit belongs to."""
-    bucket = F.pmod(slice_of(doc_id), buckets)
-    return F.concat_ws("_", F.lit(version), bucket.cast("string"), F.hex(F.xxhash64(tenant)))
+def row_digest() -> Column:
+    """Digest of what a document says."""
+    return F.xxhash64("doc_id", "parent_key", "source")
 
 
-def newest_wins(age: Column) -> list[Column]:
-    """Which of several rows with one id stays.
+def digest_sum(digest: Column) -> Column:
+    """Sum of digests, whatever their order."""
+    return F.sum(digest.cast("decimal(38,0)")).cast("decimal(38,0)")
 
-    A row read from the source by a run beats everything.  Otherwise the later event
-    wins, then the later sequence number, then a delete, then the row that came last
-    (base 0, delta 1, incoming 2).  The text only makes the choice repeatable.
-    """
-    return [
-        F.col("from_run").desc(),
-        F.col("changed_at").desc_nulls_last(),
-        F.col("changed_seq").desc_nulls_last(),
-        F.col("deleted").desc(),
-        age.desc(),
-        F.col("source").desc_nulls_last(),
-    ]
+
+def width() -> Column:
+    return F.coalesce(F.octet_length("source"), F.lit(0))
 
 
 class DocumentTable:
@@ -136,14 +158,14 @@ class DocumentTable:
         document_type: str,
         fields: T.StructType,
         target_rows: int = TARGET_BUCKET_ROWS,
-        max_records_per_file: int = 0,
+        target_bytes: int = TARGET_BUCKET_BYTES,
     ):
         self.spark = spark
         self.document_type = document_type
         self.path = f"{root.rstrip('/')}/{document_type}"
         self.fields = fields
         self.target_rows = target_rows
-        self.max_records_per_file = max_records_per_file
+        self.target_bytes = target_bytes
         self.snapshots = SnapshotTable(spark, f"{self.path}/manifest", MANIFEST_SCHEMA)
         self.row_schema = T.StructType(
             [
@@ -159,6 +181,9 @@ class DocumentTable:
         self._stored_schema = T.StructType(
             self.row_schema.fields
             + [
+                T.StructField("from_run", T.BooleanType()),
+                T.StructField("width", T.IntegerType()),
+                T.StructField("digest", T.LongType()),
                 T.StructField("version", T.StringType()),
                 T.StructField("tenant", T.StringType()),
                 T.StructField("part", T.StringType()),
@@ -182,7 +207,12 @@ class DocumentTable:
         return workspace.delete_path(self.spark, self.path)
 
     def manifest(self) -> DataFrame:
-        return self.snapshots.read()
+        """Entries of the parts in force."""
+        return self._entries(self.snapshots.read())
+
+    @staticmethod
+    def _entries(snapshot: DataFrame) -> DataFrame:
+        return snapshot.where("part IS NOT NULL")
 
     def _manifest_is_small(self) -> bool:
         path = self.snapshots.current_path()
@@ -213,45 +243,70 @@ class DocumentTable:
 
     def rows(self) -> DataFrame:
         """Every current row, tombstones included."""
-        manifest = self.manifest()
+        return self._rows(self.manifest())
+
+    def _rows(self, manifest: DataFrame) -> DataFrame:
         base = self._scan(base_entries(manifest))
-        pending = manifest_sizes(manifest).delta_rows
-        return base if pending == 0 else self._overlay(base, self._deltas(manifest), pending)
+        pending = delta_rows(manifest)
+        columns = ["tenant", *self.row_schema.names]
+        return base.select(*columns) if pending == 0 else self._overlay(base, self._latest(manifest), pending)
 
-    def _deltas(self, manifest: DataFrame) -> DataFrame:
-        """The latest delta row per id."""
-        newest = Window.partitionBy("tenant", "doc_id").orderBy(*newest_wins(F.lit(1)))
+    def _aged_scan(self, entries: DataFrame) -> DataFrame:
+        """Stored rows with the age of their part: commits in order, the base before all."""
+        ages = entries.select("part", F.when(F.col("delta"), F.col("seq")).otherwise(BASE_AGE).cast("bigint").alias("_age"))
+        rows = self._scan(entries).select("tenant", "part", *self.row_schema.names, "from_run")
+        return rows.join(workspace.broadcast_if_small(ages), "part").drop("part").transform(self._marked)
+
+    def _latest(self, manifest: DataFrame) -> DataFrame:
+        """Per id of the deltas: the last row of a run, and the event that wins after it.
+
+        ``_run`` and ``_event`` are rows or null; ``_high`` is the highest event mark up to that run.
+        """
+        columns = self.row_schema.names
+        rows = self._aged_scan(delta_entries(manifest))
+        last = rows.groupBy("tenant", "doc_id").agg(F.max(F.when(F.col("from_run"), F.col("_age"))).alias("_run_age"))
+        row = F.struct(*columns)
+        before = F.col("_run_age").isNotNull() & (F.col("_age") <= F.col("_run_age"))
+        is_run = F.col("from_run") & (F.col("_age") == F.col("_run_age"))
+        order = F.struct("changed_at", "changed_seq", "deleted", "_age", "source")
         return (
-            self._scan(delta_entries(manifest))
-            .withColumn("from_run", F.lit(False))
-            .withColumn("_rank", F.row_number().over(newest))
-            .where("_rank = 1")
-            .drop("_rank", "from_run")
+            rows.join(last, ["tenant", "doc_id"])
+            .groupBy("tenant", "doc_id")
+            .agg(
+                F.max_by(F.when(is_run, row), F.when(is_run, F.struct("deleted", "source"))).alias("_run"),
+                F.max_by(F.when(~before, row), F.when(~before, order)).alias("_event"),
+                F.max(F.when(before, F.col("_last"))).alias("_high"),
+            )
         )
 
     def _overlay(self, base: DataFrame, deltas: DataFrame, pending: int) -> DataFrame:
-        """Base rows that no delta replaces, and the deltas that no base row outdates.
+        """Base rows that no delta replaces, and the rows that the deltas leave in force.
 
-        The base meets only the keys of the deltas, so it is not shuffled while those can
-        be broadcast.  Only base rows that an event has changed can outdate a delta.
+        The base meets only the keys of the deltas, so it is not shuffled while those can be
+        broadcast.  A base row outlasts an event that is older than its own mark, and its mark counts
+        for the events after a run; only base rows that an event has changed have one.
         """
         columns = ["tenant", *self.row_schema.names]
-        keys = deltas.select(
-            "tenant",
-            "doc_id",
-            F.struct("changed_at", "changed_seq", "deleted").alias("_delta"),
-        )
+        same_id = ["tenant", "doc_id"]
+        event = F.struct("_event.changed_at", "_event.changed_seq", "_event.deleted")
+        keys = deltas.select(*same_id, event.alias("_delta"), F.col("_run").isNotNull().alias("_by_run"))
         keys = workspace.broadcast_if_small(keys, pending)
         mine = F.struct("changed_at", "changed_seq", "deleted")
-        newer = F.col("changed_at").isNotNull() & (mine > F.col("_delta"))
-        same_id = ["tenant", "doc_id"]
+        newer = ~F.col("_by_run") & F.col("changed_at").isNotNull() & (mine > F.col("_delta"))
         kept = base.join(keys, same_id, "left").where(F.col("_delta").isNull() | newer)
-        outdated = (
-            base.where("changed_at IS NOT NULL").join(keys, same_id).where(newer).select(*same_id)
-        )
-        return kept.select(*columns).unionByName(
-            deltas.join(outdated, same_id, "left_anti").select(*columns)
+        marks = base.where("changed_at IS NOT NULL").join(keys.select(*same_id), same_id).select(*same_id, mine.alias("_mine"))
+        found = deltas.join(marks, same_id, "left")
+        outdated = F.col("_run").isNull() & (F.col("_mine") > event)
+        high = F.greatest("_high", F.when(F.col("_mine").isNotNull(), F.struct("_mine.changed_at", "_mine.changed_seq")))
+        run_mark = F.struct(high["changed_at"].alias("changed_at"), high["changed_seq"].alias("changed_seq"), F.col("_run.deleted").alias("deleted"))
+        by_event = F.col("_event").isNotNull() & (F.col("_run").isNull() | high.isNull() | (event >= run_mark))
+        chosen = found.where(~F.coalesce(outdated, F.lit(False))).withColumn("_high", high).select(
+            "tenant", "_high", F.when(by_event, F.col("_event")).otherwise(F.col("_run")).alias("_row"), by_event.alias("_by_event")
         )
+        row = chosen.select("tenant", "_row.*", "_high", "_by_event")
+        for name in ("changed_at", "changed_seq"):
+            row = row.withColumn(name, F.when(F.col("_by_event"), F.col(name)).otherwise(F.col(f"_high.{name}")))
+        return kept.select(*columns).unionByName(row.select(*columns))
 
     def documents(self) -> DataFrame:
         """Live documents: common columns and the typed ``doc`` struct."""
@@ -276,7 +331,7 @@ class DocumentTable:
     def counts(self) -> DataFrame:
         """Live and deleted documents per tenant, from the manifest alone if it can tell."""
         manifest = self.manifest()
-        if manifest_sizes(manifest).delta_rows == 0:
+        if delta_rows(manifest) == 0:
             return manifest.groupBy("tenant").agg(
                 F.sum(F.col("rows") - F.col("tombstones")).alias("documents"),
                 F.sum("tombstones").alias("tombstones"),
@@ -291,92 +346,123 @@ class DocumentTable:
     def replace(self, incoming: DataFrame, tenants: DataFrame) -> CommitReport:
         """Make ``incoming`` the whole content of ``tenants`` (one column ``tenant``).
 
-        ``incoming`` is evaluated once and staged: buckets, rows and counts come from the
-        same rows, even if the source moves on.  Nothing already stored is read.
+        ``incoming`` is evaluated once and staged: buckets, rows and counts come from the same rows, even
+        if the source moves on.  Buckets whose stored rows have the same digests stay as they are.  Of
+        what other commits have published meanwhile, events stay in force.
         """
-        version = self._new_version()
+        started, first = time.time(), self.snapshots.latest()
         with workspace.Stage(self.spark) as stage:
-            incoming = stage(self._arriving(incoming), f"incoming-{self.document_type}")
-            plan = self._plan(incoming, self.manifest().where(F.lit(False)), stage)
-            rows = self._unhot(incoming.where("doc_id IS NOT NULL"), plan)
-            written = self._write(self._pick(rows, plan, version), version)
-            replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
-            kept = self.manifest().join(workspace.broadcast_if_small(replaced), "tenant", "left_anti")
-            return self._publish(kept, plan, version, incoming, written)
-
-    def upsert(self, incoming: DataFrame) -> CommitReport:
-        """Merge rows by ``doc_id``; untouched buckets are neither read nor written.
-
-        ``incoming`` has the row schema plus ``tenant`` and ``from_run``.  It is staged
-        first: the touched buckets and the merge must come from the same rows.  Deltas
-        of the table are folded in.
+            arriving = stage(self._arriving(incoming), f"incoming-{self.document_type}")
+            for left in reversed(range(TRIES)):
+                number = self.snapshots.latest()
+                manifest = self._entries(self.snapshots.read(number))
+                rows = arriving
+                if number != first:
+                    rows = stage(arriving.unionByName(self._events_since(first, manifest)), "overtaken")
+                plan = self._plan(rows, manifest, stage, replacing=True)
+                replaced = tenants.select("tenant").union(plan.layout.select("tenant")).distinct()
+                own = manifest.join(workspace.broadcast_if_small(replaced), "tenant", "left_semi")
+                same = stage(self._unchanged(own, plan), "unchanged")
+                gone = own.join(workspace.broadcast_if_small(same.select("part")), "part", "left_anti")
+                try:
+                    return self._commit(rows, plan, number, stage(gone, "gone"), None, started, same)
+                except Conflict:
+                    if not left:
+                        raise
+        raise ValueError("no try is allowed")
+
+    def upsert(self, incoming: DataFrame, batch: tuple[str, int] | None = None) -> CommitReport:
+        """Merge rows by ``doc_id``; parts of other groups are neither read nor written.
+
+        ``incoming`` has the row schema plus ``tenant`` and ``from_run``.  It is staged first:
+        the groups and the merge must come from the same rows.  ``batch`` is a stream with the number
+        of a batch; one that was committed before is recognised and left out.
         """
-        manifest = self.manifest()
-        arriving = self._arriving(incoming)
-        if manifest_sizes(manifest).delta_rows > 0:
-            arriving = arriving.unionByName(self._pending(manifest))
+        started = time.time()
         with workspace.Stage(self.spark) as stage:
-            return self._merge(stage(arriving, f"incoming-{self.document_type}"), manifest, stage)
+            arriving = stage(self._arriving(incoming), f"incoming-{self.document_type}")
+            for left in reversed(range(TRIES)):
+                number = self.snapshots.latest()
+                snapshot = self.snapshots.read(number)
+                if self._was_committed(snapshot, batch):
+                    return CommitReport("", 0, 0, number, time.time() - started, replayed=True)
+                manifest = self._entries(snapshot)
+                plan = self._plan(arriving, manifest, stage)
+                gone = stage(self._folded(manifest, plan), "gone")
+                try:
+                    return self._commit(arriving, plan, number, gone, gone, started, batch=batch)
+                except Conflict:
+                    if not left:
+                        raise
+        raise ValueError("no try is allowed")
+
+    def apply(self, events: DataFrame, batch: tuple[str, int] | None = None) -> CommitReport:
+        """Merge rows that stand for change events."""
+        return self.upsert(events, batch)
 
-    def apply(self, events: DataFrame) -> CommitReport:
-        """Merge rows that stand for change events, as a delta while those stay few."""
-        manifest = self.manifest()
-        with workspace.Stage(self.spark) as stage:
-            events = stage(self._arriving(events), f"events-{self.document_type}")
-            sizes = manifest_sizes(manifest)
-            pending = sizes.delta_rows + events.count()
-            if pending * DELTA_SHARE > sizes.base_rows:
-                return self.upsert(events)
-            if sizes.delta_parts >= DELTA_PARTS:
-                events = stage(events.unionByName(self._pending(manifest)), "deltas")
-                manifest = base_entries(manifest)
-            version = self._new_version()
-            plan = self._plan(events, manifest.where(F.lit(False)), stage)
-            rows = self._unhot(events.where("doc_id IS NOT NULL"), plan)
-            written = self._write(self._pick(rows, plan, version), version)
-            return self._publish(manifest, plan, version, events, written, DELTA)
-
-    def _pending(self, manifest: DataFrame) -> DataFrame:
-        """The deltas as rows of a merge, older than what arrives."""
-        deltas = self._deltas(manifest).select("tenant", *self.row_schema.names)
-        return self._aged(deltas.withColumn("from_run", F.lit(False)), 1)
+    @staticmethod
+    def _was_committed(snapshot: DataFrame, batch: tuple[str, int] | None) -> bool:
+        if batch is None:
+            return False
+        done = snapshot.where((F.col("stream") == batch[0]) & (F.col("batch") >= batch[1]))
+        return not done.isEmpty()
 
     def _arriving(self, rows: DataFrame) -> DataFrame:
-        return self._aged(rows.select("tenant", *self.row_schema.names, "from_run"), 2)
+        named = rows.select("tenant", *self.row_schema.names, "from_run")
+        return self._marked(named.withColumn("_age", F.lit(ARRIVING_AGE).cast("bigint")))
 
     @staticmethod
-    def _aged(rows: DataFrame, age: int) -> DataFrame:
-        """Rows with their age and the event mark that whichever row of their id wins will carry."""
-        return rows.withColumn("_age", F.lit(age)).withColumn("_last", F.struct("changed_at", "changed_seq"))
-
-    def _merge(
-        self, arriving: DataFrame, manifest: DataFrame, stage: workspace.Stage
+    def _marked(rows: DataFrame) -> DataFrame:
+        """Rows with the event mark that whichever row of their id wins will carry."""
+        return rows.withColumn("_last", F.struct("changed_at", "changed_seq"))
+
+    def _events_since(self, number: int, manifest: DataFrame) -> DataFrame:
+        """Rows that events have changed since snapshot ``number``, as later than what arrives."""
+        key = ["tenant", "doc_id", "changed_at", "changed_seq", "deleted"]
+        before = self._rows(self._entries(self.snapshots.read(number))).where("changed_at IS NOT NULL")
+        now = self._rows(manifest).where("changed_at IS NOT NULL").join(before.select(*key), key, "left_anti")
+        named = now.select("tenant", *self.row_schema.names, F.lit(False).alias("from_run"))
+        return self._marked(named.withColumn("_age", F.lit(ARRIVING_AGE + 1).cast("bigint")))
+
+    def _commit(
+        self,
+        arriving: DataFrame,
+        plan: CommitPlan,
+        number: int,
+        gone: DataFrame,
+        folded: DataFrame | None,
+        started: float,
+        same: DataFrame | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> CommitReport:
+        """Write what arrives, with the ``folded`` entries, and publish it in place of those ``gone``."""
         version = self._new_version()
-        base = base_entries(manifest)
-        plan = self._plan(arriving, base, stage)
-        touched = stage(self._touched(base, plan), "touched")
-        stored = (
-            self._scan(touched)
-            .select("tenant", *self.row_schema.names)
-            .withColumn("from_run", F.lit(False))
-            .transform(self._aged, 0)
-        )
         rows = self._unhot(arriving.where("doc_id IS NOT NULL"), plan)
-        written = self._write(self._pick(stored.unionByName(rows), plan, version), version)
-        kept = base.join(touched.select("tenant", "part"), ["tenant", "part"], "left_anti")
-        return self._publish(kept, plan, version, arriving, written)
+        if folded is not None:
+            rows = rows.unionByName(self._aged_scan(folded))
+        seen = self._write(self._pick(rows, plan, version, same), plan, version)
+        report = self._publish(plan, version, number, gone, seen, batch)
+        if plan.rows_bad:
+            self._quarantine(arriving, version)
+        path = f"{self.path}/reports/version={version}"
+        usable = F.when(F.col("slice").isNotNull(), F.col("rows")).otherwise(0)
+        counts = plan.slices.groupBy("tenant").agg(
+            F.sum(usable).alias("records"), F.sum(F.col("rows") - usable).alias("failures")
+        )
+        workspace.stage(counts.hint("rebalance"), "report", path)
+        return CommitReport(
+            version, plan.rows, plan.rows_bad, report[0], time.time() - started, path, parts_written=report[1]
+        )
 
     def delete_ids(self, ids: DataFrame) -> CommitReport:
-        """Remove documents by ``(tenant, doc_id)``; no tombstone is kept."""
+        """Remove documents by ``(tenant, doc_id)``; no tombstone outlasts the next fold."""
         gone = ids.select("tenant", "doc_id").distinct()
         return self.upsert(self.tombstones(gone, from_run=True))
 
     def delete_tenants(self, tenants: DataFrame) -> int:
         """Remove every document of the tenants: a change of the manifest only."""
-        manifest = self.manifest()
         keys = workspace.broadcast_if_small(tenants.select("tenant").distinct())
-        return self.snapshots.write(manifest.join(keys, "tenant", "left_anti"))
+        return self.snapshots.change(lambda now, _number: now.join(keys, "tenant", "left_anti"))
 
     def tombstones(self, ids: DataFrame, from_run: bool = False) -> DataFrame:
         """Delete rows for ``(tenant, doc_id [, changed_at, changed_seq])``."""
@@ -396,25 +482,36 @@ class DocumentTable:
         )
 
     def vacuum(self, keep: int = 1, older_than: float = VACUUM_AGE) -> int:
-        """Drop the parts that the newest ``keep`` manifests no longer use.
+        """Drop the parts that the newest ``keep`` manifests no longer use, and old reports.
 
-        Parts written less than ``older_than`` seconds ago stay, as a commit that is still
-        being written has no manifest yet.  Works on folder names and manifest entries, one per
-        bucket, never on rows.
+        Parts written less than ``older_than`` seconds ago stay, as a commit that is still being written
+        has no manifest yet.  A commit's folder goes as a whole once no manifest names any of its parts;
+        so the driver sees one row for each commit with live parts, and one for each dead part among those.
         """
         self.snapshots.prune(keep)
         before = time.time() - older_than
-        used: set[str] = set()
+        used = workspace.local_frame(self.spark, [], "part string")
         for number in self.snapshots.versions():
-            entries = self.spark.read.schema(MANIFEST_SCHEMA).parquet(
-                self.snapshots.version_path(number)
-            )
-            used |= {row.part for row in entries.select("part").collect()}
-        dropped = 0
-        for folder in workspace.child_names(self.spark, f"{self.path}/data/version=*/*/part=*"):
-            if folder.split("/part=")[-1] not in used and workspace.modified_at(self.spark, folder) <= before:
+            used = used.union(self._entries(self.snapshots.read(number)).select("part"))
+        used = used.distinct()
+        live = {row.version for row in used.select(F.split("part", "_")[0].alias("version")).distinct().toLocalIterator()}
+        dropped, partly = 0, []
+        for folder in workspace.child_names(self.spark, f"{self.path}/data/version=*"):
+            if folder.split("/version=")[-1] in live:
+                partly.append(folder)
+            elif workspace.modified_at(self.spark, folder) <= before:
+                dropped += len(workspace.child_names(self.spark, f"{folder}/*/part=*"))
+                workspace.delete_path(self.spark, folder)
+        for folder in partly:
+            parts = workspace.child_names(self.spark, f"{folder}/*/part=*")
+            named = workspace.local_frame(self.spark, [(x, x.split("/part=")[-1]) for x in parts], "path string, part string")
+            for row in named.join(used, "part", "left_anti").toLocalIterator():
+                if workspace.modified_at(self.spark, row.path) <= before:
+                    workspace.delete_path(self.spark, row.path)
+                    dropped += 1
+        for folder in workspace.child_names(self.spark, f"{self.path}/reports/version=*"):
+            if workspace.modified_at(self.spark, folder) <= before:
                 workspace.delete_path(self.spark, folder)
-                dropped += 1
         return dropped
 
     # ---------------------------------------------------------------- steps of a commit
@@ -424,91 +521,138 @@ class DocumentTable:
         return f"c{uuid.uuid4().hex}"
 
     def _plan(
-        self, incoming: DataFrame, manifest: DataFrame, stage: workspace.Stage
+        self, incoming: DataFrame, manifest: DataFrame, stage: workspace.Stage, replacing: bool = False
     ) -> CommitPlan:
-        """Count the incoming rows per tenant and hash slice, and size the buckets by that.
+        """Count the incoming rows per tenant and hash slice, size the buckets, find the groups to fold.
 
         A null slice counts the rows without a usable id.
         """
         slice_no = F.when(F.col("doc_id").isNotNull(), slice_of(F.col("doc_id")))
         counted = (
-            incoming.select("tenant", slice_no.alias("slice"))
+            incoming.select("tenant", slice_no.alias("slice"), width().alias("width"), row_digest().alias("digest"))
             .groupBy("tenant", "slice")
-            .agg(F.count(F.lit(1)).alias("rows"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes"), digest_sum(F.col("digest")).alias("digest"))
         )
-        slices = stage(counted, "slices")
-        totals = slices.agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("slice").isNull(), F.col("rows"))), F.lit(0)).alias("bad"),
-            F.count_if(self._is_hot()).alias("hot"),
-        ).first()
-        layout = self._layout(slices, manifest)
-        few = layout.take(FEW_TENANTS + 1)
+        slices = stage(counted.hint("rebalance"), "slices")
+        layout, tenants, totals = self._few(self._layout(slices, manifest, replacing), stage, "layout")
+        names = ["tenant", "buckets", "groups", "respread"]
+        layout = layout.where("buckets IS NOT NULL").select(*names)
+        sized = workspace.broadcast_if_small(layout, tenants)
+        due, groups, _ = self._few(self._due(slices, sized, manifest, replacing), stage, "due")
+        return CommitPlan(
+            slices, layout, due, tenants, groups, max(totals["parts"], 1),
+            totals["rows"], totals["bad"], totals["bytes"], totals["hot"],
+        )
+
+    def _few(self, df: DataFrame, stage: workspace.Stage, label: str) -> tuple[DataFrame, int, dict[str, int]]:
+        """The rows kept in the plan or in a file, their number, and sums of the counting columns."""
+        names = [name for name in ("rows", "bad", "bytes", "hot", "parts") if name in df.columns]
+        few = df.take(FEW_TENANTS + 1)
         if len(few) <= FEW_TENANTS:
-            layout = workspace.local_frame(self.spark, few, layout.schema)
-            tenants = len(few)
-        else:
-            layout = stage(layout, "layout")
-            tenants = layout.count()
-        # Parts the commit writes: all buckets of a tenant spread anew, else those hit.
-        hit = self._hit_buckets(slices, layout, tenants).where("NOT respread").select("tenant", "bucket")
-        spread = layout.where("respread").select(
-            "tenant", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket")
+            return workspace.local_frame(self.spark, few, df.schema), len(few), {n: sum(r[n] for r in few) for n in names}
+        kept = stage(df, label)
+        row = kept.agg(F.count(F.lit(1)).alias("n"), *(F.sum(name).alias(name) for name in names)).first()
+        return kept, row.n, {name: row[name] for name in names}
+
+    def _layout(self, slices: DataFrame, manifest: DataFrame, replacing: bool) -> DataFrame:
+        """Buckets and groups per incoming tenant, with its sizes; no buckets where no row has an id."""
+        good = F.col("slice").isNotNull()
+        arriving = slices.groupBy("tenant").agg(
+            F.sum("rows").alias("rows"),
+            F.sum(F.when(good, 0).otherwise(F.col("rows"))).alias("bad"),
+            F.sum(F.when(good, F.col("bytes")).otherwise(0)).alias("bytes"),
+            F.count_if(self._is_hot()).alias("hot"),
+            F.count("slice").alias("_hit"),
         )
-        parts = hit.unionByName(spread).count()
-        usable = F.when(F.col("slice").isNotNull(), F.col("rows")).otherwise(0)
-        counts = slices.groupBy("tenant").agg(
-            F.sum(usable).alias("records"), F.sum(F.col("rows") - usable).alias("failures")
+        stored = manifest.groupBy("tenant").agg(
+            F.sum("rows").alias("_stored"),
+            F.sum("bytes").alias("_stored_bytes"),
+            F.max(F.when(~F.col("delta"), F.col("buckets"))).alias("_current"),
         )
-        report = f"{self.path}/reports/{uuid.uuid4().hex}"
-        counts = workspace.stage(counts, "report", report)
-        by_tenant = counts.orderBy("tenant").take(FEW_TENANTS + 1)
-        if len(by_tenant) > FEW_TENANTS:
-            by_tenant = []
-        return CommitPlan(
-            slices, layout, tenants, max(parts, 1), totals.rows, totals.bad, totals.hot, tuple(by_tenant), report
+        old, old_bytes = (F.lit(0) if replacing else F.coalesce(name, F.lit(0)) for name in ("_stored", "_stored_bytes"))
+        need = F.greatest(
+            F.ceil((F.col("rows") + old) / F.lit(self.target_rows)),
+            F.ceil((F.col("bytes") + old_bytes) / F.lit(self.target_bytes)),
+            F.lit(1),
         )
-
-    @staticmethod
-    def _hit_buckets(slices: DataFrame, layout: DataFrame, tenants: int) -> DataFrame:
-        """(tenant, bucket) of the incoming rows."""
-        sized = workspace.broadcast_if_small(layout, tenants)
-        return (
-            slices.where("slice IS NOT NULL")
-            .join(sized, "tenant")
-            .select("tenant", F.pmod("slice", "buckets").cast("int").alias("bucket"), "respread")
-            .distinct()
+        wanted = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(need))), F.lit(float(SLICES))).cast("int")
+        fits = F.col("_current").isNotNull() & (wanted <= F.col("_current") * GROWTH_FACTOR)
+        if replacing:
+            fits &= F.col("_current") <= wanted * GROWTH_FACTOR
+        buckets = F.when(F.col("_hit") > 0, F.when(fits, F.col("_current")).otherwise(wanted))
+        spread = F.lit(replacing) | (F.col("_current").isNotNull() & ~fits)
+        parts = F.when(F.col("_hit") == 0, 0).when(spread, buckets).otherwise(
+            F.least(buckets, F.col("_hit") * F.greatest(buckets / GROUPS, F.lit(1)))
+        )
+        return arriving.join(stored, "tenant", "left").select(
+            "tenant",
+            buckets.alias("buckets"),
+            F.least(buckets, F.lit(GROUPS)).alias("groups"),
+            (F.col("_current").isNotNull() & ~fits).alias("respread"),
+            "rows",
+            "bad",
+            "bytes",
+            "hot",
+            parts.cast("bigint").alias("parts"),
         )
 
-    def _is_hot(self) -> Column:
-        """A slice that alone overfills a bucket: some id in it must repeat very often."""
-        return F.col("slice").isNotNull() & (F.col("rows") > self.target_rows)
+    def _due(self, slices: DataFrame, layout: DataFrame, manifest: DataFrame, replacing: bool) -> DataFrame:
+        """(tenant, group, due) of the groups that rows arrive in, and of all groups of tenants spread anew.
 
-    def _layout(self, slices: DataFrame, manifest: DataFrame) -> DataFrame:
-        """Number of buckets per incoming tenant."""
-        arriving = (
-            slices.where("slice IS NOT NULL").groupBy("tenant").agg(F.sum("rows").alias("arriving"))
+        Deltas written under another number of groups make their tenant due as a whole.
+        """
+        hit = (
+            slices.where("slice IS NOT NULL")
+            .join(layout, "tenant")
+            .groupBy("tenant", F.pmod("slice", "groups").cast("int").alias("group"))
+            .agg(F.sum("rows").alias("_arriving"))
         )
-        stored = manifest.groupBy("tenant").agg(
-            F.sum("rows").alias("stored"), F.max("buckets").alias("current")
+        if replacing:
+            return hit.select("tenant", "group", F.lit(True).alias("due"))
+        known = manifest.join(layout.select("tenant", "groups", "respread"), "tenant")
+        delta = F.col("delta")
+        stored = known.groupBy("tenant", F.pmod("bucket", "groups").cast("int").alias("group")).agg(
+            F.sum(F.when(~delta, F.col("rows"))).alias("_base"),
+            F.coalesce(F.sum(F.when(delta, F.col("rows"))), F.lit(0)).alias("_pending"),
+            F.count_if(delta).alias("_parts"),
         )
-        total = F.col("arriving") + F.coalesce(F.col("stored"), F.lit(0))
-        parts = F.greatest(F.ceil(total / F.lit(self.target_rows)), F.lit(1))
-        wanted = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(parts))), F.lit(float(SLICES))).cast("int")
-        keep = F.col("current").isNotNull() & (wanted <= F.col("current") * GROWTH_FACTOR)
-        return arriving.join(stored, "tenant", "left").select(
-            "tenant",
-            F.when(keep, F.col("current")).otherwise(wanted).alias("buckets"),
-            (F.col("current").isNotNull() & ~keep).alias("respread"),
+        whole = known.groupBy("tenant").agg(
+            F.bool_or(F.col("respread") | (delta & (F.col("buckets") != F.col("groups")))).alias("_whole")
+        )
+        every = layout.join(whole.where("_whole"), "tenant").select(
+            "tenant", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), F.lit(True).alias("_all")
         )
+        key = ["tenant", "group"]
+        full = (F.col("_arriving") + F.col("_pending")) * DELTA_SHARE > F.coalesce("_base", F.lit(0))
+        many = F.coalesce("_parts", F.lit(0)) >= DELTA_PARTS
+        share = F.col("_base").isNull() | full | many
+        return hit.join(stored, key, "left").join(every, key, "full").select(
+            *key, F.coalesce("_all", share).alias("due")
+        )
+
+    def _folded(self, manifest: DataFrame, plan: CommitPlan) -> DataFrame:
+        """Entries that the commit replaces: base and deltas of the groups that are due."""
+        due = workspace.broadcast_if_small(plan.due.where("due"), plan.groups)
+        layout = workspace.broadcast_if_small(plan.layout.select("tenant", "groups", "respread"), plan.tenants)
+        placed = manifest.join(layout, "tenant").withColumn("group", F.pmod("bucket", "groups").cast("int"))
+        return placed.join(due, ["tenant", "group"], "left_semi").select(*manifest.columns)
 
-    def _touched(self, manifest: DataFrame, plan: CommitPlan) -> DataFrame:
-        """Manifest entries a merge must rewrite."""
-        hit = self._hit_buckets(plan.slices, plan.layout, plan.tenants).where("NOT respread")
-        spread = plan.layout.where("respread").select("tenant")
-        return manifest.join(spread, "tenant", "left_semi").unionByName(
-            manifest.join(hit, ["tenant", "bucket"], "left_semi")
+    def _unchanged(self, own: DataFrame, plan: CommitPlan) -> DataFrame:
+        """Base entries whose bucket the arriving rows would write again as it is."""
+        layout = workspace.broadcast_if_small(plan.layout, plan.tenants)
+        arriving = (
+            plan.slices.where("slice IS NOT NULL")
+            .join(layout, "tenant")
+            .groupBy("tenant", F.pmod("slice", "buckets").cast("int").alias("bucket"), "buckets")
+            .agg(F.sum("rows").alias("rows"), digest_sum(F.col("digest")).alias("digest"))
         )
+        pending = own.where("delta").select("tenant").distinct()
+        still = own.where("NOT delta AND tombstones = 0").join(pending, "tenant", "left_anti")
+        return still.join(arriving, ["tenant", "bucket", "buckets", "rows", "digest"], "left_semi")
+
+    def _is_hot(self) -> Column:
+        """A slice that alone overfills a bucket: some id in it must repeat very often."""
+        return F.col("slice").isNotNull() & (F.col("rows") > self.target_rows)
 
     def _unhot(self, incoming: DataFrame, plan: CommitPlan) -> DataFrame:
         """Reduce ids that repeat so often that their slice alone overfills a bucket.
@@ -522,11 +666,10 @@ class DocumentTable:
         hot = plan.slices.where(self._is_hot()).select("tenant", F.col("slice").alias("_slice"))
         hot = workspace.broadcast_if_small(hot, plan.hot_slices)
         sliced = incoming.withColumn("_slice", slice_of(F.col("doc_id")))
-        # the greatest of these is what ``newest_wins`` puts first
-        order = F.struct("from_run", "changed_at", "changed_seq", "deleted", "_age", "source")
+        order = F.struct("_age", "from_run", "changed_at", "changed_seq", "deleted", "source")
         reduced = (
             sliced.join(hot, ["tenant", "_slice"], "left_semi")
-            .groupBy("tenant", "doc_id")
+            .groupBy("tenant", "doc_id", "_age")
             .agg(F.max_by(F.struct(*sliced.columns), order).alias("_row"), F.max("_last").alias("_high"))
             .select("_row.*", "_high")
             .withColumn("_last", F.col("_high"))
@@ -534,29 +677,44 @@ class DocumentTable:
         )
         return sliced.join(hot, ["tenant", "_slice"], "left_anti").unionByName(reduced).drop("_slice")
 
-    def _pick(self, rows: DataFrame, plan: CommitPlan, version: str) -> DataFrame:
+    def _pick(self, rows: DataFrame, plan: CommitPlan, version: str, same: DataFrame | None = None) -> DataFrame:
         """One row per id, clustered by the part it is written to.
 
         Rows are shuffled once, by (tenant, part); that placement also serves the per-id
-        window, because an id lies in exactly one part, and its sort serves the writer.
+        window, because an id lies in exactly one part, and its sort serves the writer.  Rows of
+        buckets that stay the ``same`` are left out before.
         """
-        part = part_of(version, F.col("tenant"), F.col("doc_id"), F.col("buckets"))
+        bucket = F.pmod(slice_of(F.col("doc_id")), "buckets").cast("int")
+        group = F.pmod(slice_of(F.col("doc_id")), "groups").cast("int")
+        placed = rows.join(workspace.broadcast_if_small(plan.layout, plan.tenants), "tenant").withColumn("group", group)
+        placed = placed.join(workspace.broadcast_if_small(plan.due, plan.groups), ["tenant", "group"])
+        placed = placed.withColumn("bucket", bucket)
+        if same is not None:
+            kept = workspace.broadcast_if_small(same.select("tenant", "bucket"))
+            placed = placed.join(kept, ["tenant", "bucket"], "left_anti")
+        place = F.when(F.col("due"), F.col("bucket").cast("string")).otherwise(F.concat(F.lit("d"), F.col("group").cast("string")))
+        part = F.concat_ws("_", F.lit(version), place, F.hex(F.xxhash64("tenant")))
         placed = (
-            rows.join(workspace.broadcast_if_small(plan.layout, plan.tenants), "tenant")
-            .withColumn("part", part)
-            .drop("buckets", "respread")
+            placed.withColumn("part", part)
+            .drop("buckets", "groups", "group", "bucket", "respread")
             .repartition(2 * plan.parts, "tenant", "part")
         )
         same_id = Window.partitionBy("tenant", "part", "doc_id")
-        newest = same_id.orderBy(*newest_wins(F.col("_age")))
-        whole = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        last_change = F.max("_last").over(whole)
-        chosen = (
-            placed.withColumn("_rank", F.row_number().over(newest))
-            .withColumn("_mark", last_change)
-            .where("_rank = 1")
-            .where("NOT deleted OR (NOT from_run AND changed_at IS NOT NULL)")
-        )
+        run_age = F.max(F.when(F.col("from_run"), F.col("_age"))).over(same_id)
+        with_run = placed.withColumn("_run_age", run_age)
+        before = F.col("_run_age").isNotNull() & (F.col("_age") <= F.col("_run_age"))
+        is_run = F.col("from_run") & (F.col("_age") == F.col("_run_age"))
+        high = F.max(F.when(before, F.col("_last"))).over(same_id)
+        known = with_run.withColumn("_high", high).withColumn("_mark", F.max("_last").over(same_id))
+        mark = F.when(is_run, F.col("_high")).otherwise(F.struct("changed_at", "changed_seq"))
+        order = [
+            (is_run | ~before).desc(),
+            F.struct(mark["changed_at"], mark["changed_seq"], "deleted", "_age").desc(),
+            F.col("source").desc_nulls_last(),
+        ]
+        chosen = known.withColumn("_rank", F.row_number().over(same_id.orderBy(*order))).where("_rank = 1")
+        # a delete of a run outlasts its delta only as the absence of a row
+        chosen = chosen.where("NOT deleted OR NOT due OR (NOT from_run AND changed_at IS NOT NULL)")
         return chosen.select(
             "tenant",
             "part",
@@ -567,28 +725,36 @@ class DocumentTable:
             F.col("_mark.changed_seq").alias("changed_seq"),
             "deleted",
             "doc",
+            (F.col("from_run") & ~F.col("due")).alias("from_run"),
+            width().alias("width"),
+            row_digest().alias("digest"),
         )
 
-    def _write(self, rows: DataFrame, version: str) -> int:
-        """Write the rows of a commit; returns how many the writer saw."""
+    def _write(self, rows: DataFrame, plan: CommitPlan, version: str) -> int:
+        """Write the rows of a commit; returns how many the writer saw.
+
+        Files of large documents get fewer of them, by the mean size of what arrives.
+        """
         seen = Observation(f"written-{version}")
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy("tenant", "part")
-        if self.max_records_per_file:
-            writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
+        mean = plan.bytes / max(plan.rows, 1)
+        if mean * self.target_rows > TARGET_FILE_BYTES:
+            writer = writer.option("maxRecordsPerFile", max(1, int(TARGET_FILE_BYTES // mean)))
         writer.parquet(f"{self.path}/data/version={version}")
         return seen.get["rows"]
 
     def _publish(
-        self,
-        kept: DataFrame,
-        plan: CommitPlan,
-        version: str,
-        incoming: DataFrame,
-        rows: int,
-        bucket: int | None = None,
-    ) -> CommitReport:
-        """Point the manifest at what was written, unless some of it is gone meanwhile."""
-        written = (
+        self, plan: CommitPlan, version: str, number: int, gone: DataFrame, rows: int, batch: tuple[str, int] | None
+    ) -> tuple[int, int]:
+        """Point the newest manifest at what was written, in place of the entries ``gone``.
+
+        Returns the number of the manifest and that of the base parts written.  Fails if some of what
+        was written is not there, and raises ``Conflict`` if entries to be replaced are gone already.
+        """
+        place = F.split("part", "_")[1]
+        is_delta = place.startswith("d")
+        layout = workspace.broadcast_if_small(plan.layout.select("tenant", "buckets", "groups"), plan.tenants)
+        found = (
             self.spark.read.schema(self._stored_schema)
             .option("basePath", f"{self.path}/data")
             .parquet(f"{self.path}/data/version={version}")
@@ -596,19 +762,65 @@ class DocumentTable:
             .agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.sum(F.col("deleted").cast("bigint")).alias("tombstones"),
+                F.sum("width").alias("bytes"),
+                digest_sum(F.col("digest")).alias("digest"),
+            )
+            .join(layout, "tenant")
+            .select(
+                "tenant",
+                "part",
+                F.when(is_delta, F.substring(place, 2, 10)).otherwise(place).cast("int").alias("bucket"),
+                F.when(is_delta, F.col("groups")).otherwise(F.col("buckets")).alias("buckets"),
+                is_delta.alias("delta"),
+                "rows",
+                "tombstones",
+                "bytes",
+                "digest",
             )
-            .join(workspace.broadcast_if_small(plan.layout.drop("respread"), plan.tenants), "tenant")
-            .withColumn("bucket", F.split("part", "_")[1].cast("int") if bucket is None else F.lit(bucket))
         )
         with workspace.Stage(self.spark) as stage:
-            written = stage(written, "written")
-            found = written.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-            if found != rows:
-                raise RuntimeError(f"{self.document_type}: {rows} rows were written and {found} are there")
-            number = self.snapshots.write(kept.unionByName(written))
-        if plan.rows_bad:
-            self._quarantine(incoming, version)
-        return CommitReport(version, plan.rows, plan.rows_bad, number, plan.by_tenant, plan.report)
+            few = found.take(NAMED_PARTS + 1)
+            if len(few) <= NAMED_PARTS:
+                written = workspace.local_frame(self.spark, few, found.schema)
+                total, bases = sum(row.rows for row in few), sum(not row.delta for row in few)
+            else:
+                written = stage(found, "written")
+                total, bases = written.agg(F.sum("rows"), F.count_if(~F.col("delta"))).first()
+            if total != rows:
+                raise RuntimeError(f"{self.document_type}: {rows} rows were written and {total} are there")
+            wanted = gone.select("part")
+
+            def make(now: DataFrame, following: int) -> DataFrame:
+                if following != number + 1:
+                    self._check(now, wanted, written, batch)
+                kept = now.join(workspace.broadcast_if_small(wanted), "part", "left_anti")
+                fresh = written.withColumn("seq", F.lit(following).cast("bigint"))
+                if batch is not None:
+                    kept = kept.where(F.col("stream").isNull() | (F.col("stream") != batch[0]))
+                    mark = workspace.local_frame(self.spark, [batch], "stream string, batch bigint")
+                    fresh = fresh.unionByName(mark, allowMissingColumns=True)
+                return kept.unionByName(fresh, allowMissingColumns=True)
+
+            return self.snapshots.change(make), bases
+
+    def _check(self, now: DataFrame, gone: DataFrame, written: DataFrame, batch: tuple[str, int] | None) -> None:
+        """Raise ``Conflict`` unless what was ``written`` can take the place of ``gone`` in ``now``.
+
+        Parts to be replaced must be there, and no other base part may hold rows of a bucket written.
+        """
+        if self._was_committed(now, batch):
+            raise Conflict(f"{self.document_type}: batch {batch} is there")
+        entries = self._entries(now)
+        if not gone.join(entries.select("part"), "part", "left_anti").isEmpty():
+            raise Conflict(f"{self.document_type}: parts were replaced meanwhile")
+        others = base_entries(entries).join(gone, "part", "left_anti").select("tenant", "bucket", "buckets")
+        mine = base_entries(written).select("tenant", "bucket", "buckets")
+        sizes = mine.select("tenant", F.col("buckets").alias("_buckets")).distinct()
+        clash = others.join(mine, ["tenant", "bucket", "buckets"], "left_semi").union(
+            others.join(sizes, "tenant").where("buckets <> _buckets").select("tenant", "bucket", "buckets")
+        )
+        if not clash.isEmpty():
+            raise Conflict(f"{self.document_type}: buckets were written meanwhile")
 
     def _quarantine(self, incoming: DataFrame, version: str) -> None:
         (
@@ -633,21 +845,16 @@ class DocumentTable:
 
 
 def base_entries(manifest: DataFrame) -> DataFrame:
-    return manifest.where(F.col("bucket") != DELTA)
+    return manifest.where("NOT delta")
 
 
 def delta_entries(manifest: DataFrame) -> DataFrame:
-    return manifest.where(F.col("bucket") == DELTA)
+    return manifest.where("delta")
 
 
-def manifest_sizes(manifest: DataFrame) -> Row:
-    """Rows of the base, and rows and parts of the deltas."""
-    is_delta = F.col("bucket") == DELTA
-    return manifest.agg(
-        F.coalesce(F.sum(F.when(~is_delta, F.col("rows"))), F.lit(0)).alias("base_rows"),
-        F.coalesce(F.sum(F.when(is_delta, F.col("rows"))), F.lit(0)).alias("delta_rows"),
-        F.count_if(is_delta).alias("delta_parts"),
-    ).first()
+def delta_rows(manifest: DataFrame) -> int:
+    """Rows of all deltas."""
+    return manifest.agg(F.coalesce(F.sum(F.when(F.col("delta"), F.col("rows"))), F.lit(0))).first()[0]
 
 
 def without(existing: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:

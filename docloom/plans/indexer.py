@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -43,30 +42,11 @@ STALE_AFTER = 24 * 3600
 PARALLEL_TYPES = 4
 
 
-@dataclass(frozen=True)
-class TenantBatches:
-    """What a run did for one tenant of a type, in batches of the configured size."""
-
-    tenant: str | None
-    records: int
-    batch_size: int
-    total_batches: int
-    failures: int
-
-
-def tenant_batches(commit: CommitReport, size: int) -> tuple[TenantBatches, ...]:
-    """The batch report of a commit; rows without a usable id are failures."""
-    return tuple(
-        TenantBatches(one.tenant, one.records, size, -(-one.records // size), one.failures)
-        for one in commit.by_tenant
-    )
-
-
 @dataclass(frozen=True)
 class RunReport:
     """Outcome of one document type in one run.
 
-    ``batches`` is for few tenants; ``batch_table`` reads the table ``batch_path`` of any number of them.
+    ``seconds`` is the time the commit took; ``batch_table`` reads the table ``batch_path`` of all tenants.
     """
 
     document_type: str
@@ -77,12 +57,16 @@ class RunReport:
     rows_quarantined: int = 0
     skipped: tuple[str, ...] = ()
     error: str | None = None
-    batches: tuple[TenantBatches, ...] = ()
+    seconds: float = 0.0
     batch_path: str | None = None
     batch_size: int = 1
 
     def batch_table(self, spark: SparkSession) -> DataFrame:
-        """What the run did for each tenant, a row for every one; none without a commit."""
+        """What the run did for each tenant, a row for every one; none without a commit.
+
+        ``took_ms`` is the time of the commit, which all its tenants share, and ``ms_per_document`` that for
+        each of their documents.
+        """
         schema = "tenant string, records bigint, failures bigint"
         rows = spark.read.schema(schema).parquet(self.batch_path) if self.batch_path else local_frame(spark, [], schema)
         return rows.select(
@@ -92,6 +76,8 @@ class RunReport:
             F.lit(self.batch_size).cast("long").alias("batch_size"),
             F.ceil(F.col("records") / self.batch_size).alias("total_batches"),
             "failures",
+            F.lit(1000.0 * self.seconds).alias("took_ms"),
+            F.lit(1000.0 * self.seconds / max(self.rows_in - self.rows_quarantined, 1)).alias("ms_per_document"),
         )
 
 
@@ -139,7 +125,6 @@ class Indexer:
         self.root = root.rstrip("/")
         self.index = DocumentIndex(spark, index_set, root, target_rows)
         self.state = st.RunState(spark, self._side_path("state"))
-        self._state_lock = threading.Lock()
         seen: dict[str, Tenant] = {}
         self.duplicate_tenants: list[Tenant] = []
         for tenant in tenants:
@@ -169,7 +154,7 @@ class Indexer:
         """Upsert, or delete, the given ids of one tenant and type.
 
         Returns ``None`` when the tenant is unknown or switched off.  The state of the pair gets
-        status and mode; its mark stays, as other rows may have changed.
+        status and mode, also when the run fails; its mark stays, as other rows may have changed.
         """
         deleting = is_delete_method(method)
         started = int(time.time())
@@ -178,23 +163,33 @@ class Indexer:
             return None
         index = self.index_set.find(document_type)
         table = self.index.table(index.document_type)
-        if deleting:
-            report = table.delete_ids(self._document_keys(tenant, index, ids))
-        else:
-            rows = tables.with_ids(self.source.rows(index, chosen), index.id_column, ids)
-            report = table.upsert(to_documents(rows, index))
-        self.state.touched(self._pairs(index, chosen), model.SELECTIVE, model.COMPLETED, started)
+        pairs = self._pairs(index, chosen)
+        try:
+            if deleting:
+                report = table.delete_ids(self._document_keys(tenant, index, ids))
+            else:
+                rows = tables.with_ids(self.source.rows(index, chosen), index.id_column, ids)
+                report = table.upsert(to_documents(rows, index))
+        except Exception:
+            self.state.touched(pairs, model.SELECTIVE, model.FAILED, started)
+            raise
+        self.state.touched(pairs, model.SELECTIVE, model.COMPLETED, started)
         self.index.create_tenant_aliases([tenant])
         return report
 
     def near_realtime(
-        self, changes: DataFrame, refresh_views: bool = True, batch_id: int | None = None
+        self,
+        changes: DataFrame,
+        refresh_views: bool = True,
+        batch_id: int | None = None,
+        stream: str | None = None,
     ) -> DataFrame:
         """Apply pending changes; returns the rows taken off the log.
 
         Rows of tenants without any completed type are left for later.  Rows that cannot
         be understood go to the quarantine table and do not stop the others; a batch that is
-        replayed under its number replaces what it put there.  The batch
+        replayed under its number replaces what it put there.  With the name of a ``stream`` each table
+        remembers the last batch, and leaves out one that it has.  The batch
         as it was read stays below the index as a record of what was applied.
         """
         named = changes.select(
@@ -215,7 +210,7 @@ class Indexer:
             pending = {row.document_type for row in items.select("document_type").distinct().collect()}
             for index in self.index_set.indexes:
                 if index.document_type.lower() in pending:
-                    self.apply_items(index, items)
+                    self.apply_items(index, items, None if stream is None or batch_id is None else (stream, batch_id))
             self._delete_marked(bulk_deleted, removed)
             touched = {row.tenant for row in flags.select("tenant").distinct().collect()}
         if refresh_views:
@@ -236,7 +231,7 @@ class Indexer:
         count = taken.count()
         if count and self.index_set.delete_records_after_indexing:
             # from the log as it is now: what arrived meanwhile stays
-            log.change(lambda now: ch.purge(now, taken))
+            log.change(lambda now, _number: ch.purge(now, taken))
         return count
 
     def vacuum(self, keep: int = 1, older_than: float = VACUUM_AGE) -> int:
@@ -267,10 +262,13 @@ class Indexer:
         started = int(time.time()) if run_ts is None else run_ts
         enabled = self._enabled(tenant)
         self.index.create()
-        jobs = [self._job(mode, index, enabled) for index in self.index_set.select(types)]
+        indexes = list(self.index_set.select(types))
+        # taken in one step, so of two runs that start together only one gets a pair
+        pairs = union_tenants([self._pairs(index, enabled) for index in indexes]) if indexes and enabled else None
+        since = int(time.time()) - self.stale_after
+        free = set() if pairs is None else self.state.take(pairs, mode, started, since)
+        jobs = [self._job(mode, index, enabled, free) for index in indexes]
         due = [job for job in jobs if job.tenants]
-        if due:
-            self.state.start(union_tenants([self._pairs(job.index, job.tenants) for job in due]), mode, started)
         # Types write to tables of their own, so their Spark jobs may overlap.
         with ThreadPoolExecutor(max_workers=PARALLEL_TYPES) as pool:
             futures = {id(job): pool.submit(self._run_type, mode, job, started) for job in due}
@@ -281,21 +279,19 @@ class Indexer:
             for job in jobs
         ]
 
-    def _job(self, mode: str, index: IndexDef, enabled: list[Tenant]) -> TypeJob:
-        """Tenants of a type that no other run is working on, and their rows to index."""
-        state = self.state.read()
-        since = int(time.time()) - self.stale_after
-        ready = st.not_running(self._pairs(index, enabled), state, since)
-        open_ = {row.tenant for row in ready.select("tenant").collect()}
-        free = [tenant for tenant in enabled if tenant.id in open_]
-        skipped = tuple(tenant.id for tenant in enabled if tenant.id not in open_)
+    def _job(
+        self, mode: str, index: IndexDef, enabled: list[Tenant], taken: set[tuple[str, str]]
+    ) -> TypeJob:
+        """The tenants of a type that this run has taken, and their rows to index."""
+        free = [tenant for tenant in enabled if (tenant.id, index.document_type) in taken]
+        skipped = tuple(tenant.id for tenant in enabled if tenant not in free)
         if not free:
             return TypeJob(index, (), skipped)
         self.index.table(index.document_type)
         try:
             marks = None
             if mode == model.INCREMENTAL:
-                known = st.last_run(self._pairs(index, free), state)
+                known = st.last_run(self._pairs(index, free), self.state.read())
                 marks = {row.tenant: row.last_run for row in known.collect()}
             rows = self.source.rows(index, free, marks)
             return TypeJob(index, tuple(free), skipped, to_documents(rows, index))
@@ -318,23 +314,24 @@ class Indexer:
                     status=model.COMPLETED,
                     rows_in=commit.rows_in,
                     rows_quarantined=commit.rows_quarantined,
-                    batches=tenant_batches(commit, self.index_set.effective_batch_count()),
+                    seconds=commit.seconds,
                     batch_path=commit.report,
                     batch_size=self.index_set.effective_batch_count(),
                 )
             except Exception as error:
                 report = replace(report, error=str(error))
-        with self._state_lock:
-            if report.status == model.COMPLETED:
-                self.state.finish(pairs, mode, started)
-            else:
-                self.state.fail(pairs, mode)
+        if report.status == model.COMPLETED:
+            self.state.finish(pairs, mode, started)
+        else:
+            self.state.fail(pairs, mode)
         return report
 
     # ---------------------------------------------------------------- near-real-time
 
-    def apply_items(self, index: IndexDef, items: DataFrame) -> CommitReport:
-        """Apply the latest change per item to one document type."""
+    def apply_items(
+        self, index: IndexDef, items: DataFrame, batch: tuple[str, int] | None = None
+    ) -> CommitReport:
+        """Apply the latest change per item to one document type, once for each ``batch`` of a stream."""
         enabled = self._enabled(None)
         mine = items.where(F.col("document_type") == index.document_type.lower())
         mine = tables.filter_tenants(mine, enabled)
@@ -350,9 +347,9 @@ class Indexer:
         )
         changed = {row.tenant for row in updates.select("tenant").distinct().collect()}
         if not changed:
-            return table.apply(gone)
+            return table.apply(gone, batch)
         rows = self._rows_of(index, updates, [tenant for tenant in enabled if tenant.id in changed])
-        return table.apply(to_documents(rows, index).unionByName(gone))
+        return table.apply(to_documents(rows, index).unionByName(gone), batch)
 
     def _rows_of(self, index: IndexDef, updates: DataFrame, tenants: list[Tenant]) -> DataFrame:
         """Source rows of the changed ids with the event that asked for them.

@@ -15,6 +15,9 @@ from docloom.workspace import broadcast_if_small, local_frame
 
 #: Up to this many ids travel as an IN list that reaches the scan.
 IN_LIST_LIMIT = 1_000
+#: Cells that more ids are counted in, and intervals that reach the scan.
+ID_CELLS = 10_000
+ID_INTERVALS = 200
 
 
 def query_rows(spark: SparkSession, query: str, args: Mapping | None = None) -> DataFrame:
@@ -71,7 +74,7 @@ def with_ids(df: DataFrame, column: str, ids: Sequence[int] | DataFrame) -> Data
     """Rows whose id is in a list or in the single column of a DataFrame.
 
     A short list becomes an IN predicate that the scan can use.  Anything longer is a semi
-    join behind a bound of the smallest and largest id, which the scan can use as well.  Ids kept
+    join behind a few intervals that cover the ids, which the scan can use as well.  Ids kept
     as text are compared as numbers, and text that is no number matches none.
     """
     name = find_column(df, column)
@@ -93,15 +96,41 @@ def id_value(df: DataFrame, name: str) -> Column:
 
 
 def id_bound(df: DataFrame, name: str, keys: DataFrame) -> tuple[DataFrame, int]:
-    """Rows between the smallest and the largest ``_id`` of ``keys``, and the number of keys."""
+    """Rows within intervals that cover every ``_id`` of ``keys``, and the number of keys.
+
+    The ids are counted in up to ``ID_CELLS`` cells of equal width, whatever their number; the cells are joined
+    across all but the widest gaps, which leaves at most ``ID_INTERVALS`` intervals for the scan to skip by.
+    """
     bound = keys.agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.count("_id").alias("n")).first()
     if bound.n == 0:
         return df.where(F.lit(False)), 0
-    return df.where(id_value(df, name).between(bound.low, bound.high)), bound.n
+    low, span = float(bound.low), float(bound.high) - float(bound.low) + 1.0
+    cell = F.floor((F.col("_id").cast("double") - F.lit(low)) / F.lit(span) * F.lit(ID_CELLS))
+    cells = keys.groupBy(cell.alias("cell")).agg(F.min("_id").alias("low"), F.max("_id").alias("high")).collect()
+    value = id_value(df, name)
+    inside = [value.between(first, last) for first, last in intervals([(c.low, c.high) for c in cells])]
+    return df.where(reduce(lambda a, b: a | b, inside)), bound.n
+
 
+def intervals(cells: Sequence[tuple[int, int]], most: int | None = None) -> list[tuple[int, int]]:
+    """At most ``most`` intervals over the given ones, apart at the widest gaps; neighbours are joined."""
+    ordered = sorted(cells)
+    gaps = sorted(
+        (right[0] - left[1], at) for at, (left, right) in enumerate(zip(ordered, ordered[1:]), 1) if right[0] - left[1] > 1
+    )
+    cuts = sorted(at for _, at in gaps[-((ID_INTERVALS if most is None else most) - 1) :])
+    edges = [0, *cuts, len(ordered)]
+    return [(ordered[a][0], ordered[b - 1][1]) for a, b in zip(edges, edges[1:])]
 
-def filter_tenants(df: DataFrame, tenants: Sequence[Tenant], column: str = "tenant") -> DataFrame:
-    """Keep the rows of the given tenants; a short list prunes partitions and files."""
+
+def filter_tenants(df: DataFrame, tenants: Sequence[Tenant] | DataFrame, column: str = "tenant") -> DataFrame:
+    """Keep the rows of the given tenants; a short list prunes partitions and files.
+
+    A DataFrame of tenants (tenant, enabled) stands for those that are enabled.
+    """
+    if isinstance(tenants, DataFrame):
+        keys = tenants.where("enabled").select(F.col("tenant").alias("_tenant")).distinct()
+        return df.join(broadcast_if_small(keys), F.col(column) == F.col("_tenant"), "left_semi")
     ids = sorted({tenant.id for tenant in tenants})
     if len(ids) <= IN_LIST_LIMIT:
         return df.where(F.col(column).isin(ids))

@@ -81,19 +81,19 @@ def run_change_stream(
 ) -> StreamingQuery:
     """Feed micro-batches to ``apply`` (usually ``Indexer.near_realtime``).
 
-    An ``apply`` with a parameter ``batch_id`` gets the number of the batch, which a replay repeats.
+    An ``apply`` with a parameter ``batch_id`` gets the number of the batch, which a replay repeats, and one
+    with a parameter ``stream`` the identity of the query, which its checkpoint keeps.
 
     With an ``interval`` the stream runs until stopped; without one it works through
     what is there and ends.
     """
 
-    numbered = "batch_id" in inspect.signature(apply).parameters
+    wanted = inspect.signature(apply).parameters
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        if numbered:
-            apply(batch, batch_id=batch_id)
-        else:
-            apply(batch)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        known = {"batch_id": batch_id, "stream": query}
+        apply(batch, **{name: value for name, value in known.items() if name in wanted})
 
     writer = changes.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

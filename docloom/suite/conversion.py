@@ -24,13 +24,13 @@ def read_back(rows, json, schema):
     "rows_to_json",
     """SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":'
               || CASE WHEN c_nationkey = 0 THEN 'null' ELSE c_nationkey::VARCHAR END
-              || ',"c_mktsegment":"' || c_mktsegment || '"}' AS source FROM customer""",
+              || ',"c_acctbal":' || c_acctbal || ',"c_mktsegment":"' || c_mktsegment || '"}' AS source FROM customer""",
 )
 def rows_to_json(spark, folder):
     customer = b.table(spark, folder, "customer").withColumn(
         "c_nationkey", F.nullif("c_nationkey", F.lit(0))
     )
-    names = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    names = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     return customer.select("c_custkey", convert.row_json([F.col(n) for n in names]).alias("source"))
 
 
