@@ -199,12 +199,19 @@ def _changed(
     started: int | None = None,
     mark: int | None = None,
 ) -> DataFrame:
-    """Records of ``pairs`` with a new status; what is not given stays as ``state`` has it."""
+    """Records of ``pairs`` with a new status; what is not given stays as ``state`` has it.
+
+    A deleted pair loses its mark with its status, so whatever becomes of the next run, one starts
+    from the beginning.
+    """
+    kept = F.col("last_indexed_at")
+    if status != model.DELETED:
+        kept = F.when(~has_status(model.DELETED), kept)
     old = state.select(
         *STATE_KEY,
         F.col("appid").alias("_appid"),
         F.col("execution_started_at").alias("_started"),
-        F.col("last_indexed_at").alias("_mark"),
+        kept.alias("_mark"),
         F.col("last_index_type").alias("_mode"),
     )
     app = F.col("appid") if "appid" in pairs.columns else F.lit(None).cast("string")

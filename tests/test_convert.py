@@ -205,3 +205,16 @@ def test_search_against_brute_force(spark):
     assert got == [(4, 2, 3), (0, 2, 2), (1, 1, 1)]
     assert [r.doc_id for r in se.search_page(hits, 1, 1).collect()] == [0]
     assert se.search(rows, " ;", text=F.col("text")).count() == 0
+
+
+def test_fingerprints_equal_the_standard_librarys(spark):
+    import base64
+    import hashlib
+
+    from docloom.functions import scalars
+
+    texts = ["", "abc", "é漢😀" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name in scalars.DIGESTS:
+        found = [r[0] for r in df.select(scalars.fingerprint(df.t, name)).collect()]
+        assert found == [base64.b64encode(hashlib.new(name.lower(), t.encode()).digest()).decode() for t in texts]

@@ -68,6 +68,7 @@ def test_store_reads_only_live_parts(spark, data, monkeypatch):
     monkeypatch.setattr(store, "NAMED_PARTS", 1)
     jobs = b.indexer(spark, data, b.IndexSet((ORDER,)))
     jobs.full(run_ts=1)
+    b.table(spark, data, "orders").withColumn("o_orderstatus", F.lit("NEW")).createOrReplaceTempView("orders")
     jobs.full(run_ts=2)
     table = jobs.index.table("order")
     one = table.documents().where(F.col("tenant") == "tenant1").select("doc_id")
@@ -103,5 +104,21 @@ def test_merge_shuffles_rows_once(spark, data):
     documents = to_documents(jobs.source.rows(ORDER, jobs.tenants), ORDER)
     with workspace.Stage(spark) as stage:
         sized = table._plan(documents, table.manifest(), stage)
-        text = plan(table._pick(table._aged(documents, 2), sized, "v"))
-    assert text.count("hashpartitioning") == 1 and text.count(" Sort ") <= 2
+        text = plan(table._pick(table._arriving(documents), sized, "v"))
+    assert text.count("hashpartitioning") == 1
+
+
+def test_many_ids_in_clusters_reach_the_scan_as_intervals(spark, data):
+    from docloom.sources import tables
+
+    orders = b.table(spark, data, "orders")
+    ids = [100_000 * cluster + n for cluster in range(20) for n in range(250)]
+    text = plan(tables.with_ids(orders, "o_orderkey", ids))
+    pushed = re.search(r"PushedFilters: (.*)", text).group(1)
+    assert pushed.count("GreaterThanOrEqual(o_orderkey") == 20
+    few = tables.intervals([(n, n + 1) for n in range(0, 9000, 7)] + [(10**12, 10**12), (-500, -500)], most=3)
+    assert few == [(-500, -500), (0, 8996), (10**12, 10**12)]
+    rows = spark.range(0, 10**7, 1000).toDF("o_orderkey")
+    wanted = spark.range(0, 10**7, 777)
+    found = {r.o_orderkey for r in tables.with_ids(rows, "o_orderkey", wanted).collect()}
+    assert found == set(range(0, 10**7, 777000))

@@ -394,3 +394,72 @@ def test_new_tenant_does_not_lift_the_bound_of_others(spark, data):
         "SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0 OR (o_orderkey % 4 = 1 AND o_orderdate >= '1998-01-01') "
         "OR (o_orderkey % 4 = 2 AND unix_seconds(CAST(o_orderdate AS timestamp)) >= 983612800)").first()[0]
     assert rows.count() == want
+
+
+def test_of_two_runs_that_start_together_one_gets_the_pair(spark, root):
+    """Both look at the state before either has written."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from docloom.operators import state as st
+
+    pairs = local_frame(spark, [("a", "item", "appa"), ("b", "item", "appb")], "tenant string, document_type string, appid string")
+    state = st.RunState(spark, fresh_path(spark, "state"))
+    with ThreadPoolExecutor(2) as pool:
+        taken = list(pool.map(lambda _: state.take(pairs, "Full", int(time.time()), since=0), range(2)))
+    assert sorted(map(len, taken)) == [0, 2]
+    assert [r.status for r in state.read().collect()] == ["Running"] * 2
+
+
+def test_state_written_meanwhile_is_kept(spark, root):
+    from docloom.operators import state as st
+
+    pair = "tenant string, document_type string, appid string"
+    one, two = (local_frame(spark, [(t, "item", None)], pair) for t in "ab")
+    state = st.RunState(spark, fresh_path(spark, "state"))
+    state.start(one, "Full", 1)
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda job: state.finish(*job), [(two, "Full", 5), (one, "Full", 7)]))
+    assert {r.tenant: (r.status, r.last_indexed_at) for r in state.read().collect()} == {"a": ("Completed", 7), "b": ("Completed", 5)}
+
+
+def test_a_failed_selective_run_leaves_a_trace(spark, root):
+    put_items(spark, [("a", 1, "x", 10)])
+    jobs = new_indexer(spark, root)
+    jobs.full(run_ts=5)
+    local_frame(spark, [("a", 1, "x", 99)], "tenant string, id bigint, v string, changed bigint").withColumn(
+        "v", F.raise_error(F.lit("source broke")).cast("string")).createOrReplaceTempView("items")
+    with pytest.raises(Exception, match="source broke"):
+        jobs.selective("a", "item", [1])
+    record = state_of(jobs)[("a", "item")]
+    assert (record.status, record.last_index_type, record.last_indexed_at) == ("Failed", "Selective", 5)
+
+
+def test_a_replayed_micro_batch_gives_no_new_version(spark, root):
+    """A batch that was applied before the checkpoint knew of it is recognised by stream and number."""
+    put_items(spark, [("a", n, "old", 1) for n in range(40)])
+    jobs = new_indexer(spark, root)
+    jobs.full(run_ts=1)
+    put_items(spark, [("a", n, "new", 1) for n in range(40)])
+    batch = log_rows(spark, [("a", "item", "UPDATE", 1, 5, 1)])
+    table = jobs.index.table("item")
+    jobs.near_realtime(batch, batch_id=0, stream="s")
+    number = table.snapshots.latest()
+    jobs.near_realtime(batch, batch_id=0, stream="s")
+    assert table.snapshots.latest() == number and content(jobs)["a_item_1"] == "new"
+    jobs.near_realtime(batch, batch_id=1, stream="s")
+    assert table.snapshots.latest() == number + 1
+
+
+def test_a_stream_names_its_batches(spark, root):
+    put_items(spark, [("a", n, "v", 1) for n in range(40)])
+    jobs = new_indexer(spark, root)
+    jobs.full(run_ts=1)
+    folder = fresh_path(spark, "feed")
+    log_rows(spark, [("a", "item", "DELETE", 3, 5, 1)]).write.parquet(folder)
+    changes = file_changes(spark, folder, ch.CHANGE_SCHEMA)
+    run_change_stream(changes, jobs.near_realtime, fresh_path(spark, "offsets")).awaitTermination()
+    assert "a_item_3" not in content(jobs)
+    marks = jobs.index.table("item").snapshots.read().where("stream IS NOT NULL").collect()
+    assert [m.batch for m in marks] == [0] and len(marks[0].stream) == 36
