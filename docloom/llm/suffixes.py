@@ -24,7 +24,7 @@ Fingerprints of contexts and passages are 128 bits of BLAKE2b.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.joins import spread_join
 from docloom.llm.texts import chunks
-from docloom.workspace import delete_path, fresh_path, stage
+from docloom.workspace import Stage, delete_path, fresh_path, stage
 
 #: Bytes of a passage.
 LENGTH = 200
@@ -145,8 +145,9 @@ def entries(texts: DataFrame) -> DataFrame:
 class Family:
     """Arrays of all texts added so far, in levels of doubling size."""
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, keep: Callable[[DataFrame, str], DataFrame] = stage) -> None:
         self.spark = spark
+        self.keep = keep
         self.levels: list[tuple[int, str]] = []
         self.entries: list[DataFrame] = []
         self.matches: list[DataFrame] = []
@@ -160,7 +161,7 @@ class Family:
 
         Rows must differ from those of all other batches.
         """
-        own = stage(entries(texts), "entries")
+        own = self.keep(entries(texts), "entries")
         self.entries.append(own)
         both = own.select("key", F.col("n").alias("places"), F.col("n").alias("own"), "n")
         size, joined = 1, []
@@ -319,10 +320,11 @@ def compared(texts: DataFrame, found: DataFrame) -> DataFrame:
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(row, spans) of every text of (row, text, batch) of which something repeats; spans may overlap."""
-    family = Family(texts.sparkSession)
-    for number in range(BATCHES):
-        family.add(texts.filter(F.col("batch") == number))
-    found = stage(family.found(), "found")
+    with Stage(texts.sparkSession) as scratch:
+        family = Family(texts.sparkSession, scratch)
+        for number in range(BATCHES):
+            family.add(texts.filter(F.col("batch") == number))
+        found = stage(family.found(), "found")
     contexts = stage(contexts_of(found), "contexts")
     whole = contexts.filter("n > 1").select(*_CONTEXT, F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), "n")
     parts = compared(texts, contexts).withColumn("n", F.lit(1).cast("long"))
