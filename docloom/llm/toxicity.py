@@ -1,11 +1,14 @@
 """Toxicity of texts whose words may be disguised.
 
 A disguised word is taken for a plain one sent through a noisy channel that swaps letters for
-look-alikes (``1d10t``), repeats them (``stuuupid``) and puts blanks or marks between them
-(``m o r o n``). Its lattice holds, for every character seen, the characters it may stand for;
-Viterbi decoding under a character model finds the likeliest plain word. The model holds the
-counts of all four-character strings of all documents. Words without such signs have
-one path only and stay as they are.
+look-alikes (``1d10t``), repeats them (``stuuupid``, ``iiddiioott``) and puts white space or marks
+between them (``m o r o n``). Its lattice holds, for every character seen, the characters it may stand
+for; white space between single characters may stand for nothing or for the end of a word. Viterbi decoding
+under a character model finds the likeliest plain words. The model holds the counts of all
+four-character strings of all documents. A word with repeated letters is decoded under two channels, one
+that repeats now and then and one that does so as a habit, as repeated forms of the corpus count in the model too. Words of
+letters of which none follows itself have one path only and stay as they are; a word that is decoded
+counts as written as well.
 
 Restored words and their beginnings are then weighed as indicators. Indicators and weights come
 from labelled rows outside the held-out fifth: at most ``SAMPLE`` per class, chosen by hash. The
@@ -54,8 +57,8 @@ PLAIN, SWAPPED, AGAIN, MARKED = math.log(0.9), math.log(0.1), math.log(0.05), ma
 
 _SEPARATORS = frozenset("._-*~ ")
 _EDGES = ".,;:?\"'()[]{}<>#%&*_-~/\\"
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
-_RUN = re.compile(r"(.)\1\1")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_RUN = re.compile(r"(.)\1")
 _SIGNS = re.compile(r"[^\W\d_].*[0-9@$!|+(€¡£._\-*~]|[0-9@$!|+(€¡£._\-*~].*[^\W\d_]")
 
 
@@ -124,18 +127,24 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model
 
-    def restore(self, seen: str) -> str:
+    def restore(self, seen: str, habit: bool = False) -> str:
         """The likeliest plain word behind the characters; time in proportion to their number.
 
+        With ``habit`` the channel is one that repeats as a habit: a character that follows itself was sent again.
         A state is the last three characters sent, so a step has few states and memory
         holds one back pointer for each.
         """
         model, seen = self.model, seen.lower()
         best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         before = ""
-        for at, char in enumerate(seen):
+        for char in seen:
+            if habit and char == before:
+                continue
             code = int(FOLD[ord(char)])
-            options = [(code, char, PLAIN)] if char not in _SEPARATORS else [(OTHER, char, PLAIN)]
+            if char == " ":
+                options = [(0, char, MARKED)]
+            else:
+                options = [(code, char, PLAIN)] if char not in _SEPARATORS else [(OTHER, char, PLAIN)]
             like = LOOKALIKES.get(char, "")
             options += [(ord(x) - 96, x, SWAPPED - math.log(len(like))) for x in like]
             silent = MARKED if char in _SEPARATORS else AGAIN if char == before else None
@@ -163,13 +172,19 @@ class Restorer:
         plain = bare.rstrip("!")
         if plain.isalpha() and not _RUN.search(plain):
             return [plain]
-        if _RUN.search(bare) or _SIGNS.search(bare):
-            return list(dict.fromkeys([plain, self.restore(bare).strip(_EDGES + "!")]))
+        doubled = _RUN.search(bare)
+        if doubled or _SIGNS.search(bare):
+            decoded = [self.restore(bare), *([self.restore(bare, habit=True)] if doubled else [])]
+            return list(dict.fromkeys([plain, *(word.strip(_EDGES + "!") for word in decoded)]))
         return [plain] if plain else []
 
     def spaced(self, text: str) -> list[str]:
-        """Words written as single characters between blanks."""
-        return [self.restore(found.group()).replace(" ", "") for found in _SPACED.finditer(text)]
+        """Words written as single characters with white space between them, one by one and as one."""
+        out = []
+        for found in _SPACED.finditer(text):
+            parts = self.restore(" ".join(found.group().split())).split()
+            out += [*parts, "".join(parts)]
+        return list(dict.fromkeys(out))
 
 
 def indicators(word: str) -> list[str]:

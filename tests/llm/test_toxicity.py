@@ -36,7 +36,8 @@ def restorer(labelled):
 
 @pytest.mark.parametrize(
     ("seen", "plain"),
-    [("1d10t", "idiot"), ("stuuuupid", "stupid"), ("m.o.r.o.n", "moron"), ("w0rthl3$$", "worthless"), ("d1sgust1ng", "disgusting")],
+    [("1d10t", "idiot"), ("stuuuupid", "stupid"), ("m.o.r.o.n", "moron"), ("w0rthl3$$", "worthless"), ("d1sgust1ng", "disgusting"),
+     ("iiddiioott", "idiot"), ("stuupiid", "stupid"), ("mmoronn", "moron"), ("wworthless", "worthless")],
 )
 def test_disguised_words_are_restored(restorer, seen, plain):
     assert plain in restorer.words(seen)
@@ -48,6 +49,38 @@ def test_spaced_words_and_plain_words(restorer):
     assert restorer.spaced("a b and c") == []
 
 
+@pytest.mark.parametrize("text", ["m  o  r  o  n", "m\to\tr\to\tn", "m\no\nr\no\nn", "m o  r\to n", "M 0 R 0 N"])
+def test_any_white_space_between_letters(restorer, text):
+    assert "moron" in restorer.spaced(f"there {text} onere")
+
+
+def test_short_and_neighbouring_spaced_words(restorer):
+    """A blank may end a word: what is spelled with spaces is cut where the model sees words end."""
+    assert "red" in restorer.spaced("the r e d one")
+    assert "moron" in restorer.spaced("the i s m o r o n there")
+    assert restorer.spaced("there is a b and") == []
+
+
+def test_forms_of_disguise_are_found_and_clean_ones_left(spark, labelled):
+    """Recall over planted forms, and plain texts with doubled letters and single characters beside them."""
+    docs, labels = labelled
+    forms = {
+        "doubled": lambda w: "".join(c + c for c in w),
+        "part doubled": lambda w: w[:2] + w[1:] + w[-1],
+        "blanks": " ".join,
+        "double blanks": "  ".join,
+        "tabs": "\t".join,
+        "lines": "\n".join,
+        "leet": lambda w: w.translate(str.maketrans("oies", "0135")),
+    }
+    planted = [(2000 + i, f"there onere {form(w)} rehast anin") for i, (form, w) in enumerate((f, w) for f in forms.values() for w in WORDS)]
+    clean = [(3000 + i, t) for i, t in enumerate(["hasst annin onnere", "a b c d e", "i n t h e", "ed ed ed rree", "1 2 3 4", "o n e r e"])]
+    more = spark.createDataFrame(planted + clean, "doc_id long, text string")
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(docs.union(more), labels).collect()}
+    assert np.mean([found[i] for i, _ in planted]) >= 0.9
+    assert sum(found[i] for i, _ in clean) == 0
+
+
 def test_viterbi_is_the_best_path(restorer):
     """Against all paths of short words, each path scored on its own."""
     import itertools
@@ -136,4 +169,23 @@ def test_odd_rows_and_no_labels(spark, clashing, none, labelled):
 
 
 def test_query(spark, data, texts):
-    assert QUERIES["op1_noisy_channel_toxicity"](spark, data).count() == len(texts)
+    """Every score against a plain loop over words and indicators, under the model and weights of the table."""
+    from docloom.llm.texts import table
+
+    docs, labels = table(spark, data, "documents"), table(spark, data, "labels")
+    model = toxicity.character_model(docs)
+    fitted = toxicity.fit(docs, labels, model)
+    weight = dict(zip(fitted.names, fitted.weights.tolist()))
+    own = toxicity.Restorer(model)
+
+    def score(text):
+        words = [w for token in (text or "").split() for w in own.words(token)] + own.spaced(text or "")
+        seen = {x for w in words for x in (w, w[:4] + "*" if len(w) > 4 else w, w[:5] + "*" if len(w) > 5 else w)}
+        return 1 / (1 + np.exp(-(fitted.shift + sum(weight.get(x, 0.0) for x in seen))))
+
+    found = {r.doc_id: r for r in QUERIES["op1_noisy_channel_toxicity"](spark, data).collect()}
+    assert found.keys() == {i for i, _ in texts}
+    for i, text in texts:
+        assert found[i].score == pytest.approx(score(text), abs=1e-6)
+        assert found[i].predicted == (found[i].score >= 0.5)
+        assert found[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
