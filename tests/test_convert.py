@@ -218,3 +218,27 @@ def test_fingerprints_equal_the_standard_librarys(spark):
     for name in scalars.DIGESTS:
         found = [r[0] for r in df.select(scalars.fingerprint(df.t, name)).collect()]
         assert found == [base64.b64encode(hashlib.new(name.lower(), t.encode()).digest()).decode() for t in texts]
+
+
+def test_no_envelope_is_larger_than_the_bound(spark):
+    """Wide rows cut a batch into pieces, in order; a row that is larger by itself stands alone."""
+    import json
+
+    from docloom.operators.envelope import results_envelopes
+
+    rows = [("t", n, "x" * (n * 37 % 900)) for n in range(300)] + [("t", 300, "y" * 5000), ("t", 301, "z"), ("u", 1, None)]
+    df = spark.createDataFrame(rows, "tenant string, id bigint, text string")
+    found = results_envelopes(df, "id", 100, by=["tenant"], max_bytes=2000).orderBy("tenant", "batch_no", "piece").collect()
+    seen, sizes = [], {}
+    for one in found:
+        results = json.loads(one.envelope)["results"]
+        assert one.records == len(results)
+        assert len(one.envelope) - len('{"results":[]}') - len(results) + 1 <= 2000 or len(results) == 1
+        seen += [(one.tenant, r["id"]) for r in results]
+        sizes[one.tenant, one.batch_no] = sizes.get((one.tenant, one.batch_no), 0) + len(results)
+    assert seen == [(r[0], r[1]) for r in rows]
+    assert sizes == {("t", 0): 100, ("t", 1): 100, ("t", 2): 100, ("t", 3): 2, ("u", 0): 1}
+    assert len(found) > 40
+    whole = results_envelopes(df, "id", 100, by=["tenant"])
+    assert {(r.tenant, r.batch_no, r.piece, r.records) for r in whole.collect()} == {
+        (tenant, batch, 0, n) for (tenant, batch), n in sizes.items()}
