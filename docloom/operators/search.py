@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
+#: How fast further matches of a word count for less, and how much the length of a text weighs.
+SATURATION, LENGTH_WEIGHT = 1.2, 0.75
+#: Decimals that scores are kept to, so that equal ones are ties wherever they are computed.
+DECIMALS = 6
 
 
 def query_terms(search_text: str) -> list[str]:
@@ -59,6 +64,42 @@ def search(
     )
 
 
+def ranked(
+    documents: DataFrame,
+    search_text: str,
+    text: Column | None = None,
+    tenant: str | None = None,
+) -> DataFrame:
+    """The hits of a search with a ``score`` that grows with the rarity of the matched words.
+
+    One aggregate pass over the searched documents counts them, their mean length, and those that hold each
+    query word; one row reaches the driver.  A word then weighs by the logarithm of its rarity, and its
+    matches by a saturating share that is smaller in long texts.  A null text is empty.
+    """
+    if tenant is not None:
+        documents = documents.where(F.col("tenant") == tenant)
+    body = F.coalesce(text if text is not None else text_fields(documents), F.lit(""))
+    hits, terms = search(documents, search_text, body), query_terms(search_text)
+    if not terms:
+        return hits.withColumn("score", F.lit(0.0))
+    length = F.size(F.filter(words(body), lambda word: word != ""))
+    holding = [F.count_if(F.array_contains(words(body), term)).alias(f"_{at}") for at, term in enumerate(terms)]
+    known = documents.agg(F.count(F.lit(1)).alias("n"), F.avg(length).alias("mean"), *holding).first()
+    norm = SATURATION * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * F.col("_length") / F.lit(max(known.mean or 0.0, 1e-9)))
+    score = F.lit(0.0)
+    for at, term in enumerate(terms):
+        found = known[f"_{at}"]
+        rarity = math.log(1 + (known.n - found + 0.5) / (found + 0.5))
+        matches = F.size("_words") - F.size(F.array_remove("_words", term))
+        score = score + F.lit(rarity * (SATURATION + 1)) * matches / (matches + norm)
+    return (
+        hits.withColumn("_words", words(body))
+        .withColumn("_length", length)
+        .withColumn("score", F.round(score, DECIMALS))
+        .drop("_words", "_length")
+    )
+
+
 def text_fields(documents: DataFrame) -> Column:
     """The declared string fields of a document as one text."""
     fields = documents.schema["doc"].dataType.fields
@@ -72,8 +113,9 @@ def ranking(key: str = "doc_id") -> list[Column]:
 
 
 def search_page(hits: DataFrame, start: int, size: int, key: str = "doc_id") -> DataFrame:
-    """``size`` hits from position ``start`` of the ranking: a top-k, not a full sort."""
-    return hits.orderBy(*ranking(key)).offset(start).limit(size)
+    """``size`` hits from position ``start`` of the ranking, by score if they have one: a top-k, not a full sort."""
+    first = [F.col("score").desc()] if "score" in hits.columns else []
+    return hits.orderBy(*first, *ranking(key)).offset(start).limit(size)
 
 
 def match_all(documents: DataFrame, document_type: str) -> DataFrame:

@@ -242,3 +242,24 @@ def test_no_envelope_is_larger_than_the_bound(spark):
     whole = results_envelopes(df, "id", 100, by=["tenant"])
     assert {(r.tenant, r.batch_no, r.piece, r.records) for r in whole.collect()} == {
         (tenant, batch, 0, n) for (tenant, batch), n in sizes.items()}
+
+
+def test_rare_words_and_short_texts_rank_first(spark):
+    import math
+
+    rows = [(n, "common word " * (1 + n % 3) + ("rare" if n in (7, 11) else "")) for n in range(30)] + [(40, ""), (41, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in se.ranked(df, "common RARE absent", text=F.col("text")).collect()}
+    cut = {n: (t or "").split() for n, t in rows}
+    mean = sum(map(len, cut.values())) / len(cut)
+    for n, words in cut.items():
+        score = 0.0
+        for term in ("common", "rare", "absent"):
+            held = sum(term in w for w in cut.values())
+            tf = words.count(term)
+            score += math.log(1 + (len(cut) - held + 0.5) / (held + 0.5)) * 2.2 * tf / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+        assert (n in found) == (score > 0)
+        assert n not in found or abs(found[n] - score) < 2e-6
+    page = [r.doc_id for r in se.search_page(se.ranked(df, "common rare", text=F.col("text")), 0, 2).collect()]
+    assert set(page) == {7, 11}
+    assert se.ranked(df, ";", text=F.col("text")).collect() == []
