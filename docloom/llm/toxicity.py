@@ -59,6 +59,7 @@ _SEPARATORS = frozenset("._-*~ ")
 _EDGES = ".,;:?\"'()[]{}<>#%&*_-~/\\"
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _RUN = re.compile(r"(.)\1")
+_RUNS = re.compile(r"(.)\1+")
 _SIGNS = re.compile(r"[^\W\d_].*[0-9@$!|+(€¡£._\-*~]|[0-9@$!|+(€¡£._\-*~].*[^\W\d_]")
 
 
@@ -126,6 +127,7 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.model = model
+        self.known: dict[str, list[str]] = {}
 
     def restore(self, seen: str, habit: bool = False) -> str:
         """The likeliest plain word behind the characters; time in proportion to their number.
@@ -172,10 +174,17 @@ class Restorer:
         plain = bare.rstrip("!")
         if plain.isalpha() and not _RUN.search(plain):
             return [plain]
-        doubled = _RUN.search(bare)
+        doubled = _RUN.search(bare) is not None
         if doubled or _SIGNS.search(bare):
-            decoded = [self.restore(bare), *([self.restore(bare, habit=True)] if doubled else [])]
-            return list(dict.fromkeys([plain, *(word.strip(_EDGES + "!") for word in decoded)]))
+            if bare not in self.known:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                decoded = [self.restore(bare)]
+                if doubled:
+                    # letters have one path once their repeats are gone
+                    decoded.append(_RUNS.sub(r"\1", bare) if bare.isalpha() else self.restore(bare, habit=True))
+                self.known[bare] = list(dict.fromkeys([plain, *(word.strip(_EDGES + "!") for word in decoded)]))
+            return self.known[bare]
         return [plain] if plain else []
 
     def spaced(self, text: str) -> list[str]:

@@ -49,6 +49,11 @@ def test_spaced_words_and_plain_words(restorer):
     assert restorer.spaced("a b and c") == []
 
 
+def test_letters_that_repeat_as_a_habit_have_one_path(restorer):
+    for word in ("iiddiioott", "letter", "aaa", "bookkeeper", "éé", "xyyx"):
+        assert restorer.restore(word, habit=True) == toxicity._RUNS.sub(r"\1", word)
+
+
 @pytest.mark.parametrize("text", ["m  o  r  o  n", "m\to\tr\to\tn", "m\no\nr\no\nn", "m o  r\to n", "M 0 R 0 N"])
 def test_any_white_space_between_letters(restorer, text):
     assert "moron" in restorer.spaced(f"there {text} onere")
