@@ -177,8 +177,10 @@ def top_k(vectors: DataFrame, every: int = EVERY) -> DataFrame:
     )
     total = max(1, blocks.count() // RUN)
     runs = blocks.withColumn("run", F.pmod(F.xxhash64("block"), F.lit(total)))
+    # all vectors may have one width: the run spreads the pairs of blocks before they are made
+    asked = queries.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(total - 1).cast("long"))))
     met = (
-        queries.join(runs, "width")
+        asked.join(runs, ["width", "run"])
         .repartition("q", "run")
         .sortWithinPartitions("q", "run")
         .select("q", "run", "width", "n", "ids", "data", "q_ids", "q_data")
