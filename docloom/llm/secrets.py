@@ -8,9 +8,11 @@ for random strings, near zero for words.
 
 How often prose reaches a level by chance depends on the length. So every candidate has a decoy,
 as many letters of the text beside it, that takes the same tests. For each band of lengths the
-threshold is the lowest level at which decoys are at most ``FALSE_SHARE`` of the candidates, over all
-documents; a string counts once, however often it occurs. A band with few decoys takes the level that
-at most ``FALSE_SHARE`` of English prose reaches. Strings in bands too short to tell are left alone.
+threshold is the lowest level at which a share ``FALSE_SHARE`` of the candidates above it, at most, would get there by
+chance, over all documents. That chance is the share of decoys that get there, pooled with that of a
+fixed sample of English prose, which counts as ``PROSE_WEIGHT`` decoys: in a small table the sample speaks, in a
+large one the table. A string counts once, however often it occurs. Bands too short to tell
+find nothing.
 """
 
 from __future__ import annotations
@@ -54,11 +56,19 @@ LENGTHS = (16, 20, 24, 32, 40, 64)
 #: Steps of the level, and the share of decoys that a threshold may let through.
 LEVELS = 50
 FALSE_SHARE = 0.1
-#: Distinct decoys that a band needs to have a threshold of its own, and the level of each band
-#: below that: the lowest that at most ``FALSE_SHARE`` of prose reaches, from 6 000 stretches of letters of
-#: the band's first length in Python's own manual (``pydoc_data.topics``). Of 16 letters, 15 % reach the top.
-LEAST_DECOYS = 100
-PROSE_LEVELS = (51, 50, 33, 14, 5, 1)
+#: Decoys that the sample of prose counts as in each band.
+PROSE_WEIGHT = 100
+#: Levels, and for the first length of each band the share of prose that reaches them: 6 000 stretches of letters a
+#: length from Python's own manual (``pydoc_data.topics``). Between two levels the share of the lower one holds.
+PROSE_STEPS = (1, 2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50)
+PROSE_SHARES = (
+    (0.8713, 0.8630, 0.6907, 0.5340, 0.5072, 0.3518, 0.3258, 0.3140, 0.3068, 0.1733, 0.1667, 0.1408),
+    (0.8272, 0.7658, 0.5782, 0.4528, 0.3373, 0.3228, 0.2132, 0.1978, 0.1862, 0.1045, 0.0998, 0.0902),
+    (0.7403, 0.5987, 0.5068, 0.3180, 0.2258, 0.2157, 0.1418, 0.1327, 0.0723, 0.0695, 0.0677, 0.0333),
+    (0.4777, 0.4125, 0.2308, 0.1337, 0.0930, 0.0640, 0.0585, 0.0367, 0.0225, 0.0212, 0.0193, 0.0087),
+    (0.2532, 0.1798, 0.0895, 0.0502, 0.0360, 0.0162, 0.0152, 0.0098, 0.0057, 0.0038, 0.0038, 0.0015),
+    (0.0128, 0.0052, 0.0022, 0.0002, 0.0002, 0.0002, 0.0002, 0.0002, 0.0002, 0.0002, 0.0002, 0.0002),
+)
 #: What stands in a text for a secret taken out.
 MASK = "[SECRET]"
 
@@ -236,17 +246,17 @@ def thresholds(tested: DataFrame) -> list[int]:
         for row in rows.groupBy("band", "level").count().collect():
             counts[row.band, row.level, k] = row["count"]
     above = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
-    found = []
-    for band in range(len(LENGTHS)):
-        real, fake = above[band, 0]
-        if fake < LEAST_DECOYS:
-            found.append(PROSE_LEVELS[band])
-            continue
-        # as if every candidate had a decoy of its own
-        wrong = (above[band, :, 1] + 1) * real / fake
-        good = [k for k in range(1, LEVELS + 1) if wrong[k] <= FALSE_SHARE * above[band, k, 0]]
-        found.append(good[0] if good else LEVELS + 1)
-    return found
+    return [_threshold(above[band, :, 0], above[band, :, 1], PROSE_SHARES[band]) for band in range(len(LENGTHS))]
+
+
+def _threshold(candidates: np.ndarray, decoys: np.ndarray, prose: tuple[float, ...]) -> int:
+    """Lowest level of a band, from the numbers of candidates and decoys at or above each level."""
+    levels = np.arange(1, LEVELS + 1)
+    share = np.array(prose)[np.searchsorted(PROSE_STEPS, levels, "right") - 1]
+    chance = (PROSE_WEIGHT * share + decoys[1:]) / (PROSE_WEIGHT + decoys[0])
+    # one candidate stands for a band that has none
+    good = levels[chance * max(candidates[0], 1) <= FALSE_SHARE * np.maximum(candidates[1:], 1)]
+    return int(good[0]) if len(good) else LEVELS + 1
 
 
 def secrets(docs: DataFrame) -> DataFrame:

@@ -170,3 +170,46 @@ def test_keys_of_env_files_and_query_strings(spark):
         assert sum(hit) > 0.8 * len(hit)
     # and short ones are tested
     assert [x.band for x in secrets.candidates("K=a8Kq03vZx7Lm2Rt9 end")[0]] == [0]
+
+
+def test_random_spans_of_the_table_by_hand(spark, data, texts):
+    """Thresholds and added spans once more, counted in plain Python over all texts."""
+    first, fakes, found = {}, set(), []
+    for i, text in texts:
+        text = text or ""
+        spans, tested = secrets.candidates(text)
+        taken = [x for x in secrets.base_spans(text)]
+        found.append((i, [x for x in spans if all(x.end <= y.start or y.end <= x.start for y in taken)]))
+        for t in tested:
+            at = (t.key, t.band, t.level)
+            first[at] = min(first.get(at, (1 << 70, 0)), (t.decoy_key, t.decoy) if t.decoy >= 0 else (1 << 70, 0))
+    fakes = {(k, at[1], level) for at, (k, level) in first.items() if k < 1 << 70}
+    limits = []
+    for band in range(len(secrets.LENGTHS)):
+        real = [at[2] for at in first if at[1] == band]
+        fake = [f[2] for f in fakes if f[1] == band]
+        limit = secrets.LEVELS + 1
+        for k in range(secrets.LEVELS, 0, -1):
+            share = [p for s, p in zip(secrets.PROSE_STEPS, secrets.PROSE_SHARES[band]) if s <= k][-1]
+            chance = (100 * share + sum(x >= k for x in fake)) / (100 + len(fake))
+            if chance * max(len(real), 1) <= 0.1 * max(sum(x >= k for x in real), 1):
+                limit = k
+        limits.append(limit)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert secrets.thresholds(secrets._levels(df)) == limits
+    want = sorted((i, [f"random:{x.start}:{x.end}" for x in own if x.level >= limits[x.band]]) for i, own in found)
+    got = [(r.doc_id, [x for x in r.spans.split(",") if x.startswith("random")]) for r in secrets.secrets(df).collect()]
+    assert sorted(got) == want
+
+
+def test_the_rule_does_not_turn_at_a_count():
+    """Around a hundred decoys and beyond, decoys of the shares that prose has leave a threshold within a step."""
+    steps = np.array(secrets.PROSE_STEPS)
+    for prose in secrets.PROSE_SHARES:
+        share = np.array(prose)[np.searchsorted(steps, np.arange(1, secrets.LEVELS + 1), "right") - 1]
+        last = None
+        for decoys in (0, 1, 50, 99, 100, 101, 200, 1000, 100_000):
+            fake = np.concatenate([[decoys], np.round(share * decoys)])
+            own = secrets._threshold(np.concatenate([[1], np.ones(secrets.LEVELS)]), fake, prose)
+            assert last is None or decoys < 99 or abs(own - last) <= 5
+            last = own
