@@ -6,6 +6,7 @@ Layout below the table's folder::
     manifest/v=<n>/                      the parts that hold each (tenant, bucket)
     quarantine/                          rows without a usable id
     reports/version=<commit>/            what a commit did for each tenant
+    pages/<order>/                       a version in an order, for deep pages
 
 A commit writes into a new ``version`` folder and then publishes a manifest that points at it.  A few
 parts are read by their names, so that a small commit does not list a large table.  Otherwise reading
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom import workspace
+from docloom.operators.paging import PageDirectory
 from docloom.operators.snapshots import SnapshotTable
 
 #: Rows, and bytes of JSON, that a bucket is sized for.
@@ -206,9 +209,9 @@ class DocumentTable:
         """Remove the table; True when it is gone."""
         return workspace.delete_path(self.spark, self.path)
 
-    def manifest(self) -> DataFrame:
-        """Entries of the parts in force."""
-        return self._entries(self.snapshots.read())
+    def manifest(self, version: int | None = None) -> DataFrame:
+        """Entries of the parts in force, now or in a version."""
+        return self._entries(self.snapshots.read(version))
 
     @staticmethod
     def _entries(snapshot: DataFrame) -> DataFrame:
@@ -241,9 +244,9 @@ class DocumentTable:
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         return f"version={part.split('_')[0]}/tenant={escape(tenant)}/part={part}"
 
-    def rows(self) -> DataFrame:
-        """Every current row, tombstones included."""
-        return self._rows(self.manifest())
+    def rows(self, version: int | None = None) -> DataFrame:
+        """Every row in force, tombstones included."""
+        return self._rows(self.manifest(version))
 
     def _rows(self, manifest: DataFrame) -> DataFrame:
         base = self._scan(base_entries(manifest))
@@ -308,10 +311,10 @@ class DocumentTable:
             row = row.withColumn(name, F.when(F.col("_by_event"), F.col(name)).otherwise(F.col(f"_high.{name}")))
         return kept.select(*columns).unionByName(row.select(*columns))
 
-    def documents(self) -> DataFrame:
+    def documents(self, version: int | None = None) -> DataFrame:
         """Live documents: common columns and the typed ``doc`` struct."""
         return (
-            self.rows()
+            self.rows(version)
             .where(~F.col("deleted"))
             .select(
                 "tenant",
@@ -323,10 +326,20 @@ class DocumentTable:
             )
         )
 
-    def typed(self) -> DataFrame:
+    def typed(self, version: int | None = None) -> DataFrame:
         """Live documents with the declared fields as columns."""
         keys = [name for name in ("tenant", "doc_id", "parent_key") if name not in self.fields.names]
-        return self.documents().select(*keys, "doc.*")
+        return self.documents(version).select(*keys, "doc.*")
+
+    def pages(self, name: str, order: Sequence[Column]) -> PageDirectory:
+        """Live documents in an order, under a name; sorted once for each version of the table.
+
+        Pages of the returned directory stay with the version it was made from.
+        """
+        version = self.snapshots.latest()
+        mark = f"{version} {[str(column) for column in order]}"
+        directory = PageDirectory(self.spark, f"{self.path}/pages/{name}", self.target_rows)
+        return directory if directory.mark == mark else directory.build(self.typed(version), order, mark)
 
     def counts(self) -> DataFrame:
         """Live and deleted documents per tenant, from the manifest alone if it can tell."""
@@ -512,6 +525,8 @@ class DocumentTable:
         for folder in workspace.child_names(self.spark, f"{self.path}/reports/version=*"):
             if workspace.modified_at(self.spark, folder) <= before:
                 workspace.delete_path(self.spark, folder)
+        for folder in workspace.child_names(self.spark, f"{self.path}/pages/*"):
+            PageDirectory(self.spark, folder).vacuum(1, older_than)
         return dropped
 
     # ---------------------------------------------------------------- steps of a commit

@@ -100,6 +100,19 @@ def page_by_rownum(spark, folder):
     return paging.page_by_rownum(orders, "o_orderdate", "o_orderkey", 201, 1201)
 
 
+@suite.add(
+    "page_by_directory",
+    """SELECT o_orderkey, o_orderdate, row_no FROM (
+         SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS row_no
+         FROM orders) r WHERE row_no > 900 AND row_no <= 1300""",
+)
+def page_by_directory(spark, folder):
+    """A deep page from an order that is sorted once for all its pages."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    directory = paging.PageDirectory(spark, fresh_path(spark, "pages"), range_rows=1000)
+    return directory.build(orders, paging.newest_first("o_orderdate", "o_orderkey")).page(900, 1300)
+
+
 @suite.add(
     "limit_offset",
     "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 250 OFFSET 100",

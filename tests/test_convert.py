@@ -130,6 +130,41 @@ def test_pages_unite_to_the_whole(spark):
     assert [n for one in pages for n in one] == want
 
 
+def test_pages_of_a_directory(spark, root):
+    """All pages unite to the whole; a page reads no range but its own; builds of others do not move it."""
+    from docloom import workspace
+    from docloom.operators.paging import PageDirectory
+
+    rows = spark.range(0, 1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("mod"))
+    order = [F.col("mod").desc_nulls_last(), F.col("id").asc()]
+    want = sorted(range(1000), key=lambda n: (n % 3 == 0, -(n % 7) if n % 3 else 0, n))
+    directory = PageDirectory(spark, root, range_rows=100)
+    with pytest.raises(ValueError, match="no directory"):
+        directory.page(0, 1)
+    directory.build(rows, order, "one")
+    found = []
+    for start in range(0, 1100, 300):
+        one = directory.page(start, start + 300).collect()
+        assert [r.row_no for r in one] == list(range(start + 1, min(start + 300, 1000) + 1))
+        found += [r.id for r in one]
+    assert found == want
+    assert directory.page(5, 5).collect() == [] and directory.page(0, 1).columns == ["id", "mod", "row_no"]
+    with pytest.raises(ValueError, match="bad page"):
+        directory.page(3, 2)
+    # without the folders of all other ranges the page is still there
+    starts = directory.snapshots.read().orderBy("range").collect()
+    held = {r.range for r in starts if r.before < 620 and r.before + r.rows > 610}
+    assert len(starts) > 5 and len(held) <= 2
+    for r in starts:
+        if r.range not in held:
+            workspace.delete_path(spark, f"{r.folder}/_range={r.range}")
+    assert [r.id for r in directory.page(610, 620).collect()] == want[610:620]
+    other = PageDirectory(spark, root, range_rows=100).build(rows.limit(0), order, "two")
+    assert other.page(0, 10).collect() == [] and other.mark == "two"
+    assert directory.mark == "one" and [r.id for r in directory.page(610, 620).collect()] == want[610:620]
+    assert other.vacuum() == 0 and other.vacuum(older_than=-1) == 1
+
+
 def test_deep_page_uses_the_ranged_rank(spark, monkeypatch):
     from docloom.operators import paging
 

@@ -476,3 +476,20 @@ def test_a_conflict_that_never_ends_is_an_error(spark, root, monkeypatch):
         table.upsert(frame(spark, [row("a", 2, 2)]))
     monkeypatch.undo()
     assert content(table) == {"a_t_1": 1}
+
+
+def test_pages_are_sorted_once_a_version(spark, root):
+    table = table_at(spark, root, target=50)
+    table.upsert(frame(spark, [row("a", n, n * 37 % 400) for n in range(400)]))
+    order = [F.col("v").desc(), F.col("doc_id").asc()]
+    first = table.pages("by_v", order)
+    assert [r.v for r in first.page(200, 210).collect()] == list(range(199, 189, -1))
+    assert table.pages("by_v", order).number == first.number
+    assert table.pages("by_v", [F.col("v").asc()]).number == first.number + 1
+    table.upsert(frame(spark, [row("a", 1, 1000)]))
+    later = table.pages("by_v", order)
+    assert later.number == first.number + 2 and later.page(0, 1).first().v == 1000
+    assert first.page(0, 1).first().v == 399
+    table.vacuum(1, -1)
+    assert later.page(0, 1).first().v == 1000
+    assert table.pages("by_v", order).number == later.number
