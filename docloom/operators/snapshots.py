@@ -27,10 +27,12 @@ _claiming = threading.Lock()
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, marked: bool = False):
+        """``marked`` snapshots have their numbers written beside the table, for readers that can only read files."""
         self.spark = spark
         self.path = path
         self.schema = schema
+        self.marked = marked
 
     def versions(self) -> list[int]:
         """Published snapshot numbers, oldest first."""
@@ -76,17 +78,27 @@ class SnapshotTable:
             workspace.delete_path(self.spark, self._claim_path(number))
         if self.latest() != number:
             raise RuntimeError(f"{self.path}: snapshot {number} came after others took its writer for dead")
+        if self.marked:
+            self.mark(number)
         return number
 
+    def mark_path(self, number: int) -> str:
+        return f"{self.path}-newest/{number:010d}"
+
+    def mark(self, number: int) -> None:
+        """Write down that a snapshot is published."""
+        workspace.write_text(self.spark, self.mark_path(number), str(number))
+
     def _claim_path(self, number: int) -> str:
-        return f"{self.path}/claim={number:010d}"
+        # hidden from readers of the whole folder
+        return f"{self.path}/_claim-{number:010d}"
 
     def _claimed(self) -> tuple[int, int]:
         """The newest number and the next one, which is ours alone from now on."""
         while True:
             base = self.latest()
-            claims = workspace.child_names(self.spark, f"{self.path}/claim=*")
-            open_ = {int(claim.split("/claim=")[-1]): claim for claim in claims}
+            claims = workspace.child_names(self.spark, f"{self.path}/_claim-*")
+            open_ = {int(claim.split("/_claim-")[-1]): claim for claim in claims}
             alive = [n for n, claim in open_.items() if n > base and self._is_young(claim)]
             if alive:
                 time.sleep(POLL)
@@ -114,3 +126,5 @@ class SnapshotTable:
         """Remove all but the newest snapshots."""
         for version in self.versions()[: -max(keep, 1)]:
             workspace.delete_path(self.spark, self.version_path(version))
+            if self.marked:
+                workspace.delete_path(self.spark, self.mark_path(version))

@@ -4,6 +4,7 @@ Layout below the table's folder::
 
     data/version=<commit>/tenant=<t>/part=<commit>_<bucket>_<tenant hash>/*.parquet
     manifest/v=<n>/                      the parts that hold each (tenant, bucket)
+    manifest-newest/                     numbers of the published manifests, for views
     quarantine/                          rows without a usable id
     reports/version=<commit>/            what a commit did for each tenant
     pages/<order>/                       a version in an order, for deep pages
@@ -169,7 +170,7 @@ class DocumentTable:
         self.fields = fields
         self.target_rows = target_rows
         self.target_bytes = target_bytes
-        self.snapshots = SnapshotTable(spark, f"{self.path}/manifest", MANIFEST_SCHEMA)
+        self.snapshots = SnapshotTable(spark, f"{self.path}/manifest", MANIFEST_SCHEMA, marked=True)
         self.row_schema = T.StructType(
             [
                 T.StructField("doc_id", T.StringType()),
@@ -181,17 +182,18 @@ class DocumentTable:
                 T.StructField("doc", fields),
             ]
         )
-        self._stored_schema = T.StructType(
+        self.file_schema = T.StructType(
             self.row_schema.fields
             + [
                 T.StructField("from_run", T.BooleanType()),
                 T.StructField("width", T.IntegerType()),
                 T.StructField("digest", T.LongType()),
-                T.StructField("version", T.StringType()),
-                T.StructField("tenant", T.StringType()),
-                T.StructField("part", T.StringType()),
             ]
         )
+        self._stored_schema = T.StructType(
+            self.file_schema.fields
+            + [T.StructField(name, T.StringType()) for name in ("version", "tenant", "part")]
+        )
 
     # ---------------------------------------------------------------- reading
 
@@ -510,6 +512,8 @@ class DocumentTable:
         live = {row.version for row in used.select(F.split("part", "_")[0].alias("version")).distinct().toLocalIterator()}
         dropped, partly = 0, []
         for folder in workspace.child_names(self.spark, f"{self.path}/data/version=*"):
+            if folder.endswith("/version=none"):
+                continue  # the empty part that views read
             if folder.split("/version=")[-1] in live:
                 partly.append(folder)
             elif workspace.modified_at(self.spark, folder) <= before:

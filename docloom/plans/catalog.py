@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.convert import document_schema
 from docloom.model import IndexDef, IndexSet
 from docloom.operators.snapshots import SnapshotTable
 from docloom.operators.store import COMMON_COLUMNS, TARGET_BUCKET_ROWS, DocumentTable
+from docloom.plans import views
 from docloom.sources.tables import union_tenants
 from docloom.workspace import local_frame
 
+#: Names that the catalog takes.
+CATALOG_NAME = re.compile("[A-Za-z0-9_]+")
+#: Property of a view: digest of its query.
+VIEW_DIGEST = "docloom.query"
+
 MAPPING_SCHEMA = T.StructType([T.StructField("fields", T.StringType())])
 
 
@@ -79,24 +86,42 @@ class DocumentIndex:
     # ---------------------------------------------------------------- views
 
     def create_alias(self, name: str, tenant: str | None = None) -> None:
-        """A view of the current documents, of one tenant if given.
+        """A view of the documents, of one tenant if given, that follows the tables.
 
-        A view shows the version it was made from, so runs make theirs anew.
+        Every session of the catalog can read it, and sees what is stored when it reads.  A name that
+        the catalog does not take (other than letters, digits and ``_``) gives a view of this session.
         """
-        documents = self.documents()
-        if tenant is not None:
-            documents = documents.where(F.col("tenant") == tenant)
-        documents.createOrReplaceTempView(f"`{name}`")
+        self._put_view(name, views.documents_sql(self._readable(), tenant))
 
     def create_tenant_aliases(self, tenants: Sequence[str]) -> None:
-        """A view per tenant, under the tenant's name."""
-        documents = self.documents()
+        """A view per tenant, under the tenant's name; those that are there already stay."""
+        tables = self._readable()
         for tenant in tenants:
-            documents.where(F.col("tenant") == tenant).createOrReplaceTempView(f"`{tenant}`")
+            self._put_view(tenant, views.documents_sql(tables, tenant))
+
+    def _readable(self) -> list[DocumentTable]:
+        return [table for table in map(self.table, self.index_set.types()) if views.make_readable(table)]
+
+    def _put_view(self, name: str, query: str) -> None:
+        """Make a view, unless there is one with this query."""
+        view = "`" + name.replace("`", "``") + "`"
+        digest = hashlib.sha256(query.encode()).hexdigest()
+        self.spark.catalog.dropTempView(name)
+        if not CATALOG_NAME.fullmatch(name):
+            self.spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {query}")
+            return
+        if self.spark.catalog.tableExists(view):
+            stored = {row.key: row.value for row in self.spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+            if stored.get(VIEW_DIGEST) == digest:
+                return
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{VIEW_DIGEST}' = '{digest}') AS {query}")
 
     def alias_exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(f"`{name}`")
 
     def drop_alias(self, name: str) -> bool:
         """Remove a view; True when there was one."""
-        return self.spark.catalog.dropTempView(name)
+        found = self.alias_exists(name)
+        if found and not self.spark.catalog.dropTempView(name):
+            self.spark.sql(f"DROP VIEW `{name}`")
+        return found

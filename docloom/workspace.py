@@ -82,6 +82,16 @@ def child_names(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else [status.getPath().toString() for status in found]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of ASCII text."""
+    fs, target = file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+
+
 def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """A DataFrame of a few driver-side rows, such as configuration, kept in the plan itself."""
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
