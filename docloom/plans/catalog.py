@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import threading
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -18,6 +20,8 @@ from docloom.plans import views
 from docloom.sources.tables import union_tenants
 from docloom.workspace import local_frame
 
+#: Views made at once; each has its files listed.
+PARALLEL_VIEWS = 4
 #: Names that the catalog takes.
 CATALOG_NAME = re.compile("[A-Za-z0-9_]+")
 #: Property of a view: digest of its query.
@@ -37,14 +41,16 @@ class DocumentIndex:
         self.path = f"{root.rstrip('/')}/{index_set.parent_index}"
         self.target_rows = target_rows
         self._tables: dict[str, DocumentTable] = {}
+        self._opening = threading.Lock()
 
     def table(self, document_type: str) -> DocumentTable:
         index = self.index_set.find(document_type)
-        if index.document_type not in self._tables:
-            self._tables[index.document_type] = DocumentTable(
-                self.spark, self.path, index.document_type, self.put_mapping(index), self.target_rows
-            )
-        return self._tables[index.document_type]
+        with self._opening:
+            if index.document_type not in self._tables:
+                self._tables[index.document_type] = DocumentTable(
+                    self.spark, self.path, index.document_type, self.put_mapping(index), self.target_rows
+                )
+            return self._tables[index.document_type]
 
     def put_mapping(self, index: IndexDef) -> T.StructType:
         """Store the declared fields of a type unless it has some; returns those in force.
@@ -96,8 +102,8 @@ class DocumentIndex:
     def create_tenant_aliases(self, tenants: Sequence[str]) -> None:
         """A view per tenant, under the tenant's name; those that are there already stay."""
         tables = self._readable()
-        for tenant in tenants:
-            self._put_view(tenant, views.documents_sql(tables, tenant))
+        with ThreadPoolExecutor(max_workers=PARALLEL_VIEWS) as pool:
+            list(pool.map(lambda tenant: self._put_view(tenant, views.documents_sql(tables, tenant)), tenants))
 
     def _readable(self) -> list[DocumentTable]:
         return [table for table in map(self.table, self.index_set.types()) if views.make_readable(table)]

@@ -270,9 +270,13 @@ class Indexer:
         jobs = [self._job(mode, index, enabled, free) for index in indexes]
         due = [job for job in jobs if job.tenants]
         # Types write to tables of their own, so their Spark jobs may overlap.
-        with ThreadPoolExecutor(max_workers=PARALLEL_TYPES) as pool:
+        names = [one.id for one in enabled]
+        with ThreadPoolExecutor(max_workers=PARALLEL_TYPES + 1) as pool:
+            made = pool.submit(self.index.create_tenant_aliases, names)
             futures = {id(job): pool.submit(self._run_type, mode, job, started) for job in due}
-        self.index.create_tenant_aliases([one.id for one in enabled])
+        made.result()
+        # views follow their tables; only a table that this run has created asks for new ones
+        self.index.create_tenant_aliases(names)
         return [
             futures[id(job)].result() if id(job) in futures
             else RunReport(job.index.document_type, mode, SKIPPED, 0, skipped=job.skipped)
