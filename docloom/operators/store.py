@@ -16,6 +16,7 @@ dynamic partition pruning reads exactly the live folders.  Removing a tenant onl
 
 A tenant gets as many buckets as its rows, or the bytes of its documents, call for, so one that
 holds a third of all rows is spread over as many tasks as that takes, and a small one stays in one file.
+A part that is too large for one task to sort is cut by ids into pieces, which are files of its folder.
 
 Buckets form up to ``GROUPS`` groups per tenant.  Rows of a commit are appended to their group as a
 delta part, and laid over the base when it is read, without shuffling the base.  Once the deltas of a group
@@ -48,6 +49,9 @@ TARGET_BUCKET_ROWS = 500_000
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 #: Bytes of JSON that a file is sized for, where documents are large.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+#: Rows, and bytes of JSON, that a task of a commit sorts: larger parts are cut into pieces, each with files of its own.
+PIECE_ROWS = 125_000
+PIECE_BYTES = 32 * 1024 * 1024
 #: Buckets are unions of these hash slices; a power of two, also the most buckets a tenant can have.
 SLICES = 65_536
 #: Most groups of buckets of a tenant, a power of two; each has deltas of its own.
@@ -118,8 +122,9 @@ class CommitReport:
 class CommitPlan:
     """Sizes of a commit: rows per hash slice, layout per tenant, groups to fold, and totals.
 
-    ``layout`` has (tenant, buckets, groups, respread); ``due`` has (tenant, group, due) for every
-    group that rows arrive in or that must be folded.
+    ``layout`` has (tenant, buckets, groups, respread, pieces, delta_pieces), the last two for a base part
+    and a delta part; ``due`` has (tenant, group, due) for every group that rows arrive in or that must be
+    folded.  ``parts`` counts the pieces to be written.
     """
 
     slices: DataFrame
@@ -138,6 +143,17 @@ def slice_of(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(SLICES)).cast("int")
 
 
+def piece_of(doc_id: Column, pieces: Column) -> Column:
+    """Piece of a part that an id belongs to, by bits of its hash that the slice does not use."""
+    return F.pmod(F.shiftrightunsigned(F.xxhash64(doc_id), 16), pieces).cast("int")
+
+
+def pieces_for(rows: Column, size: Column, parts: Column) -> Column:
+    """Pieces that each of some equal parts with these rows and bytes is cut into."""
+    need = F.greatest(rows / F.lit(PIECE_ROWS), size / F.lit(PIECE_BYTES)) / parts
+    return F.greatest(F.ceil(need), F.lit(1)).cast("int")
+
+
 def row_digest() -> Column:
     """Digest of what a document says."""
     return F.xxhash64("doc_id", "parent_key", "source")
@@ -554,12 +570,16 @@ class DocumentTable:
         )
         slices = stage(counted.hint("rebalance"), "slices")
         layout, tenants, totals = self._few(self._layout(slices, manifest, replacing), stage, "layout")
-        names = ["tenant", "buckets", "groups", "respread"]
+        names = ["tenant", "buckets", "groups", "respread", "pieces", "delta_pieces"]
         layout = layout.where("buckets IS NOT NULL").select(*names)
         sized = workspace.broadcast_if_small(layout, tenants)
-        due, groups, _ = self._few(self._due(slices, sized, manifest, replacing), stage, "due")
+        due = self._due(slices, sized, manifest, replacing)
+        folded = F.col("pieces").cast("bigint") * (F.col("buckets") / F.col("groups")).cast("bigint")
+        parts = F.when(F.col("due"), folded).otherwise(F.col("delta_pieces")).cast("bigint")
+        counted = due.join(sized, "tenant").select("tenant", "group", "due", parts.alias("parts"))
+        due, groups, written = self._few(counted, stage, "due")
         return CommitPlan(
-            slices, layout, due, tenants, groups, max(totals["parts"], 1),
+            slices, layout, due.drop("parts"), tenants, groups, max(written["parts"] or 0, 1),
             totals["rows"], totals["bad"], totals["bytes"], totals["hot"],
         )
 
@@ -599,20 +619,18 @@ class DocumentTable:
         if replacing:
             fits &= F.col("_current") <= wanted * GROWTH_FACTOR
         buckets = F.when(F.col("_hit") > 0, F.when(fits, F.col("_current")).otherwise(wanted))
-        spread = F.lit(replacing) | (F.col("_current").isNotNull() & ~fits)
-        parts = F.when(F.col("_hit") == 0, 0).when(spread, buckets).otherwise(
-            F.least(buckets, F.col("_hit") * F.greatest(buckets / GROUPS, F.lit(1)))
-        )
+        groups = F.least(buckets, F.lit(GROUPS))
         return arriving.join(stored, "tenant", "left").select(
             "tenant",
             buckets.alias("buckets"),
-            F.least(buckets, F.lit(GROUPS)).alias("groups"),
+            groups.alias("groups"),
             (F.col("_current").isNotNull() & ~fits).alias("respread"),
+            pieces_for(F.col("rows") + old, F.col("bytes") + old_bytes, buckets).alias("pieces"),
+            pieces_for(F.col("rows"), F.col("bytes"), groups).alias("delta_pieces"),
             "rows",
             "bad",
             "bytes",
             "hot",
-            parts.cast("bigint").alias("parts"),
         )
 
     def _due(self, slices: DataFrame, layout: DataFrame, manifest: DataFrame, replacing: bool) -> DataFrame:
@@ -699,9 +717,10 @@ class DocumentTable:
     def _pick(self, rows: DataFrame, plan: CommitPlan, version: str, same: DataFrame | None = None) -> DataFrame:
         """One row per id, clustered by the part it is written to.
 
-        Rows are shuffled once, by (tenant, part); that placement also serves the per-id
-        window, because an id lies in exactly one part, and its sort serves the writer.  Rows of
-        buckets that stay the ``same`` are left out before.
+        Rows are shuffled once, by (tenant, part, piece); that placement also serves the per-id
+        window, because an id lies in exactly one piece of a part, and its sort serves the writer.  So a
+        task sorts a few pieces, whatever the size of a part.  Rows of buckets that stay the ``same`` are
+        left out before.
         """
         bucket = F.pmod(slice_of(F.col("doc_id")), "buckets").cast("int")
         group = F.pmod(slice_of(F.col("doc_id")), "groups").cast("int")
@@ -713,12 +732,13 @@ class DocumentTable:
             placed = placed.join(kept, ["tenant", "bucket"], "left_anti")
         place = F.when(F.col("due"), F.col("bucket").cast("string")).otherwise(F.concat(F.lit("d"), F.col("group").cast("string")))
         part = F.concat_ws("_", F.lit(version), place, F.hex(F.xxhash64("tenant")))
+        pieces = F.when(F.col("due"), F.col("pieces")).otherwise(F.col("delta_pieces"))
         placed = (
-            placed.withColumn("part", part)
-            .drop("buckets", "groups", "group", "bucket", "respread")
-            .repartition(2 * plan.parts, "tenant", "part")
+            placed.withColumns({"part": part, "_piece": piece_of(F.col("doc_id"), pieces)})
+            .drop("buckets", "groups", "group", "bucket", "respread", "pieces", "delta_pieces")
+            .repartition(2 * plan.parts, "tenant", "part", "_piece")
         )
-        same_id = Window.partitionBy("tenant", "part", "doc_id")
+        same_id = Window.partitionBy("tenant", "part", "_piece", "doc_id")
         run_age = F.max(F.when(F.col("from_run"), F.col("_age"))).over(same_id)
         with_run = placed.withColumn("_run_age", run_age)
         before = F.col("_run_age").isNotNull() & (F.col("_age") <= F.col("_run_age"))

@@ -66,6 +66,33 @@ def test_large_tenant_gets_more_buckets_and_is_spread_anew(spark, root):
     assert content(table) == {**{f"big_t_{n}": n for n in range(600)}, "small_t_1": 1}
 
 
+def test_large_part_is_sorted_and_written_in_pieces(spark, root, monkeypatch):
+    """One part of many pieces, of rows or of bytes: no task sorts the whole, and each id keeps one row."""
+    monkeypatch.setattr(store, "PIECE_ROWS", 20)
+    table = table_at(spark, root)
+    rows = [row("a", n, n) for n in range(400)]
+    with Stage(spark) as stage:
+        plan = table._plan(frame(spark, rows), table.manifest(), stage)
+        placed = table._pick(table._arriving(frame(spark, rows)), plan, "v").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in placed.collect()]
+    assert plan.parts == 20 and sum(sizes) == 400 and max(sizes) < 200
+    table.upsert(frame(spark, rows * 2))
+    assert len(table.manifest().collect()) == 1 and len(table.documents().inputFiles()) > 5
+    table.upsert(frame(spark, [row("a", n, -n) for n in range(100, 500)]))
+    want = {f"a_t_{n}": n if n < 100 else -n for n in range(500)}
+    assert content(table) == want and [r.delta for r in table.manifest().collect()] == [False]
+    monkeypatch.setattr(store, "PIECE_ROWS", 2)
+    table.apply(frame(spark, [row("a", n, 7, at=5, seq=n, run=False) for n in range(20)] + [row("a", 3, 0, at=9, seq=1, deleted=True, run=False)]))
+    want |= {f"a_t_{n}": 7 for n in range(20)}
+    del want["a_t_3"]
+    assert content(table) == want and sorted(r.delta for r in table.manifest().collect()) == [False, True]
+    monkeypatch.setattr(store, "PIECE_BYTES", 100)
+    monkeypatch.setattr(store, "PIECE_ROWS", 1000)
+    wide = frame(spark, rows).withColumn("source", F.repeat("source", 20))
+    with Stage(spark) as stage:
+        assert table_at(spark, f"{root}/wide")._plan(wide, table.manifest().limit(0), stage).parts > 100
+
+
 def test_hot_id_is_reduced_exactly(spark, root):
     """A third of all rows carry one id; the newest event of it wins."""
     table = table_at(spark, root, target=100)
