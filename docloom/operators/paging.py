@@ -20,6 +20,9 @@ SHALLOW_ROWS = 100_000
 
 #: Rows that a range of a directory is sized for.
 RANGE_ROWS = 500_000
+#: Ranges of a directory, unless those would be larger than ``RANGE_ROWS``: each costs a task, a folder and
+#: what is sampled for its bounds.
+MOST_RANGES = 1_000
 #: Seconds for which rows that no directory names may belong to one under way.
 VACUUM_AGE = 24 * 3600.0
 
@@ -96,7 +99,8 @@ class PageDirectory:
     Layout below ``path``: ``rows-<id>/_range=<n>/`` holds the rows of a build, each with its place in its
     range, and ``directory/v=<n>/`` says where the ranges begin. An instance stays with the build that it
     was opened with, so the pages of one reader fit together while others build anew. Rows that are equal
-    in the whole order lie in one range, so the order should end in a key.
+    in the whole order lie in one range, so the order should end in a key. A table that calls for more than
+    ``MOST_RANGES`` ranges gets larger ones, of up to ``RANGE_ROWS`` rows.
     """
 
     def __init__(self, spark: SparkSession, path: str, range_rows: int = RANGE_ROWS):
@@ -115,7 +119,8 @@ class PageDirectory:
     def build(self, df: DataFrame, order: Sequence[Column], mark: str = "", rows: int | None = None) -> PageDirectory:
         """Sort ``df`` once and publish where its ranges begin; ``rows`` spares a count if it is known."""
         rows = df.count() if rows is None else rows
-        ranges = max(1, -(-rows // self.range_rows))
+        most = max(MOST_RANGES, -(-rows // RANGE_ROWS))
+        ranges = min(max(1, -(-rows // self.range_rows)), most)
         folder = f"{self.path}/rows-{uuid.uuid4().hex}"
         place = F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_RANGE))
         (

@@ -165,6 +165,21 @@ def test_pages_of_a_directory(spark, root):
     assert other.vacuum() == 0 and other.vacuum(older_than=-1) == 1
 
 
+def test_ranges_of_a_directory_do_not_multiply_with_its_rows(spark, root, monkeypatch):
+    """Beyond the most ranges they grow to the largest size, and only then in number; pages are the same."""
+    from docloom.operators import paging
+
+    monkeypatch.setattr(paging, "MOST_RANGES", 4)
+    monkeypatch.setattr(paging, "RANGE_ROWS", 100)
+    order = [F.col("id").desc()]
+    for rows, most in ((400, 4), (1000, 10)):
+        directory = paging.PageDirectory(spark, f"{root}/{rows}", range_rows=10).build(spark.range(rows), order)
+        starts = directory.snapshots.read().orderBy("range").collect()
+        assert 2 <= len(starts) <= most and sum(r.rows for r in starts) == rows
+        found = [(r.id, r.row_no) for r in directory.page(85, 325).collect()]
+        assert found == [(rows - n, n) for n in range(86, 326)]
+
+
 def test_deep_page_uses_the_ranged_rank(spark, monkeypatch):
     from docloom.operators import paging
 
