@@ -20,6 +20,9 @@ from docloom.workspace import fresh_path, is_directory
 
 suite = b.Suite()
 
+#: Folders that the files of pages are dealt to.
+FILE_GROUPS = 512
+
 
 @suite.add(
     "scan_index_query",
@@ -210,6 +213,19 @@ def binary_to_base64_doc(spark, folder):
     return pages.select("page_id", binary_document(F.col("html").cast("binary")).alias("source"))
 
 
+def page_files(pages, path):
+    """A file for each page, below folders that one task each writes.
+
+    So the commit moves these folders, not a folder for each page, one after the other on the driver, and
+    they are listed side by side in as many tasks.
+    """
+    group = F.pmod(F.hash("page_id"), F.lit(FILE_GROUPS))
+    rows = pages.select(group.alias("group"), "page_id", F.col("html").alias("value"))
+    dealt = rows.repartition(FILE_GROUPS, "group")
+    dealt.write.partitionBy("group", "page_id").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 @suite.add(
     "scan_binary_docs",
     """SELECT page_id, 'tenant1' AS tenant, '{"data":"' || to_base64(encode(html || chr(10))) || '"}' AS source
@@ -217,9 +233,7 @@ def binary_to_base64_doc(spark, folder):
 )
 def scan_binary_docs(spark, folder):
     """Each page's html as a file of its own, read as binary, indexed for a tenant and read back."""
-    files = fresh_path(spark, "files")
-    pages = b.table(spark, folder, "pages").select("page_id", F.col("html").alias("value"))
-    pages.repartition("page_id").write.partitionBy("page_id").option("maxRecordsPerFile", 1).text(files)
+    files = page_files(b.table(spark, folder, "pages"), fresh_path(spark, "files"))
     fields = T.StructType([T.StructField("path", T.StringType())])
     table = DocumentTable(spark, fresh_path(spark, "binary"), "file", fields)
     table.upsert(file_rows(binary_documents(spark, files, "*.txt"), "tenant1", "file"))

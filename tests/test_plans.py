@@ -122,3 +122,23 @@ def test_many_ids_in_clusters_reach_the_scan_as_intervals(spark, data):
     wanted = spark.range(0, 10**7, 777)
     found = {r.o_orderkey for r in tables.with_ids(rows, "o_orderkey", wanted).collect()}
     assert found == set(range(0, 10**7, 777000))
+
+
+def test_files_of_pages_lie_in_folders_of_one_task_each(spark, root, monkeypatch):
+    """So a commit moves, and a listing is dealt by, a bounded number of folders, not one for each page."""
+    import base64
+    import json
+
+    from docloom.suite import scans
+
+    monkeypatch.setattr(scans, "FILE_GROUPS", 4, raising=False)
+    monkeypatch.setattr(scans, "fresh_path", lambda _spark, label: f"{root}/{label}")
+    html = {n: f"<p>{n}</p>\n<i>" for n in range(40)} | {41: "", 42: "é"}
+    spark.createDataFrame(list(html.items()), "page_id long, html string").write.parquet(f"{root}/pages.parquet")
+    rows = scans.scan_binary_docs(spark, root).collect()
+    assert {r.page_id: base64.b64decode(json.loads(r.source)["data"]).decode() for r in rows} == {n: x + "\n" for n, x in html.items()}
+    assert len(rows) == len(html) and {r.tenant for r in rows} == {"tenant1"}
+    assert 1 < len(workspace.child_names(spark, f"{root}/files/[!_]*")) <= 4
+    files = workspace.child_names(spark, f"{root}/files/*/page_id=*/*.txt")
+    tasks = {(x.split("/group=")[1].split("/")[0], re.search(r"/part-(\d+)", x).group(1)) for x in files}
+    assert len(files) == len(html) and len(tasks) <= 4
